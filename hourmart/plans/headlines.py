@@ -33,12 +33,15 @@ KEYWORDS = {
 }
 
 
+def keyword_pattern(words: Sequence[str]) -> str:
+    """Any of the words, bounded by characters that are no letters or digits."""
+    return rf"(?i)(^|[^\p{{L}}\p{{N}}])({'|'.join(words)})([^\p{{L}}\p{{N}}]|$)"
+
+
 def keyword_labels(title: Column) -> Column:
     """Struct (label, confidence, model): the topic with the first matching
     words, in the order of ``KEYWORDS``; confidence falls with rival topics."""
-    hits = {
-        topic: title.rlike(rf"(?i)\b({'|'.join(words)})\b") for topic, words in KEYWORDS.items()
-    }
+    hits = {topic: title.rlike(keyword_pattern(words)) for topic, words in KEYWORDS.items()}
     label, n = F.lit(OFF_TOPIC), F.lit(0)
     for topic, hit in reversed(hits.items()):
         label = F.when(hit, topic).otherwise(label)

@@ -56,8 +56,7 @@ def query(
 def prior_year(daily: DataFrame, value: str, date: str = "local_date") -> DataFrame:
     """Value of the same date one year before, and the relative change.
 
-    29 February has no counterpart a year later; it maps to 28 February only
-    from the leap day itself.
+    29 February is compared with 28 February of the year before.
     """
     earlier = daily.select(F.col(date).alias("prior_date"), F.col(value).alias("prior_value"))
     return (

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourmart.functions.numbers import count_if, exact_mean, round_scaled
 from hourmart.functions.zones import hour_floor, hours
+from hourmart.operators.revisions import latest_revision
 from hourmart.plans.hourly import hourly_fact
 
 TIES = ("event_id",)
@@ -102,7 +104,39 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey"),
         F.col("o_orderdate").alias("hour_local"),
-        (F.col("o_totalprice") / 1000.0 - 150.0).alias("price_eur_mwh"),
+        (F.col("o_totalprice") / 100.0 - 1500.0).alias("price_eur_mwh"),
+    )
+
+
+def order_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily averages over seven years of orders."""
+    return (
+        order_days(spark, sf_dir)
+        .groupBy(F.col("hour_local").cast("date").alias("local_date"))
+        .agg(
+            F.count(F.lit(1)).alias("n_orders"),
+            round_scaled(exact_mean("price_eur_mwh"), 2).alias("avg_price_eur_mwh"),
+            count_if(F.col("price_eur_mwh") < 0).alias("negative_price_hours"),
+        )
+    )
+
+
+def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest value per quarter hour over all events."""
+    quarter = F.make_dt_interval(F.lit(0), F.lit(0), (F.floor(F.minute("ts") / 15) * 15).cast("int"))
+    rows = table(spark, sf_dir, "events").select(
+        (hour_floor("ts") + quarter).alias("slot"), F.col("value").alias("price"), "ts", "event_id"
+    )
+    return latest_revision(rows, ["slot"], "ts", TIES).select("slot", "price")
+
+
+def slot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarter-hour points as (document, hour, minute, price)."""
+    return slots(spark, sf_dir).select(
+        F.date_format("slot", "yyyy-MM-dd").alias("doc_id"),
+        hour_floor("slot").alias("hour_utc"),
+        F.minute("slot").alias("minute"),
+        F.col("price").alias("price_eur_mwh"),
     )
 
 
