@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,8 +25,6 @@ def _col(c: Column | str) -> Column:
 def unescape_entities(text: Column | str) -> Column:
     """Character references to characters.  Spark has no built-in for the full
     entity list, so batches of text cross to Python as Arrow."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def unescape(batch: pd.Series) -> pd.Series:
         import html

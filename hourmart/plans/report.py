@@ -183,13 +183,14 @@ def trailing_summary(fact: DataFrame, windows: Sequence[int] = SUMMARY_WINDOWS)
     """Price figures of several trailing windows in one pass over the longest."""
     latest = newest(fact, "hour_utc")
     recent = trailing(fact, "hour_utc", max(windows), inclusive=False, anchor=latest)
-    member = F.filter(
-        F.array(*[F.lit(w) for w in windows]),
-        lambda w: F.col("hour_utc") > latest - F.make_dt_interval(w),
+    member = F.array_compact(
+        F.array(
+            *[F.when(F.col("hour_utc") > latest - days(w), F.lit(w).cast("bigint")) for w in windows]
+        )
     )
     negative = _negative()
     return (
-        recent.select("price_eur_mwh", F.explode(member).cast("bigint").alias("window_days"))
+        recent.select("price_eur_mwh", F.explode(member).alias("window_days"))
         .groupBy("window_days")
         .agg(
             round_scaled(exact_mean("price_eur_mwh"), 2).alias("avg_price"),

@@ -30,7 +30,7 @@ def _is_header(line: Column) -> Column:
 
 def _header_fields(line: Column) -> Column:
     bare = F.regexp_replace(line, "^[# ]+", "")
-    return F.transform(F.split(bare, ","), F.trim)
+    return F.transform(F.split(bare, ","), lambda c: F.trim(c))
 
 
 def lines_of_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -72,7 +72,7 @@ def lines_of_documents(docs: DataFrame, content: str, keys: Sequence[str]) -> Da
 
 
 def _cells(line: Column) -> Column:
-    return F.transform(F.split(line, ","), F.trim)
+    return F.transform(F.split(line, ","), lambda c: F.trim(c))
 
 
 def _cell(name: str) -> Column:

@@ -1,8 +1,8 @@
 """The driver tables in the library's roles, with the registered queries."""
 
-from workload import models, sql
+from workload import analytics, documents, models, quality, sql
 
-GROUPS = (models,)
+GROUPS = (models, analytics, quality, documents)
 
 # name -> (query, check SQL or None); statements get the expressions they mention.
 ENTRIES = {
