@@ -1,8 +1,8 @@
 """The driver tables in the library's roles, with the registered queries."""
 
-from workload import analytics, documents, models, quality, sql
+from workload import analytics, documents, maintenance, models, quality, sql
 
-GROUPS = (models, analytics, quality, documents)
+GROUPS = (models, analytics, quality, documents, maintenance)
 
 # name -> (query, check SQL or None); statements get the expressions they mention.
 ENTRIES = {
