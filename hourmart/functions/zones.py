@@ -25,22 +25,25 @@ def utc_to_local(ts: Column | str, zone: str = MARKET_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts))
 
 
-def local_to_utc(label: Column | str, zone: str = MARKET_ZONE) -> Column:
+def local_to_utc(
+    label: Column | str, zone: str = MARKET_ZONE, change_minutes: int = 60
+) -> Column:
     """UTC instant of a wall-clock label.
 
     A label in the autumn overlap is ambiguous; it means the later instant
     (standard time), while Spark's own conversion takes the earlier one.  A
     label in the spring gap moves forward by the gap.  Converting the label one
-    hour on and stepping back gives the later instant in an overlap, an earlier
-    one in a gap and the same everywhere else, so the greater of both is right.
-    Valid for clock changes of up to an hour.
+    clock change (an hour in nearly all zones) later and stepping back gives the
+    later instant in an overlap, an earlier one in a gap and the same everywhere
+    else, so the greater of both is right.
     """
     label = _col(label)
+    step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(change_minutes))
 
     def convert(wall_clock: Column) -> Column:
         return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall_clock)
 
-    return F.greatest(convert(label), convert(label + hours(1)) - hours(1))
+    return F.greatest(convert(label), convert(label + step) - step)
 
 
 def hour_floor(ts: Column | str) -> Column:

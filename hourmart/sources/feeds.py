@@ -28,8 +28,8 @@ FEED_XML = (
 def parse_feeds(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
     """Add the parsed feed; a broken document keeps its text in ``corrupt``."""
     parsed = F.from_xml(F.col(content), FEED_XML, {"mode": "PERMISSIVE"})
-    return docs.select(*keys, parsed.alias("doc")).select(
-        *keys, "doc", F.col("doc._corrupt_record").alias("corrupt")
+    return docs.select(*keys, parsed.alias("payload")).select(
+        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
     )
 
 
@@ -52,8 +52,8 @@ def _items() -> Column:
             F.coalesce(entry.getField("updated"), entry.getField("published")).alias("published"),
         )
 
-    rss_items = F.coalesce(F.col("doc.channel.item"), F.col("doc.item"))
-    return F.coalesce(F.transform(rss_items, rss), F.transform(F.col("doc.entry"), atom))
+    rss_items = F.coalesce(F.col("payload.channel.item"), F.col("payload.item"))
+    return F.coalesce(F.transform(rss_items, rss), F.transform(F.col("payload.entry"), atom))
 
 
 def headlines(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:

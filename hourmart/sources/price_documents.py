@@ -49,15 +49,15 @@ def parse_json(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
 
 
 def _parsed(docs: DataFrame, parsed: Column, keys: Sequence[str]) -> DataFrame:
-    return docs.select(*keys, parsed.alias("doc")).select(
-        *keys, "doc", F.col("doc._corrupt_record").alias("corrupt")
+    return docs.select(*keys, parsed.alias("payload")).select(
+        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
     )
 
 
 def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (good, broken): one broken document does not stop the others."""
     good = parsed.where(F.col("corrupt").isNull()).drop("corrupt")
-    return good, parsed.where(F.col("corrupt").isNotNull()).drop("doc")
+    return good, parsed.where(F.col("corrupt").isNotNull()).drop("payload")
 
 
 def xml_points(parsed: DataFrame, keys: Sequence[str], all_periods: bool = False) -> DataFrame:
@@ -66,7 +66,7 @@ def xml_points(parsed: DataFrame, keys: Sequence[str], all_periods: bool = False
     Position ``p`` starts ``p - 1`` units after the period start.  Only the
     first period of a series counts unless ``all_periods`` is set.
     """
-    series = parsed.select(*keys, F.explode("doc.TimeSeries").alias("s"))
+    series = parsed.select(*keys, F.explode("payload.TimeSeries").alias("s"))
     if all_periods:
         periods = series.select(*keys, F.explode("s.Period").alias("p"))
     else:
@@ -107,7 +107,7 @@ def hours_from_units(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def json_points(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pair the parallel arrays up to the shorter one; unpublished prices are dropped."""
-    pairs = F.arrays_zip(F.col("doc.unix_seconds").alias("at"), F.col("doc.price").alias("price"))
+    pairs = F.arrays_zip(F.col("payload.unix_seconds").alias("at"), F.col("payload.price").alias("price"))
     rows = parsed.select(*keys, F.inline(pairs).alias("at", "price"))
     at = F.timestamp_seconds("at").cast("timestamp_ntz")
     minute = F.rint(F.minute(at) + F.second(at) / F.lit(60.0)).cast("int")

@@ -125,8 +125,8 @@ def clip(rows: DataFrame, start: Column, end: Column, slack_days: int = 1) -> Da
 
 def parse_json(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
     parsed = F.from_json(F.col(content), WEATHER_JSON, {"mode": "PERMISSIVE"})
-    return docs.select(*keys, parsed.alias("doc")).select(
-        *keys, "doc", F.col("doc._corrupt_record").alias("corrupt")
+    return docs.select(*keys, parsed.alias("payload")).select(
+        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
     )
 
 
@@ -138,7 +138,7 @@ def grid_rows(
     The documents label UTC hour starts; the contract labels wall-clock hour
     ends.  In autumn two hours share a label, and the later one stays.
     """
-    h = F.col("doc.hourly")
+    h = F.col("payload.hourly")
     cells = F.arrays_zip(
         h.getField("time").alias("time"),
         h.getField("temperature_2m").alias("temp"),
