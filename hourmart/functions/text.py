@@ -23,15 +23,19 @@ def _col(c: Column | str) -> Column:
 
 
 def unescape_entities(text: Column | str) -> Column:
-    """Character references to characters.  Spark has no built-in for the full
-    entity list, so batches of text cross to Python as Arrow."""
+    """Character references to characters.
+
+    Spark has no built-in for the full entity list, so batches of text cross to
+    Python as Arrow; texts without an ampersand stay behind.
+    """
+    text = _col(text)
     @F.pandas_udf("string")
     def unescape(batch: pd.Series) -> pd.Series:
         import html
 
         return batch.map(html.unescape, na_action="ignore")
 
-    return unescape(_col(text))
+    return F.coalesce(unescape(F.when(text.contains("&"), text)), text)
 
 
 def clean_text(text: Column | str) -> Column:

@@ -4,6 +4,10 @@ A plain ``lag() over (order by t)`` moves a whole series into one task.  Here
 the series is cut into calendar chunks: the window runs inside a chunk, and only
 the first and last row of each chunk take part in a second, far smaller window
 that links neighbouring chunks.  The result is the same.
+
+Rows are shuffled once.  Both the window and the search for chunk ends read that
+one exchange, so whatever computes the input runs a single time; the ends carry
+whole rows because a narrower read would be another exchange.
 """
 
 from __future__ import annotations
@@ -32,10 +36,12 @@ def with_neighbours(
     chunk = F.date_trunc("month", F.col(order)) if chunk is None else chunk
     row = F.struct(*carry)
     keys = [*series, _CHUNK]
-    chunked = df.withColumn(_CHUNK, chunk)
+    chunked = df.withColumn(_CHUNK, chunk).repartition(*keys)
 
+    whole = F.struct(*df.columns)
     ends = chunked.groupBy(*keys).agg(
-        F.max_by(row, F.col(order)).alias("__last"), F.min_by(row, F.col(order)).alias("__first")
+        F.max_by(whole, F.col(order)).alias("__last"),
+        F.min_by(whole, F.col(order)).alias("__first"),
     )
     link = Window.partitionBy(*(series or [F.lit(0)])).orderBy(_CHUNK)
     ends = ends.select(
@@ -49,12 +55,16 @@ def with_neighbours(
     if following:
         out = out.withColumn("__next", F.lead(row).over(inside))
     out = out.join(ends, keys)
-    added = [
-        F.coalesce(F.col("__prev"), F.col("__before")).getField(c).alias(f"prev_{c}") for c in carry
-    ]
-    if following:
-        added += [
-            F.coalesce(F.col("__next"), F.col("__after")).getField(c).alias(f"next_{c}")
+
+    def linked(inner: str, outer: str, prefix: str) -> list[Column]:
+        return [
+            F.when(F.col(inner).isNotNull(), F.col(inner).getField(c))
+            .otherwise(F.col(outer).getField(c))
+            .alias(f"{prefix}_{c}")
             for c in carry
         ]
+
+    added = linked("__prev", "__before", "prev")
+    if following:
+        added += linked("__next", "__after", "next")
     return out.select(*[F.col(c) for c in df.columns], *added)

@@ -16,17 +16,27 @@ def merge_prices(
     series: Sequence[str] = (),
     labels: tuple[str, str] = (PRIMARY, SECONDARY),
 ) -> DataFrame:
-    """Full outer merge with provenance.
+    """Full outer merge of two sources with one row per hour each.
 
     The source label follows the presence of the primary *row*, not of its
     price.  The cross-source price and the difference exist only next to a
     primary row: a source is never reconciled against itself.
+
+    The merge is a union and a hash aggregate on the key.  Against a full outer
+    join it needs no sort, and it keeps the key's partitioning, which a
+    coalesced join key loses: deduplicated inputs are merged and then joined to
+    weather without another shuffle.
     """
     keys = [*series, "hour_utc"]
-    p = primary.select(*keys, F.col("price_eur_mwh").alias("p_price"), F.lit(True).alias("p_row"))
-    s = secondary.select(*keys, F.col("price_eur_mwh").alias("s_price"))
-    from_primary = F.col("p_row").isNotNull()
-    return p.join(s, keys, "full").select(
+    price, none = F.col("price_eur_mwh"), F.lit(None).cast("double")
+    p = primary.select(*keys, price.alias("p"), none.alias("s"), F.lit(True).alias("p_row"))
+    s = secondary.select(*keys, none.alias("p"), price.alias("s"), F.lit(False).alias("p_row"))
+    from_primary = F.col("p_row")
+    both = p.unionByName(s).groupBy(*keys)
+    merged = both.agg(
+        F.max("p").alias("p_price"), F.max("s").alias("s_price"), F.max("p_row").alias("p_row")
+    )
+    return merged.select(
         *keys,
         F.coalesce("p_price", "s_price").alias("price_eur_mwh"),
         F.when(from_primary, F.col("s_price")).alias("price_eur_mwh_cross_source"),

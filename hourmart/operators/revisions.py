@@ -39,10 +39,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def pick_by_priority(
-    df: DataFrame, keys: Sequence[str], source: str, priority: Sequence[str]
+    df: DataFrame,
+    keys: Sequence[str],
+    source: str,
+    priority: Sequence[str],
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key from the most preferred source that has one."""
     rank = F.lit(len(priority))
     for position, name in reversed(list(enumerate(priority))):
         rank = F.when(F.col(source) == name, F.lit(position)).otherwise(rank)
-    return first_by(df, keys, [rank.asc(), F.col(source).asc()])
+    return first_by(df, keys, [rank.asc(), F.col(source).asc(), *map(F.asc, ties)])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hourmart.functions.zones import MARKET_ZONE, hours, local_to_utc, utc_to_local
 from hourmart.operators.reconcile import PRIMARY, SECONDARY, attach_weather, merge_prices
-from hourmart.operators.revisions import latest_revision, pick_by_priority
+from hourmart.operators.revisions import first_by, latest_revision, pick_by_priority
 
 STATION, REANALYSIS = "station", "reanalysis"
 
@@ -36,6 +36,22 @@ def staged_prices(
     )
 
 
+def _intervals(raw: DataFrame, zone: str, since: dt.datetime | None) -> DataFrame:
+    """Raw weather with its UTC interval; ``hour_local_label`` is the hour of the
+    wall-clock label, 0-23."""
+    if since is not None:
+        # A label lies within a day of its UTC hour; this bound reaches the scan.
+        raw = raw.where(F.col("interval_end_local") >= F.lit(since - dt.timedelta(days=1)))
+    end = local_to_utc("interval_end_local", zone)
+    rows = raw.withColumn("interval_end_utc", end)
+    return rows.withColumns(
+        {
+            "interval_start_utc": F.col("interval_end_utc") - hours(1),
+            "hour_local_label": F.hour("interval_end_local").cast("bigint"),
+        }
+    )
+
+
 def staged_weather(
     raw: DataFrame,
     series: Sequence[str] = (),
@@ -43,22 +59,17 @@ def staged_weather(
     zone: str = MARKET_ZONE,
     since: dt.datetime | None = None,
 ) -> DataFrame:
-    """Wall-clock labels to UTC intervals, newest revision per station and interval.
-
-    ``hour_local_label`` is the hour of the label, 0-23.
-    """
-    if since is not None:
-        # A label lies within a day of its UTC hour; this bound reaches the scan.
-        raw = raw.where(F.col("interval_end_local") >= F.lit(since - dt.timedelta(days=1)))
-    rows = raw.withColumn("interval_end_utc", local_to_utc("interval_end_local", zone))
-    rows = latest_revision(rows, [*series, "station", "interval_end_utc"], "fetched_at", ties)
+    """Wall-clock labels to UTC intervals, newest revision per station and interval."""
+    rows = latest_revision(
+        _intervals(raw, zone, since), [*series, "station", "interval_end_utc"], "fetched_at", ties
+    )
     return rows.select(
         *series,
         "station",
         "interval_end_local",
         "interval_end_utc",
-        (F.col("interval_end_utc") - hours(1)).alias("interval_start_utc"),
-        F.hour("interval_end_local").cast("bigint").alias("hour_local_label"),
+        "interval_start_utc",
+        "hour_local_label",
         "temp_c",
         "wind_ms",
         "radiation_jm2",
@@ -72,9 +83,11 @@ def unified_weather(
     series: Sequence[str] = (),
     labels: tuple[str, str] = (STATION, REANALYSIS),
 ) -> DataFrame:
-    """One weather row per hour: the station's, else the reanalysis row."""
+    """One weather row per hour: the station's, else the reanalysis row.  Of
+    several stations the lowest number counts."""
     columns = [
-        *series, "interval_start_utc", "hour_local_label", "temp_c", "wind_ms", "radiation_jm2",
+        *series, "station", "interval_start_utc", "hour_local_label",
+        "temp_c", "wind_ms", "radiation_jm2",
     ]
     tagged = [
         df.select(*columns, F.lit(label).alias("weather_source"))
@@ -85,7 +98,43 @@ def unified_weather(
         [*series, "interval_start_utc"],
         "weather_source",
         labels,
+        ties=["station"],
+    ).drop("station")
+
+
+def weather_from_revisions(
+    station_raw: DataFrame,
+    reanalysis_raw: DataFrame,
+    series: Sequence[str] = (),
+    ties: Sequence[str] = (),
+    labels: tuple[str, str] = (STATION, REANALYSIS),
+    zone: str = MARKET_ZONE,
+    since: dt.datetime | None = None,
+) -> DataFrame:
+    """``unified_weather`` of both staged sources, in one shuffle instead of three.
+
+    Preferred source, then station, then newest revision is one sort order, so
+    a single pick per hour replaces a pick per station followed by another.
+    """
+    columns = [
+        *series, "station", "interval_start_utc", "hour_local_label",
+        "temp_c", "wind_ms", "radiation_jm2", "fetched_at", *ties,
+    ]
+    tagged = [
+        _intervals(raw, zone, since).select(
+            *columns, F.lit(rank).alias("rank"), F.lit(label).alias("weather_source")
+        )
+        for rank, (raw, label) in enumerate(
+            zip((station_raw, reanalysis_raw), labels, strict=True)
+        )
+    ]
+    newest = [F.col(c).desc() for c in ("fetched_at", *ties)]
+    picked = first_by(
+        tagged[0].unionByName(tagged[1]),
+        [*series, "interval_start_utc"],
+        [F.col("rank").asc(), F.col("station").asc(), *newest],
     )
+    return picked.drop("station", "fetched_at", "rank", *ties)
 
 
 def price_weather_hourly(
@@ -96,7 +145,7 @@ def price_weather_hourly(
     labels: tuple[str, str] = (PRIMARY, SECONDARY),
     zone: str = MARKET_ZONE,
 ) -> DataFrame:
-    """Merged price per hour with weather.  Merge and join share one partitioning."""
+    """Merged price per hour with weather."""
     merged = merge_prices(primary, secondary, series, labels)
     return attach_weather(merged, weather, series).select(
         *series,
@@ -136,11 +185,8 @@ def hourly_fact(
     The bound applies to the raw keys: a filter on the merged key could not be
     pushed below the full outer join.
     """
-    weather = unified_weather(
-        staged_weather(station_raw, series, ties, zone, since),
-        staged_weather(reanalysis_raw, series, ties, zone, since),
-        series,
-        weather_labels,
+    weather = weather_from_revisions(
+        station_raw, reanalysis_raw, series, ties, weather_labels, zone, since
     )
     hourly = price_weather_hourly(
         staged_prices(primary_raw, series, ties, since=since),

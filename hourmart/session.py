@@ -42,6 +42,12 @@ def build_session(
     return prepare(builder.getOrCreate())
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a work folder that is no longer read."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path below the shared folder named in ``spark.checkpoint.dir``.
 

@@ -75,10 +75,14 @@ def history_from_log(
     updated_at: str = "fetched_at",
     ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Full history of a revision log: each revision is valid until the next one."""
+    """Full history of a revision log: each revision is valid until the next one.
+
+    Minutes are the window chunks, so a key that holds much of the log is spread
+    over many tasks.
+    """
     distinct = latest_revision(revisions, [*keys, updated_at], updated_at, ties)
     linked = with_neighbours(
-        distinct, updated_at, [updated_at], keys, chunk=F.date_trunc("day", F.col(updated_at))
+        distinct, updated_at, [updated_at], keys, chunk=F.date_trunc("minute", F.col(updated_at))
     )
     return linked.withColumn("valid_from", F.col(updated_at)).withColumnRenamed(
         f"next_{updated_at}", "valid_to"

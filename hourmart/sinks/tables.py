@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from hourmart.operators.revisions import latest_revision
 from hourmart.schemas import MARTS
-from hourmart.session import work_folder
+from hourmart.session import remove_folder, work_folder
 
 # Up to this many touched partitions become literals, so the scan is pruned at
 # planning time; beyond it a semi join prunes at run time.
@@ -42,13 +42,24 @@ def stage(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_partitions(df: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:
-    """Write by partition value.  The rebalance groups rows by partition and
-    splits a large partition over several tasks and files."""
+def write_partitions(
+    df: DataFrame,
+    path: str,
+    partition: str,
+    sort_by: Sequence[str] = (),
+    overwrite_all: bool = False,
+) -> None:
+    """Write by partition value, replacing the partitions in the frame (or all).
+
+    The rebalance groups rows by partition and splits a large partition over
+    several tasks and files.  Sorting by the keys inside a file lets readers
+    skip row groups.
+    """
     (
         df.hint("rebalance", partition)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .sortWithinPartitions(partition, *sort_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if overwrite_all else "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
@@ -89,10 +100,29 @@ def upsert_table(
     Only partitions that the batch touches are read and rewritten.  The
     partition value must be a function of the key.
     """
-    staged = stage(spark, batch.withColumn(partition, partition_value), "upsert")
-    rows = staged.count()
-    if rows == 0:
-        return 0
+    folder = work_folder(spark, "upsert")
+    batch = batch.withColumn(partition, partition_value)
+    batch.write.parquet(folder)
+    try:
+        staged = spark.read.schema(batch.schema).parquet(folder)
+        rows = staged.count()
+        if rows:
+            _merge_into(spark, path, staged, keys, partition, updated_at, ties, schema)
+        return rows
+    finally:
+        remove_folder(spark, folder)
+
+
+def _merge_into(
+    spark: SparkSession,
+    path: str,
+    staged: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    updated_at: str | None,
+    ties: Sequence[str],
+    schema: T.StructType | None,
+) -> None:
     target = read_table(spark, path, schema)
     if target is None:
         merged = latest_revision(staged, keys, updated_at, ties) if updated_at else staged
@@ -104,8 +134,7 @@ def upsert_table(
         else:
             target = target.join(touched, partition, "left_semi")
         merged = upsert_frame(target, staged, keys, updated_at, ties)
-    write_partitions(merged, path, partition)
-    return rows
+    write_partitions(merged, path, partition, keys)
 
 
 def incremental_refresh(
@@ -125,14 +154,13 @@ def incremental_refresh(
     ``build(since)`` returns the mart from that bound on, so the bound reaches
     the scans as a literal.  Keys that vanished upstream stay in the mart until
     a full refresh; changes older than the lookback reach it only then, too.
+    The partition value must not decrease with the key.
     """
     target = None if full_refresh else read_table(spark, path, schema)
-    since = None if target is None else target.agg(F.max(key)).first()[0]
+    since = None if target is None else _newest_key(target, key, partition)
     if since is None:
         frame = build(None).withColumn(partition, partition_value)
-        frame.hint("rebalance", partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy(partition).parquet(path)
+        write_partitions(frame, path, partition, [*series, key], overwrite_all=True)
         return read_table(spark, path).count()
     batch = build(since - lookback)
     return upsert_table(
@@ -140,6 +168,13 @@ def incremental_refresh(
     )
 
 
+def _newest_key(target: DataFrame, key: str, partition: str) -> dt.datetime | dt.date | None:
+    """Greatest key, from the newest partition alone; finding that partition
+    reads no column data."""
+    last = target.agg(F.max(partition)).first()[0]
+    return target.where(F.col(partition) == last).agg(F.max(key)).first()[0]
+
+
 def export_marts(
     marts: Mapping[str, DataFrame | None], out: str, contracts: Mapping[str, T.StructType] = MARTS
 ) -> list[str]:

@@ -82,10 +82,19 @@ def append_to(stream: DataFrame, path: str, checkpoint: str, trigger: dict = ONC
 
 
 def distinct_within_lookback(
-    stream: DataFrame, at: str, keys: Sequence[str], late_by: str = LATE_BY
+    stream: DataFrame, at: str, keys: Sequence[str], late_by: str = LATE_BY, salts: int = 0
 ) -> DataFrame:
-    """Drop exact repeats of a key that arrive within the lookback."""
-    return stream.withWatermark(at, late_by).dropDuplicatesWithinWatermark(list(keys))
+    """Drop repeats of a key that arrive within the lookback.
+
+    With ``salts`` the repeats of a hot key are first dropped in that many
+    groups, by input task, and only what is left meets in one group.
+    """
+    marked = stream.withWatermark(at, late_by)
+    if salts:
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+        marked = marked.withColumn("__salt", salt)
+        marked = marked.dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def daily_rollup_stream(

@@ -146,3 +146,24 @@ def test_calendar(spark):
     assert lengths == {23: 16, 24: 5812, 25: 16}
     day = cal.where("local_date = date '2027-01-01'").first().asDict()
     assert (day["iso_year"], day["iso_week"], day["day_name"], day["month_name"]) == (2026, 53, "Friday", "January")
+
+
+def test_weather_in_one_pass_equals_the_staged_way(frame):
+    """Revisions, two stations, an overlap label and a gap label."""
+    station = frame(
+        RAW_WEATHER,
+        (260, ts("2025-10-26 02:00"), 1.0, 1.0, 1.0, ts("2026-01-01")),
+        (260, ts("2025-10-26 02:00"), 2.0, 1.0, 1.0, ts("2026-01-02")),
+        (240, ts("2025-10-26 02:00"), 3.0, 1.0, 1.0, ts("2026-01-01")),
+        (260, ts("2026-03-29 02:00"), 4.0, 1.0, 1.0, ts("2026-01-01")),
+    )
+    grid = frame(
+        RAW_WEATHER,
+        (0, ts("2025-10-26 02:00"), 7.0, 1.0, 1.0, ts("2026-01-03")),
+        (0, ts("2025-10-26 03:00"), 8.0, 1.0, 1.0, ts("2026-01-03")),
+        (0, ts("2025-10-26 03:00"), 9.0, 1.0, 1.0, ts("2026-01-02")),
+    )
+    staged = hourly.unified_weather(hourly.staged_weather(station), hourly.staged_weather(grid))
+    direct = hourly.weather_from_revisions(station, grid)
+    assert rows(direct.select(*staged.columns)) == rows(staged)
+    assert [t for _, t in rows(direct, "interval_start_utc", "temp_c")] == [3.0, 8.0, 4.0]

@@ -58,14 +58,15 @@ def test_rollup_waits_for_the_watermark_and_takes_late_points(spark, source, tmp
     assert rows(spark.read.schema(rolled.schema).parquet(path)) == [(base, 25.0)]
 
 
-def test_distinct_within_lookback(spark, source, tmp_path):
+@pytest.mark.parametrize("salts", [0, 4])
+def test_distinct_within_lookback(spark, source, tmp_path, salts):
     schema = "k int, at timestamp"
     at = dt.datetime(2026, 1, 1)
     source(schema, (1, at), (1, at), (2, at))
     stream = source(schema, (1, at), (3, at))
     path = str(tmp_path / "out")
     jobs.append_to(
-        jobs.distinct_within_lookback(stream, "at", ["k"]), path, str(tmp_path / "c")
+        jobs.distinct_within_lookback(stream, "at", ["k"], salts=salts), path, str(tmp_path / "c")
     ).awaitTermination()
     assert rows(spark.read.parquet(path), "k") == [(1,), (2,), (3,)]
 
