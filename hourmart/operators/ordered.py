@@ -31,12 +31,17 @@ def with_neighbours(
     """Add ``prev_<c>`` (and ``next_<c>``) for each carried column.
 
     ``order`` must be unique within a series, and ``chunk`` must not decrease
-    with it (default: calendar month of ``order``).
+    with it (default: calendar month of ``order``).  Neither they nor the series
+    may be NULL.
     """
     chunk = F.date_trunc("month", F.col(order)) if chunk is None else chunk
     row = F.struct(*carry)
     keys = [*series, _CHUNK]
-    chunked = df.withColumn(_CHUNK, chunk).repartition(*keys)
+    chunked = df.withColumn(_CHUNK, chunk)
+    for key in keys:
+        # The join below implies this; stated here, it is the same on both sides.
+        chunked = chunked.where(F.col(key).isNotNull())
+    chunked = chunked.repartition(*keys)
 
     whole = F.struct(*df.columns)
     ends = chunked.groupBy(*keys).agg(

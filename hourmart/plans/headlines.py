@@ -33,17 +33,23 @@ KEYWORDS = {
 }
 
 
-def keyword_pattern(words: Sequence[str]) -> str:
-    """Any of the words, bounded by characters that are no letters or digits."""
-    return rf"(?i)(^|[^\p{{L}}\p{{N}}])({'|'.join(words)})([^\p{{L}}\p{{N}}]|$)"
+def _words(words: Sequence[str]) -> Column:
+    return F.array(*map(F.lit, words))
 
 
-def keyword_labels(title: Column) -> Column:
-    """Struct (label, confidence, model): the topic with the first matching
-    words, in the order of ``KEYWORDS``; confidence falls with rival topics."""
-    hits = {topic: title.rlike(keyword_pattern(words)) for topic, words in KEYWORDS.items()}
+def keyword_hits(title: Column) -> Column:
+    """The keywords that occur in a text, each once: one pass over its words,
+    whatever the number of topics."""
+    known = [w for words in KEYWORDS.values() for w in words]
+    return F.array_intersect(F.split(F.lower(title), r"[^\p{L}\p{N}]+"), _words(known))
+
+
+def keyword_labels(hits: Column) -> Column:
+    """Struct (label, confidence, model) from ``keyword_hits``: the first topic
+    with a word, in the order of ``KEYWORDS``; confidence falls with rival topics."""
     label, n = F.lit(OFF_TOPIC), F.lit(0)
-    for topic, hit in reversed(hits.items()):
+    for topic, words in reversed(KEYWORDS.items()):
+        hit = F.arrays_overlap(hits, _words(words))
         label = F.when(hit, topic).otherwise(label)
         n = n + hit.cast("int")
     return F.struct(
@@ -53,6 +59,13 @@ def keyword_labels(title: Column) -> Column:
     )
 
 
+def classify_by_keywords(headlines: DataFrame, title: str = "title") -> DataFrame:
+    """Add label, confidence and model from the built-in keywords."""
+    hits = headlines.withColumn("__hits", keyword_hits(F.col(title)))
+    labelled = hits.withColumn("__r", keyword_labels(F.col("__hits")))
+    return labelled.select(*headlines.columns, "__r.*")
+
+
 def classify_batches(
     headlines: DataFrame, classifier: Callable, title: str = "title"
 ) -> DataFrame:

@@ -269,8 +269,8 @@ def classified(spark, d):
 
 
 def keyword_topics(spark, d):
-    rows = b.table(spark, d, "documents").select("doc_id", news.keyword_labels(F.col("text")).alias("r"))
-    return rows.select("doc_id", "r.*").select("doc_id", *news.category_columns())
+    docs = b.table(spark, d, "documents").select("doc_id", "text")
+    return news.classify_by_keywords(docs, "text").select("doc_id", *news.category_columns())
 
 
 def batch_topics(spark, d):
@@ -335,7 +335,7 @@ FEED_ROWS = f"""
     qualify row_number() over (partition by feed_id, link order by doc_id) = 1"""
 
 KEYWORD_HITS = ", ".join(
-    f"regexp_matches(text, '{news.keyword_pattern(words)}') as h{i}"
+    f"regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}])({'|'.join(words)})([^\\p{{L}}\\p{{N}}]|$)') as h{i}"
     for i, words in enumerate(news.KEYWORDS.values())
 )
 KEYWORD_N = " + ".join(f"h{i}::int" for i in range(len(news.KEYWORDS)))
