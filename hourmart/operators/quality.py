@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,13 +152,15 @@ def continuity_breaks(
     series: Sequence[str] = (),
     anchor: Column | None = None,
 ) -> DataFrame:
-    """All recent gaps of a series with more than the tolerated number of them."""
+    """All recent gaps of a series with more than the tolerated number of them.
+
+    A series has at most one gap per hour of the window, so the count runs over
+    small groups of gaps.
+    """
     gaps = hour_gaps(fact, days, series, anchor)
-    if series:
-        counts = gaps.groupBy(*series).agg(F.count(F.lit(1)).alias("n"))
-        busy = counts.where(F.col("n") > tolerated).select(*series)
-        return gaps.join(busy, list(series), "left_semi")
-    return gaps.where(gaps.agg(F.count(F.lit(1))).scalar() > tolerated)
+    per_series = Window.partitionBy(*(series or [F.lit(0)]))
+    counted = gaps.withColumn("n", F.count(F.lit(1)).over(per_series))
+    return counted.where(F.col("n") > tolerated).drop("n")
 
 
 def continuity_severity(degraded: DataFrame) -> DataFrame:

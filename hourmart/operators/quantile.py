@@ -57,7 +57,12 @@ def exact_quantile(df: DataFrame, column: str, p: float, default: float | None =
         low = _value_at(counts, below, total.lo, total.hi)
         if position == below:
             return low
-        high = _value_at(counts, below + 1, total.lo, total.hi)
+        value = F.col("value")
+        rest = counts.agg(
+            F.sum(F.when(value <= low, F.col("n"))).alias("n"),
+            F.min(F.when(value > low, value)).alias("next"),
+        ).first()
+        high = low if rest.n > below + 1 else rest.next
         return low + (high - low) * (position - below)
     finally:
         counts.unpersist()

@@ -11,9 +11,14 @@ from hourmart.functions.zones import days as day_interval
 from hourmart.functions.zones import midnight
 
 
-def newest(df: DataFrame, column: str) -> Column:
-    """Greatest value of a column as a scalar subquery."""
-    return df.select(column).agg(F.max(column)).scalar()
+def newest(*frames: DataFrame, column: str = "hour_utc") -> Column:
+    """Greatest value of a column over one or more frames, as a scalar subquery.
+
+    A merged table has the hours of its sources, so the newest hour of a lazy
+    fact is cheaper to take from the raw tables: one column and no shuffle.
+    """
+    found = [df.select(column).agg(F.max(column)).scalar() for df in frames]
+    return F.greatest(*found) if len(found) > 1 else found[0]
 
 
 def trailing(
@@ -27,7 +32,7 @@ def trailing(
 
     Pass a literal ``anchor`` when it is known, so the bound reaches the scan.
     """
-    bound = (newest(df, column) if anchor is None else anchor) - day_interval(days)
+    bound = (newest(df, column=column) if anchor is None else anchor) - day_interval(days)
     return df.where(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 

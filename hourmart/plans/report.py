@@ -54,10 +54,10 @@ def _first_at(value: Column, extreme: Column, condition: Column) -> Column:
     return F.min_by(value, order)
 
 
-def week_metrics(daily: DataFrame, fact: DataFrame) -> DataFrame:
+def week_metrics(daily: DataFrame, fact: DataFrame, last: Column | None = None) -> DataFrame:
     """One row: the last seven days against the seven before.  Averages are means
-    of daily averages."""
-    last = newest(daily, "local_date")
+    of daily averages.  ``last`` is the newest local date, if it is known."""
+    last = newest(daily, column="local_date") if last is None else last
     avg, negative = F.col("avg_price_eur_mwh"), F.col("negative_price_hours")
     date = F.col("local_date")
     this, prev = _in_week(date, last, 6), _in_week(date, last, 13)
@@ -88,9 +88,9 @@ def week_metrics(daily: DataFrame, fact: DataFrame) -> DataFrame:
     return per_day.withColumn("delta_pct", delta).crossJoin(F.broadcast(per_hour))
 
 
-def weekly_table(daily: DataFrame) -> DataFrame:
+def weekly_table(daily: DataFrame, last: Column | None = None) -> DataFrame:
     """The last seven days, each against the average of the week before."""
-    last, date = newest(daily, "local_date"), F.col("local_date")
+    last, date = newest(daily, column="local_date") if last is None else last, F.col("local_date")
     prev = day_frame(daily, date, last, 13).agg(exact_mean("avg_price_eur_mwh").alias("avg_prev"))
     delta = F.col("avg_price_eur_mwh") - F.col("avg_prev")
     return (
@@ -114,24 +114,23 @@ def hour_offset(local: Column, start: Column) -> Column:
     return F.timestamp_diff("HOUR", start, local).cast("bigint")
 
 
-def week_overlay(spark: SparkSession, fact: DataFrame, daily: DataFrame) -> DataFrame:
+def week_overlay(spark: SparkSession, fact: DataFrame, last: Column | None = None) -> DataFrame:
     """168 hour slots with this week's and last week's price.  Of the repeated
     autumn hour the later value stays."""
-    last = newest(daily, "local_date")
-
-    def slots(offset: int, name: str) -> DataFrame:
-        start = midnight(F.date_sub(last, offset))
-        local = F.col("hour_local")
-        week = fact.where((local >= start) & (local < start + days(7)))
-        value = F.max_by(round_half_even("price_eur_mwh", 2), F.col("hour_utc"))
-        return week.groupBy(hour_offset(local, start).alias("slot")).agg(value.alias(name))
-
-    spine = spark.range(WEEK_HOURS).select(F.col("id").alias("slot"))
-    return (
-        spine.join(slots(6, "current"), "slot", "left")
-        .join(slots(13, "previous"), "slot", "left")
-        .orderBy("slot")
+    last = newest(fact, column="hour_local").cast("date") if last is None else last
+    local, start = F.col("hour_local"), midnight(F.date_sub(last, 13))
+    offset = hour_offset(local, start)
+    price, this = round_half_even("price_eur_mwh", 2), offset >= WEEK_HOURS
+    slots = (
+        fact.where((local >= start) & (local < start + days(14)))
+        .groupBy((offset % WEEK_HOURS).alias("slot"))
+        .agg(
+            F.max_by(F.when(this, price), F.when(this, F.col("hour_utc"))).alias("current"),
+            F.max_by(F.when(~this, price), F.when(~this, F.col("hour_utc"))).alias("previous"),
+        )
     )
+    spine = spark.range(WEEK_HOURS).select(F.col("id").alias("slot"))
+    return spine.join(slots, "slot", "left").orderBy("slot")
 
 
 # -- months and years -------------------------------------------------------
@@ -151,7 +150,7 @@ def monthly(daily: DataFrame, last_months: int | None = None) -> DataFrame:
 
 def negative_hours_by_year(fact: DataFrame) -> DataFrame:
     """Negative hours per local year; the last year is partial until 31 December."""
-    last = newest(fact, "hour_local").cast("date")
+    last = newest(fact, column="hour_local").cast("date")
     year = F.year("hour_local").cast("bigint")
     partial = (F.col("year") == F.year(last)) & ~(
         (F.month(last) == 12) & (F.dayofmonth(last) == 31)
@@ -179,9 +178,11 @@ def yearly_prices(fact: DataFrame) -> DataFrame:
 # -- trailing summary and quality -------------------------------------------
 
 
-def trailing_summary(fact: DataFrame, windows: Sequence[int] = SUMMARY_WINDOWS) -> DataFrame:
+def trailing_summary(
+    fact: DataFrame, windows: Sequence[int] = SUMMARY_WINDOWS, latest: Column | None = None
+) -> DataFrame:
     """Price figures of several trailing windows in one pass over the longest."""
-    latest = newest(fact, "hour_utc")
+    latest = newest(fact) if latest is None else latest
     recent = trailing(fact, "hour_utc", max(windows), inclusive=False, anchor=latest)
     member = F.array_compact(
         F.array(

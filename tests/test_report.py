@@ -77,7 +77,7 @@ def test_weekly_table(daily):
 
 
 def test_overlay_keeps_the_later_repeated_hour(spark, fact, daily):
-    overlay = report.week_overlay(spark, fact, daily)
+    overlay = report.week_overlay(spark, fact)
     slots = {r.slot: r for r in overlay.collect()}
     assert sorted(slots) == list(range(168))
     # 02:00 local on the change day happened at 00:00 and 01:00 UTC.

@@ -12,7 +12,7 @@ from hourmart.operators.quantile import exact_quantile
 from hourmart.plans import dashboard, metrics, report
 from workload import bindings as b
 from workload import sql
-from workload.models import daily
+from workload.models import daily, newest_date, newest_hour
 
 NOW = dt.datetime(2024, 2, 1, 12, 0)
 
@@ -163,12 +163,12 @@ ENTRIES = {
                    {sql.rnd(sql.mean("price_diff_eur"))} as mean_diff, count(*) as hours_covered from fact""",
     ),
     "ag05_week_metrics": (
-        lambda s, d: report.week_metrics(daily(s, d), b.fact(s, d)),
+        lambda s, d: report.week_metrics(daily(s, d), b.fact(s, d), newest_date(s, d)),
         f"""select *, if(avg_prev = 0, 0, (avg_this - avg_prev) / avg_prev * 100e0) as delta_pct
             from ({WEEK_DAILY}), ({WEEK_HOURLY})""",
     ),
     "ag06_weekly_table": (
-        on_daily(report.weekly_table),
+        lambda s, d: report.weekly_table(daily(s, d), newest_date(s, d)),
         f"""select local_date, avg_price_eur_mwh, {sql.rnd("abs(avg_price_eur_mwh - avg_prev)")} as abs_delta,
                    if(avg_price_eur_mwh < avg_prev, 'down', 'up') as direction,
                    min_price_eur_mwh, max_price_eur_mwh, negative_price_hours
@@ -181,7 +181,7 @@ ENTRIES = {
     "ag08_all_months": (on_order_days(report.monthly), _monthly("order_daily")),
     "ag08_all_months_of_fact": (on_daily(report.monthly), _monthly("daily")),
     "ag09_trailing_summary": (
-        on_fact(report.trailing_summary),
+        lambda s, d: report.trailing_summary(b.fact(s, d), latest=newest_hour(s, d)),
         f"""select days as window_days, {sql.rnd(sql.mean("price_eur_mwh"))} as avg_price,
                    min(price_eur_mwh) as min_price, max(price_eur_mwh) as max_price,
                    {NEG} as negative_hours, {sql.rnd(f"{NEG} / count(*) * 100e0", 1)} as negative_pct
@@ -208,7 +208,7 @@ ENTRIES = {
                    count(*) filter (price_source <> 'primary') as fallback_hours from fact""",
     ),
     "ag13_fallback_share": (
-        on_fact(report.fallback_share),
+        lambda s, d: report.fallback_share(b.fact(s, d), anchor=newest_hour(s, d)),
         """select count(*) filter (price_source <> 'primary') as fallback_hours, count(*) as recent_hours,
                   count(*) filter (price_source <> 'primary') / count(*) > 0.05 as warn
            from fact where hour_utc >= (select max(hour_utc) from fact) - interval 14 day""",
@@ -346,7 +346,7 @@ ENTRIES = {
         f"select * from ({MEAN_DAY}) order by price desc, hour limit 3",
     ),
     "sf09_week_overlay": (
-        lambda s, d: report.week_overlay(s, b.fact(s, d), daily(s, d)),
+        lambda s, d: report.week_overlay(s, b.fact(s, d), newest_date(s, d)),
         f"""select slot, c.price as current, p.price as previous
             from (select unnest(range(168)) as slot) left join ({_overlay(6)}) c using (slot)
             left join ({_overlay(13)}) p using (slot)""",

@@ -10,13 +10,26 @@ from hourmart.functions.zones import hour_floor, hours
 from hourmart.operators.revisions import latest_revision
 from hourmart.plans.hourly import hourly_fact
 
+# Declared, not inferred: inference would open files before every query.
+SCHEMAS = {
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "labels": "doc_id long, quality int, toxic int",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "pages": "page_id long, url string, html string",
+}
 TIES = ("event_id",)
 PRICE_EVENTS = {"primary": "purchase", "secondary": "view"}
 WEATHER_EVENTS = {"station": ("click", 260), "reanalysis": ("signup", 0)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def prices(spark: SparkSession, sf_dir: str, role: str, *extra: str) -> DataFrame:

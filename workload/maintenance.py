@@ -24,7 +24,7 @@ from workload.documents import classified
 
 def _halves(df: DataFrame, at: str, back: int) -> tuple[DataFrame, DataFrame]:
     """Rows up to ``back`` days before the newest one, and the rows after."""
-    split = newest(df, at) - days(back)
+    split = newest(df, column=at) - days(back)
     return df.where(F.col(at) < split), df.where(F.col(at) >= split)
 
 

@@ -73,6 +73,15 @@ def weather_frames(spark, d):
     )
 
 
+def newest_hour(spark, d):
+    """Newest hour of the fact, from its raw sources."""
+    return trailing.newest(b.prices(spark, d, "primary"), b.prices(spark, d, "secondary"))
+
+
+def newest_date(spark, d):
+    return utc_to_local(newest_hour(spark, d)).cast("date")
+
+
 def daily(spark, d):
     return daily_plans.daily_summary(b.fact(spark, d))
 
@@ -183,7 +192,7 @@ def through(spark, d):
 
 def newest_weeks(spark, d):
     fact = b.fact(spark, d)
-    last = trailing.newest(fact, "hour_local").cast("date")
+    last = newest_date(spark, d)
     frame = trailing.day_frame(fact, F.col("hour_local").cast("date"), last, 13)
     return frame.select("hour_utc", "hour_local", "price_eur_mwh")
 
@@ -337,7 +346,7 @@ ENTRIES = {
             from (select *, l_extendedprice * (1e0 - l_discount) * (1e0 + l_tax) as net from lineitem)""",
     ),
     "wn05_hour_gaps": (
-        lambda s, d: gaps.hour_gaps(b.fact(s, d)),
+        lambda s, d: gaps.hour_gaps(b.fact(s, d), anchor=newest_hour(s, d)),
         """select hour_utc, prev_hour, date_diff('hour', prev_hour, hour_utc) as gap_hours
            from (select hour_utc, lag(hour_utc) over (order by hour_utc) as prev_hour from fact
                  where hour_utc >= (select max(hour_utc) from fact) - interval 14 day)
@@ -409,7 +418,9 @@ ENTRIES = {
             where hour_local < cast(date '{DAY}' + 1 as timestamp)""",
     ),
     "flt05_trailing_window": (
-        lambda s, d: trailing.trailing(b.fact(s, d), "hour_utc", 14).select("hour_utc", "price_source"),
+        lambda s, d: trailing.trailing(
+            b.fact(s, d), "hour_utc", 14, anchor=newest_hour(s, d)
+        ).select("hour_utc", "price_source"),
         """select hour_utc, price_source from fact
            where hour_utc >= (select max(hour_utc) from fact) - interval 14 day""",
     ),

@@ -147,7 +147,7 @@ ENTRIES = {
     "dq06_freshness": (freshness_per_source, _freshness("event_type", "source")),
     "dq06_freshness_per_user": (freshness_per_user, _freshness("user_id", "user_id")),
     "dq07_misaligned_prices": (
-        lambda s, d: quality.misaligned_prices(b.fact(s, d)),
+        lambda s, d: quality.misaligned_prices(b.fact(s, d), anchor=models.newest_hour(s, d)),
         """select hour_utc, price_eur_mwh, price_eur_mwh_cross_source, price_diff_eur from fact
            where price_diff_eur > 2 and hour_utc >= (select max(hour_utc) from fact) - interval 30 day""",
     ),
@@ -185,13 +185,20 @@ ENTRIES = {
         """select year from calendar where hours_in_day = 25
            and not (month = 10 and iso_day_of_week = 7 and day_of_month >= 25)""",
     ),
-    "dq10_continuity_breaks": (lambda s, d: quality.continuity_breaks(b.fact(s, d)), _breaks(2)),
+    "dq10_continuity_breaks": (
+        lambda s, d: quality.continuity_breaks(b.fact(s, d), anchor=models.newest_hour(s, d)),
+        _breaks(2),
+    ),
     "dq10_continuity_breaks_strict": (
-        lambda s, d: quality.continuity_breaks(b.fact(s, d), tolerated=0),
+        lambda s, d: quality.continuity_breaks(
+            b.fact(s, d), tolerated=0, anchor=models.newest_hour(s, d)
+        ),
         _breaks(0),
     ),
     "dq10_continuity_breaks_per_user": (
-        lambda s, d: quality.continuity_breaks(models.u_fact(s, d), series=["user_id"]),
+        lambda s, d: quality.continuity_breaks(
+            models.u_fact(s, d), series=["user_id"], anchor=models.newest_hour(s, d)
+        ),
         U_BREAKS,
     ),
     "dq10_severity": (
