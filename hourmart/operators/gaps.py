@@ -50,12 +50,9 @@ def gap_runs(gaps: DataFrame, series: Sequence[str] = ()) -> DataFrame:
 
 def leading_runs(runs: DataFrame, limit: int = 5) -> DataFrame:
     """The earliest runs, each with the number of runs left out."""
-    total = runs.agg(F.count(F.lit(1)).alias("n"))
+    total = runs.agg(F.count(F.lit(1))).scalar()
     shown = runs.orderBy("first_missing").limit(limit)
-    # The joined side is one aggregate row.
-    return shown.crossJoin(F.broadcast(total)).select(
-        *runs.columns, F.greatest(F.col("n") - limit, F.lit(0)).cast("bigint").alias("more_runs")
-    )
+    return shown.withColumn("more_runs", F.greatest(total - limit, F.lit(0)).cast("bigint"))
 
 
 def expected_hours(dates: DataFrame, date: str = "local_date", zone: str = MARKET_ZONE) -> DataFrame:

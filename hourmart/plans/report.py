@@ -16,10 +16,13 @@ from hourmart.functions.numbers import (
     round_scaled,
     share,
 )
-from hourmart.functions.zones import days, local_date, midnight
+from hourmart.functions.zones import days, local_date, midnight, utc_to_local
+from hourmart.operators.gaps import gap_runs, hour_gaps, leading_runs, missing_due_hours
 from hourmart.operators.quantile import exact_quantile
 from hourmart.operators.reconcile import PRIMARY
 from hourmart.operators.trailing import day_frame, newest, trailing
+from hourmart.plans.headlines import topic_counts, topic_totals
+from hourmart.sinks.runlog import source_health
 
 # Windows, thresholds and bands of the published figures.
 SUMMARY_WINDOWS = (1, 7, 30)
@@ -84,18 +87,21 @@ def week_metrics(daily: DataFrame, fact: DataFrame, last: Column | None = None)
     delta = F.when(prev_avg == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.col("avg_this") - prev_avg, prev_avg) * 100.0
     )
-    # Both sides are single aggregate rows.
-    return per_day.withColumn("delta_pct", delta).crossJoin(F.broadcast(per_hour))
+    hours = per_hour.select(F.struct("*")).scalar()
+    return per_day.select(
+        "*",
+        delta.alias("delta_pct"),
+        *[hours.getField(c).alias(c) for c in per_hour.columns],
+    )
 
 
 def weekly_table(daily: DataFrame, last: Column | None = None) -> DataFrame:
     """The last seven days, each against the average of the week before."""
     last, date = newest(daily, column="local_date") if last is None else last, F.col("local_date")
-    prev = day_frame(daily, date, last, 13).agg(exact_mean("avg_price_eur_mwh").alias("avg_prev"))
-    delta = F.col("avg_price_eur_mwh") - F.col("avg_prev")
+    prev = day_frame(daily, date, last, 13).agg(exact_mean("avg_price_eur_mwh")).scalar()
+    delta = F.col("avg_price_eur_mwh") - prev
     return (
         day_frame(daily, date, last, 6)
-        .crossJoin(F.broadcast(prev))
         .select(
             "local_date",
             "avg_price_eur_mwh",
@@ -353,6 +359,53 @@ def price_p98(spark: SparkSession, fact: DataFrame, p: float = 0.98) -> DataFram
     return spark.range(1).select(round_half_even(F.lit(top), 1).alias("p98"))
 
 
+def report_frames(
+    spark: SparkSession, fact: DataFrame, daily: DataFrame, headlines: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Every table and chart of the market report, as lazy frames."""
+    frames = {
+        "week": week_metrics(daily, fact),
+        "days": weekly_table(daily),
+        "months": monthly(daily, 12),
+        "statistics": correlations(fact),
+        "tiles": cross_source_tiles(fact),
+        "overlay": week_overlay(spark, fact),
+        "fingerprint": fingerprint(fact),
+        "p98": price_p98(spark, fact),
+        "profile": day_profile(fact),
+        "all_months": monthly(daily),
+        "wind_days": wind_days(fact),
+        "wind_correlation": wind_correlation(fact),
+    }
+    if headlines is not None:
+        frames["topics"] = topic_counts(headlines)
+    return frames
+
+
+def summary_frames(
+    fact: DataFrame,
+    log: DataFrame,
+    now: Column,
+    primary: str = PRIMARY,
+    headlines: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Every part of the run summary, as lazy frames.  ``log`` is the run log."""
+    today = fact.sparkSession.range(1).select(utc_to_local(now).cast("date").alias("local_date"))
+    frames = {
+        "coverage": coverage(fact, now, primary),
+        "gaps": leading_runs(gap_runs(hour_gaps(fact))),
+        "missing_today": missing_due_hours(today, fact),
+        "fallback": fallback_share(fact, primary=primary),
+        "windows": trailing_summary(fact),
+        "quality": quality_block(fact),
+        "sources": source_health(log),
+    }
+    if headlines is not None:
+        frames["topics"] = topic_counts(headlines)
+        frames["topic_totals"] = topic_totals(headlines)
+    return frames
+
+
 # -- drivers ----------------------------------------------------------------
 
 

@@ -20,12 +20,18 @@ LITERAL_PARTITIONS = 1000
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge_schema: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """The table at a path, or None when nothing is stored there yet."""
-    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    """The table at a path, or None when nothing is stored there yet.
+
+    Files may differ in columns that were added later.  With a schema (pass it
+    for large tables) they are filled in; without one all footers are read to
+    find every column.
+    """
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = spark.read.schema(schema)
+    else:
+        reader = spark.read.option("mergeSchema", "true")
     try:
         return reader.parquet(path)
     except AnalysisException as error:
@@ -175,6 +181,24 @@ def _newest_key(target: DataFrame, key: str, partition: str) -> dt.datetime | dt
     return target.where(F.col(partition) == last).agg(F.max(key)).first()[0]
 
 
+def reload_range(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    at: str,
+    start: dt.datetime,
+    end: dt.datetime,
+    keys: Sequence[str],
+    partition: str,
+    partition_value: Column,
+    **options,
+) -> int:
+    """Load ``[start, end)`` of a source again.  The bounds are literals that the
+    source's scan can use; partitions of the table take the place of load chunks."""
+    batch = source.where((F.col(at) >= F.lit(start)) & (F.col(at) < F.lit(end)))
+    return upsert_table(spark, path, batch, keys, partition, partition_value, **options)
+
+
 def export_marts(
     marts: Mapping[str, DataFrame | None], out: str, contracts: Mapping[str, T.StructType] = MARTS
 ) -> list[str]:

@@ -40,9 +40,9 @@ def chunk_index(at: Column, start: Column, days: int = 30) -> Column:
 def chunk_counts(df: DataFrame, at: str, days: int = 30) -> DataFrame:
     """Rows per day chunk of the table's own range, for planning a backfill."""
     bounds = df.agg(F.min(at).alias("lo"), (F.max(at) + F.make_dt_interval(F.lit(1))).alias("hi"))
-    # One aggregate row.
-    indexed = df.crossJoin(F.broadcast(bounds)).withColumn("chunk", chunk_index(F.col(at), F.col("lo"), days))
-    counts = indexed.groupBy("chunk").agg(F.count(F.lit(1)).alias("n_rows"))
+    start = bounds.select("lo").scalar()
+    index = chunk_index(F.col(at), start, days)
+    counts = df.groupBy(index.alias("chunk")).agg(F.count(F.lit(1)).alias("n_rows"))
     chunks = day_chunks(bounds, "lo", "hi", days).withColumn(
         "chunk", chunk_index(F.col("chunk_start"), F.col("lo"), days)
     )

@@ -9,6 +9,7 @@ from hourmart.functions.zones import utc_to_local
 from hourmart.plans import dashboard, metrics, report, serving
 from hourmart.plans.daily import daily_summary
 from hourmart.plans.hourly import with_negative_flag
+from hourmart.schemas import RUN_LOG
 from tests.helpers import rows, ts
 
 HOUR = dt.timedelta(hours=1)
@@ -177,6 +178,22 @@ def test_read_queries(fact, daily):
     assert serving.hourly_prices(fact, dt.date(2030, 1, 1)).count() == 0
 
 
+def test_report_and_summary_frames(spark, fact, daily):
+    news = spark.createDataFrame([("gas",), (None,)], "category string")
+    frames = report.report_frames(spark, fact, daily, news)
+    assert len(frames) == 13
+    assert {name: f.count() for name, f in frames.items()}["topics"] == 1
+    log = spark.createDataFrame([("p", ts("2025-10-31"), None, None, 5)], RUN_LOG)
+    now = F.lit(ts("2025-11-01 12:00")).cast("timestamp_ntz")
+    summary = report.summary_frames(fact, log, now, headlines=news)
+    counts = {name: f.count() for name, f in summary.items()}
+    # The fact ends with 31 October: all hours of 1 November local time are due.
+    assert counts == {
+        "coverage": 1, "gaps": 0, "missing_today": 24, "fallback": 1, "windows": 3,
+        "quality": 1, "sources": 1, "topics": 1, "topic_totals": 1,
+    }
+
+
 def test_dashboard_has_six_queries(fact, daily):
     frames = {"hourly_fact": fact.withColumn("x", F.lit(1)), "daily_summary": daily}
     assert len(dashboard.QUERIES) == 6

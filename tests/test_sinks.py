@@ -85,6 +85,28 @@ def test_new_columns_are_appended(spark):
     assert rows(tables.upsert_frame(old, new, ["k"])) == [(1, "a", None), (2, "b", 7)]
 
 
+def test_added_column_survives_later_batches(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, batch(spark, *POINTS))
+    upsert(spark, path, batch(spark, ("2026-01-01 05:00", 1.0)).withColumn("note", F.lit("new")))
+    upsert(spark, path, batch(spark, ("2026-01-01 06:00", 2.0)))
+    got = dict(rows(tables.read_table(spark, path), "hour_utc", "note"))
+    assert got[ts("2026-01-01 05:00")] == "new"
+    assert len(got) == 5 and list(got.values()).count(None) == 4
+
+
+def test_reload_replaces_only_the_range(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(spark, path, batch(spark, *POINTS))
+    source = batch(spark, *[(h, p + 1) for h, p in POINTS])
+    n = tables.reload_range(
+        spark, path, source, "hour_utc", ts("2026-01-01 01:00"), ts("2026-01-02"), ["hour_utc"],
+        "day", F.col("hour_utc").cast("date"),
+    )
+    assert n == 1
+    assert [p for _, p in stored(spark, path)] == [10.0, 21.0, 30.0]
+
+
 def raw_inputs(spark, n_hours, revised=()):
     start = ts("2026-01-01")
     points = [(str(start + i * HOUR), float(i)) for i in range(n_hours)]

@@ -22,6 +22,9 @@ from workload import models, sql
 from workload.documents import classified
 
 
+RELOADED = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 22))
+
+
 def _halves(df: DataFrame, at: str, back: int) -> tuple[DataFrame, DataFrame]:
     """Rows up to ``back`` days before the newest one, and the rows after."""
     split = newest(df, column=at) - days(back)
@@ -50,6 +53,19 @@ def upserted_table(spark, d):
     return spark.read.parquet(path).drop("day")
 
 
+def reloaded_range(spark, d):
+    """Secondary prices with two weeks reloaded from the primary source."""
+    path = work_folder(spark, "prices")
+    day = F.col("hour_utc").cast("date")
+    keyed = (["hour_utc"], "day", day)
+    newest_first = {"updated_at": "fetched_at", "ties": b.TIES}
+    tables.upsert_table(spark, path, b.prices(spark, d, "secondary"), *keyed, **newest_first)
+    tables.reload_range(
+        spark, path, b.prices(spark, d, "primary"), "hour_utc", *RELOADED, *keyed, **newest_first
+    )
+    return spark.read.parquet(path).drop("day")
+
+
 def incremental_fact(spark, d):
     """A fact without its last ten days, then refreshed with the lookback."""
     raw = b.raw_tables(spark, d)
@@ -98,7 +114,7 @@ def evolved_table(spark, d):
     tables.upsert_table(spark, path, first, ["hour_utc"], "day", day, "fetched_at", b.TIES)
     wider = second.withColumn("batch", F.lit("late"))
     tables.upsert_table(spark, path, wider, ["hour_utc"], "day", day, "fetched_at", b.TIES)
-    return tables.read_table(spark, path, merge_schema=True).drop("day")
+    return tables.read_table(spark, path).drop("day")
 
 
 def snapshot_history(spark, d):
@@ -251,6 +267,14 @@ SPLIT = "(select max({at}) - interval {n} day as split from primary_raw)"
 ENTRIES = {
     "snk01_upsert_frame": (upserted_frame, UPSERTED),
     "snk01_upsert_table": (upserted_table, UPSERTED),
+    "src11_reloaded_range": (
+        reloaded_range,
+        f"""select * from (with new as (select * from primary_prices
+                         where hour_utc >= timestamp '{RELOADED[0]}' and hour_utc < timestamp '{RELOADED[1]}')
+            select hour_utc, price_eur_mwh, fetched_at, event_id from new
+            union all select hour_utc, price_eur_mwh, fetched_at, event_id from secondary_prices
+            where hour_utc not in (select hour_utc from new))""",
+    ),
     "snk02_incremental_fact": (incremental_fact, f"select {models.FACT} from fact"),
     "snk03_incremental_daily": (incremental_daily, "select * from daily"),
     "snk04_evolved_table": (
