@@ -318,12 +318,16 @@ def mail_dates(spark, d):
 
 
 POINT_COLUMNS = "doc_id, hour_utc, price_eur_mwh"
-UNESCAPED = "replace(replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&nbsp;', ' '), '&amp;', '&')"
+# The entities of the pages; HTML accepts these names without a semicolon, too.
+ENTITIES = {"quot": '"', "copy": "©", "middot": "·", "nbsp": " ", "amp": "&"}
 
 
 def _clean(x: str) -> str:
-    bare = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
-    return f"trim(regexp_replace({UNESCAPED.format(bare)}, '[\\s\\x0b\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{3000}}]+', ' ', 'g'))"
+    text = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
+    for name, character in ENTITIES.items():
+        text = f"regexp_replace({text}, '&{name};?', '{character}', 'g')"
+    space = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{2000}-\x{200a}\x{3000}]+"
+    return f"trim(regexp_replace({text}, '{space}', ' ', 'g'))"
 
 
 FEED_ROWS = f"""
