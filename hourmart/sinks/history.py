@@ -5,11 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourmart.operators.ordered import with_neighbours
 from hourmart.operators.revisions import latest_revision
+from hourmart.session import remove_folder, work_folder
+from hourmart.sinks.tables import only_partitions, read_table, write_partitions
 
 
 def apply_revisions(
@@ -69,6 +71,46 @@ def columns_of(keys: Sequence[str], columns: Sequence[str], row: str) -> list:
     return [*cols, F.col(f"{row}.valid_from"), F.col(f"{row}.valid_to")]
 
 
+def snapshot_table(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    partition_value: Column,
+    updated_at: str = "source_fetched_at",
+    run_at: dt.datetime | None = None,
+) -> None:
+    """Apply a snapshot to a history table partitioned by a function of the key.
+
+    Keys and times alone decide which partitions hold a change; only those are
+    read in full and rewritten.
+    """
+    folder = work_folder(spark, "snapshot")
+    current = current.withColumn(partition, partition_value)
+    current.write.parquet(folder)
+    try:
+        staged = spark.read.schema(current.schema).parquet(folder)
+        history = read_table(spark, path)
+        if history is None:
+            opened = staged.withColumns(
+                {"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast("timestamp_ntz")}
+            )
+            write_partitions(opened, path, partition, keys)
+            return
+        on = [*keys, partition]
+        old = history.where(F.col("valid_to").isNull()).select(*on, F.col(updated_at).alias("old"))
+        new = staged.select(*on, F.col(updated_at).alias("new"))
+        changed = F.col("old").isNull() | F.col("new").isNull() | (F.col("new") > F.col("old"))
+        touched = old.join(new, on, "full").where(changed).select(partition).distinct()
+        history, staged = only_partitions(touched, partition, history, staged)
+        write_partitions(
+            apply_revisions(history, staged, on, updated_at, run_at), path, partition, keys
+        )
+    finally:
+        remove_folder(spark, folder)
+
+
 def history_from_log(
     revisions: DataFrame,
     keys: Sequence[str],

@@ -71,6 +71,14 @@ def write_partitions(
     )
 
 
+def only_partitions(touched: DataFrame, partition: str, *frames: DataFrame) -> list[DataFrame]:
+    """The frames restricted to the touched partitions."""
+    values = [r[0] for r in touched.limit(LITERAL_PARTITIONS + 1).collect()]
+    if len(values) <= LITERAL_PARTITIONS:
+        return [f.where(F.col(partition).isin(values)) for f in frames]
+    return [f.join(touched, partition, "left_semi").select(*f.columns) for f in frames]
+
+
 def upsert_frame(
     target: DataFrame,
     batch: DataFrame,
@@ -133,12 +141,7 @@ def _merge_into(
     if target is None:
         merged = latest_revision(staged, keys, updated_at, ties) if updated_at else staged
     else:
-        touched = staged.select(partition).distinct()
-        values = [r[0] for r in touched.limit(LITERAL_PARTITIONS + 1).collect()]
-        if len(values) <= LITERAL_PARTITIONS:
-            target = target.where(F.col(partition).isin(values))
-        else:
-            target = target.join(touched, partition, "left_semi")
+        [target] = only_partitions(staged.select(partition).distinct(), partition, target)
         merged = upsert_frame(target, staged, keys, updated_at, ties)
     write_partitions(merged, path, partition, keys)
 

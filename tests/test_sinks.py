@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourmart.operators.quality import contract_differences, several_open_revisions
+from hourmart.plans.daily import daily_summary
 from hourmart.plans.hourly import hourly_fact
+from hourmart.plans.refresh import refresh_daily_summary, refresh_hourly_fact
 from hourmart.schemas import DAILY_SUMMARY, HOURLY_FACT, PRICES, WEATHER
 from hourmart.sinks import history, tables
 from hourmart.sources import ranges
@@ -118,10 +120,7 @@ def raw_inputs(spark, n_hours, revised=()):
 
 
 def refresh(spark, path, inputs, **kwargs):
-    return tables.incremental_refresh(
-        spark, path, lambda since: hourly_fact(*inputs, since=since),
-        "hour_utc", "day", F.col("hour_utc").cast("date"), **kwargs,
-    )
+    return refresh_hourly_fact(spark, path, *inputs, **kwargs)
 
 
 def test_incremental_refresh_and_lookback(spark, tmp_path):
@@ -147,6 +146,16 @@ def test_rows_gone_upstream_stay(spark, tmp_path):
     assert len(stored(spark, path)) == 48
 
 
+def test_daily_refresh_equals_full_build(spark, tmp_path):
+    hours, days = str(tmp_path / "fact"), str(tmp_path / "daily")
+    for n in (15, 21):
+        refresh(spark, hours, raw_inputs(spark, n * 24 + 5))
+        fact = spark.read.parquet(hours)
+        refresh_daily_summary(spark, days, fact)
+    got = spark.read.parquet(days).select(*DAILY_SUMMARY.fieldNames())
+    assert rows(got) == rows(daily_summary(fact))
+
+
 CURRENT = "hour_utc timestamp_ntz, price double, source_fetched_at timestamp_ntz"
 HISTORY = CURRENT + ", valid_from timestamp_ntz, valid_to timestamp_ntz"
 
@@ -173,6 +182,29 @@ def test_history(spark):
     assert back.where("price = 2").count() == 2
 
 
+def test_history_table_rewrites_only_changed_partitions(spark, tmp_path):
+    path = tmp_path / "h"
+    h1, h2 = ts("2026-01-01 01:00"), ts("2026-01-02 01:00")
+    t1, t2 = ts("2026-01-03"), ts("2026-01-04")
+
+    def take(*data):
+        current = spark.createDataFrame(list(data), CURRENT)
+        day = F.col("hour_utc").cast("date")
+        history.snapshot_table(spark, str(path), current, ["hour_utc"], "day", day, run_at=ts("2026-02-01"))
+
+    take((h1, 1.0, t1), (h2, 2.0, t1))
+    before = {p.name for p in (path / "day=2026-01-01").iterdir()}
+    take((h1, 1.0, t1), (h2, 3.0, t2))
+    assert {p.name for p in (path / "day=2026-01-01").iterdir()} == before
+    assert rows(spark.read.parquet(str(path)), "hour_utc", "price", "valid_from", "valid_to") == [
+        (h1, 1.0, t1, None),
+        (h2, 2.0, t1, t2),
+        (h2, 3.0, t2, None),
+    ]
+    take((h2, 3.0, t2))
+    assert spark.read.parquet(str(path)).where("valid_to is null").count() == 1
+
+
 def test_history_of_a_log(spark):
     h = ts("2026-01-01 01:00")
     log = spark.createDataFrame(

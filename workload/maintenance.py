@@ -12,7 +12,7 @@ from hourmart.operators.revisions import latest_revision
 from hourmart.operators.trailing import newest
 from hourmart.plans import daily as daily_plans
 
-from hourmart.plans import hourly
+from hourmart.plans import hourly, refresh
 from hourmart.schemas import DAILY_SUMMARY
 from hourmart.session import work_folder
 from hourmart.sinks import history, runlog, tables
@@ -22,6 +22,7 @@ from workload import models, sql
 from workload.documents import classified
 
 
+RUN = dt.datetime(2024, 2, 1)
 RELOADED = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 22))
 
 
@@ -69,40 +70,21 @@ def reloaded_range(spark, d):
 def incremental_fact(spark, d):
     """A fact without its last ten days, then refreshed with the lookback."""
     raw = b.raw_tables(spark, d)
-    early = [_halves(r, "fetched_at", 10)[0] for r in raw]
     path = work_folder(spark, "fact")
-
-    def refresh(inputs):
-        return tables.incremental_refresh(
-            spark,
-            path,
-            lambda since: hourly.hourly_fact(*inputs, ties=b.TIES, since=since),
-            key="hour_utc",
-            partition="day",
-            partition_value=F.col("hour_utc").cast("date"),
-        )
-
-    refresh(early)
-    refresh(raw)
+    early = [_halves(r, "fetched_at", 10)[0] for r in raw]
+    for inputs in (early, raw):
+        refresh.refresh_hourly_fact(spark, path, *inputs, ties=b.TIES)
     return spark.read.parquet(path).drop("day")
 
 
 def incremental_daily(spark, d):
     """A daily summary without its last ten days, then refreshed with the lookback."""
-    fact = tables.stage(spark, b.fact(spark, d), "fact")
-    path = work_folder(spark, "daily")
-
-    def refresh(source):
-        def build(since):
-            rows = source if since is None else source.where(local_date("hour_local") >= F.lit(since))
-            return daily_plans.daily_summary(rows)
-
-        return tables.incremental_refresh(
-            spark, path, build, "local_date", "month", F.date_format("local_date", "yyyy-MM")
-        )
-
-    refresh(_halves(fact, "hour_utc", 10)[0])
-    refresh(fact)
+    raw = b.raw_tables(spark, d)
+    hours, path = work_folder(spark, "fact"), work_folder(spark, "daily")
+    refresh.refresh_hourly_fact(spark, hours, *raw, ties=b.TIES)
+    fact = spark.read.parquet(hours)
+    for source in (_halves(fact, "hour_utc", 10)[0], fact):
+        refresh.refresh_daily_summary(spark, path, source)
     return spark.read.parquet(path).select(*DAILY_SUMMARY.fieldNames())
 
 
@@ -117,24 +99,36 @@ def evolved_table(spark, d):
     return tables.read_table(spark, path).drop("day")
 
 
-def snapshot_history(spark, d):
-    """Two snapshots: newest revision per hour up to ten days back, then of the
-    hours of the last twenty days, so earlier hours vanish and are closed."""
+def _snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Newest revision per hour up to ten days back, then of the hours of the last
+    twenty days, fetched later: earlier hours vanish, others are revised or new."""
     raw = b.prices(spark, d, "primary")
-    run = dt.datetime(2024, 2, 1)
+    later = _halves(raw, "hour_utc", 20)[1].withColumn("fetched_at", F.col("fetched_at") + days(1))
+    first = _halves(raw, "fetched_at", 10)[0]
+    return tuple(hourly.staged_prices(rows, ties=b.TIES) for rows in (first, later))
 
-    def current(rows):
-        return hourly.staged_prices(rows, ties=b.TIES)
 
-    first = current(_halves(raw, "fetched_at", 10)[0])
-    opened = first.select(
+def snapshot_history(spark, d):
+    """Two snapshots as frames; the second one is applied twice."""
+    first, second = _snapshots(spark, d)
+    history_ = first.select(
         "*",
         F.col("source_fetched_at").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
     )
-    second = current(_halves(raw, "hour_utc", 20)[1].withColumn("fetched_at", F.col("fetched_at") + days(1)))
-    once = history.apply_revisions(opened, second, ["hour_utc"], run_at=run)
-    return history.apply_revisions(once, second, ["hour_utc"], run_at=run)
+    for current in (second, second):
+        history_ = history.apply_revisions(history_, current, ["hour_utc"], run_at=RUN)
+    return history_
+
+
+def snapshot_table(spark, d):
+    """The same through a table partitioned by day."""
+    path = work_folder(spark, "history")
+    first, second = _snapshots(spark, d)
+    day = F.col("hour_utc").cast("date")
+    for current in (first, second, second):
+        history.snapshot_table(spark, path, current, ["hour_utc"], "day", day, run_at=RUN)
+    return spark.read.parquet(path).drop("day")
 
 
 def appended_log(spark, d):
@@ -263,6 +257,19 @@ UPSERTED = """
     select hour_utc, price_eur_mwh, fetched_at, event_id from secondary_prices
     where hour_utc not in (select hour_utc from primary_prices)"""
 SPLIT = "(select max({at}) - interval {n} day as split from primary_raw)"
+SNAPSHOTS = f"""select * from (with a as (select hour_utc, price_eur_mwh, fetched_at
+               from primary_raw, {SPLIT.format(at="fetched_at", n=10)} where fetched_at < split
+               qualify row_number() over (partition by hour_utc order by fetched_at desc, event_id desc) = 1),
+         c as (select hour_utc, price_eur_mwh, fetched_at + interval 1 day as fetched_at
+               from primary_prices, {SPLIT.format(at="hour_utc", n=20)} where hour_utc >= split)
+    select a.hour_utc, a.price_eur_mwh, a.fetched_at as source_fetched_at, a.fetched_at as valid_from,
+           case when c.hour_utc is null then timestamp '2024-02-01'
+                when c.fetched_at > a.fetched_at then c.fetched_at end as valid_to
+    from a left join c using (hour_utc)
+    union all
+    select c.hour_utc, c.price_eur_mwh, c.fetched_at, c.fetched_at, null
+    from c left join a using (hour_utc)
+    where a.hour_utc is null or c.fetched_at > a.fetched_at)"""
 
 ENTRIES = {
     "snk01_upsert_frame": (upserted_frame, UPSERTED),
@@ -283,22 +290,8 @@ ENTRIES = {
                    if(fetched_at >= split, 'late', null) as batch
             from primary_prices, {SPLIT.format(at="fetched_at", n=10)}""",
     ),
-    "snk05_snapshot_history": (
-        snapshot_history,
-        f"""select * from (with a as (select hour_utc, price_eur_mwh, fetched_at
-                       from primary_raw, {SPLIT.format(at="fetched_at", n=10)} where fetched_at < split
-                       qualify row_number() over (partition by hour_utc order by fetched_at desc, event_id desc) = 1),
-                 c as (select hour_utc, price_eur_mwh, fetched_at + interval 1 day as fetched_at
-                       from primary_prices, {SPLIT.format(at="hour_utc", n=20)} where hour_utc >= split)
-            select a.hour_utc, a.price_eur_mwh, a.fetched_at as source_fetched_at, a.fetched_at as valid_from,
-                   case when c.hour_utc is null then timestamp '2024-02-01'
-                        when c.fetched_at > a.fetched_at then c.fetched_at end as valid_to
-            from a left join c using (hour_utc)
-            union all
-            select c.hour_utc, c.price_eur_mwh, c.fetched_at, c.fetched_at, null
-            from c left join a using (hour_utc)
-            where a.hour_utc is null or c.fetched_at > a.fetched_at)""",
-    ),
+    "snk05_snapshot_history": (snapshot_history, SNAPSHOTS),
+    "snk05_snapshot_table": (snapshot_table, SNAPSHOTS),
     "snk06_appended_log": (
         appended_log,
         """select source, count(*) as runs, cast(sum(rows_written) as bigint) as rows_total, max(run_at) as last_run
