@@ -8,6 +8,8 @@ naive timestamps and instants change nothing.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,13 @@ def days(n: int) -> Column:
     return F.make_dt_interval(F.lit(n))
 
 
+def instant(value: dt.datetime | None) -> Column:
+    """A naive datetime as a literal.  ``F.lit`` would read it in the time zone of
+    the driver's machine."""
+    text = None if value is None else value.isoformat(" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

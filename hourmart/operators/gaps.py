@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart.functions.zones import MARKET_ZONE, due_hours, hours
@@ -16,7 +17,7 @@ def hour_gaps(
     fact: DataFrame,
     days: int | None = 14,
     series: Sequence[str] = (),
-    anchor: Column | None = None,
+    anchor: dt.datetime | None = None,
 ) -> DataFrame:
     """Hours that do not follow directly on the hour before them.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourmart.functions.numbers import count_if
+from hourmart.functions.zones import instant
 from hourmart.operators.gaps import hour_gaps
 from hourmart.operators.reconcile import SECONDARY
 from hourmart.operators.trailing import trailing
@@ -80,7 +81,7 @@ def enforce_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
 
 def freshness(
     df: DataFrame,
-    now: Column,
+    now: dt.datetime,
     loaded_at: str = "fetched_at",
     by: Sequence[str] = (),
     warn: dt.timedelta | None = WARN_AFTER,
@@ -90,7 +91,7 @@ def freshness(
 
     A limit of None is switched off.
     """
-    age = F.timestamp_diff("SECOND", F.col("last_loaded"), now)
+    age = F.timestamp_diff("SECOND", F.col("last_loaded"), instant(now))
     state = F.lit("pass")
     if warn is not None:
         state = F.when(age > warn.total_seconds(), "warn").otherwise(state)
@@ -106,7 +107,7 @@ def misaligned_prices(
     fact: DataFrame,
     tolerance: float = ALIGNMENT_TOLERANCE,
     days: int = ALIGNMENT_DAYS,
-    anchor: Column | None = None,
+    anchor: dt.datetime | None = None,
 ) -> DataFrame:
     """Recent hours where the sources differ by more than the tolerance."""
     recent = trailing(fact, "hour_utc", days, anchor=anchor)
@@ -150,7 +151,7 @@ def continuity_breaks(
     days: int = CONTINUITY_DAYS,
     tolerated: int = TOLERATED_GAPS,
     series: Sequence[str] = (),
-    anchor: Column | None = None,
+    anchor: dt.datetime | None = None,
 ) -> DataFrame:
     """All recent gaps of a series with more than the tolerated number of them.
 

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import days as day_interval
-from hourmart.functions.zones import midnight
+from hourmart.functions.zones import instant, midnight
 
 
-def newest(*frames: DataFrame, column: str = "hour_utc") -> Column:
-    """Greatest value of a column over one or more frames, as a scalar subquery.
+def newest(*frames: DataFrame, column: str = "hour_utc") -> dt.datetime | dt.date | None:
+    """Greatest value of a column over one or more frames, fetched as one value.
 
-    A merged table has the hours of its sources, so the newest hour of a lazy
-    fact is cheaper to take from the raw tables: one column and no shuffle.
+    A fetched bound is a literal in the queries that use it, so it reaches the
+    scans.  A merged table has the hours of its sources: the newest hour of a
+    lazy fact is cheaper to take from the raw tables, one column and no shuffle.
     """
-    found = [df.select(column).agg(F.max(column)).scalar() for df in frames]
-    return F.greatest(*found) if len(found) > 1 else found[0]
+    values = [df.select(F.col(column).alias("v")) for df in frames]
+    return reduce(DataFrame.unionByName, values).agg(F.max("v")).first()[0]
 
 
 def trailing(
@@ -26,13 +27,11 @@ def trailing(
     column: str,
     days: int,
     inclusive: bool = True,
-    anchor: Column | None = None,
+    anchor: dt.datetime | None = None,
 ) -> DataFrame:
-    """Rows of the last ``days`` days before the newest row.
-
-    Pass a literal ``anchor`` when it is known, so the bound reaches the scan.
-    """
-    bound = (newest(df, column=column) if anchor is None else anchor) - day_interval(days)
+    """Rows of the last ``days`` days before the anchor (default: the newest row)."""
+    anchor = newest(df, column=column) if anchor is None else anchor
+    bound = instant(None if anchor is None else anchor - dt.timedelta(days=days))
     return df.where(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
@@ -63,8 +62,10 @@ def on_date(df: DataFrame, column: str, date: dt.date | Column) -> DataFrame:
 
 
 def day_frame(
-    df: DataFrame, date: Column, last_date: Column, offset_days: int, length: int = 7
+    df: DataFrame, date: str, last_date: dt.date | None, offset_days: int, length: int = 7
 ) -> DataFrame:
-    """Half-open frame of ``length`` days that starts ``offset_days`` before the last date."""
-    start = F.date_sub(last_date, offset_days)
-    return df.where((date >= start) & (date < F.date_add(start, length)))
+    """Half-open frame of ``length`` days that starts ``offset_days`` before the
+    last date.  ``date`` is a date or a timestamp column."""
+    start = F.date_sub(F.lit(last_date).cast("date"), offset_days)
+    end = F.date_add(start, length)
+    return df.where((F.col(date) >= midnight(start)) & (F.col(date) < midnight(end)))

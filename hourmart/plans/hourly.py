@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import MARKET_ZONE, hours, local_to_utc, utc_to_local
+from hourmart.functions.zones import MARKET_ZONE, hours, instant, local_to_utc, utc_to_local
 from hourmart.operators.reconcile import PRIMARY, SECONDARY, attach_weather, merge_prices
 from hourmart.operators.revisions import first_by, latest_revision, pick_by_priority
 
@@ -28,7 +28,7 @@ def staged_prices(
 ) -> DataFrame:
     """Newest revision per hour; with ``zone`` also the local hour."""
     if since is not None:
-        raw = raw.where(F.col("hour_utc") >= F.lit(since))
+        raw = raw.where(F.col("hour_utc") >= instant(since))
     rows = latest_revision(raw, [*series, "hour_utc"], "fetched_at", ties)
     local = [utc_to_local("hour_utc", zone).alias("hour_local")] if zone else []
     return rows.select(
@@ -41,7 +41,7 @@ def _intervals(raw: DataFrame, zone: str, since: dt.datetime | None) -> DataFram
     wall-clock label, 0-23."""
     if since is not None:
         # A label lies within a day of its UTC hour; this bound reaches the scan.
-        raw = raw.where(F.col("interval_end_local") >= F.lit(since - dt.timedelta(days=1)))
+        raw = raw.where(F.col("interval_end_local") >= instant(since - dt.timedelta(days=1)))
     end = local_to_utc("interval_end_local", zone)
     rows = raw.withColumn("interval_end_utc", end)
     return rows.withColumns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,7 +17,7 @@ from hourmart.functions.numbers import (
     round_scaled,
     share,
 )
-from hourmart.functions.zones import days, local_date, midnight, utc_to_local
+from hourmart.functions.zones import days, instant, local_date, midnight, utc_to_local
 from hourmart.operators.gaps import gap_runs, hour_gaps, leading_runs, missing_due_hours
 from hourmart.operators.quantile import exact_quantile
 from hourmart.operators.reconcile import PRIMARY
@@ -46,25 +47,25 @@ def _negative() -> Column:
 # -- week over week ---------------------------------------------------------
 
 
-def _in_week(date: Column, last: Column, offset: int) -> Column:
-    start = F.date_sub(last, offset)
+def _in_week(last: dt.date | None, offset: int) -> Column:
+    start = F.date_sub(F.lit(last).cast("date"), offset)
+    date = F.col("local_date")
     return (date >= start) & (date < F.date_add(start, 7))
 
 
-def _first_at(value: Column, extreme: Column, condition: Column) -> Column:
+def _first_at(value: Column, extreme: Column) -> Column:
     """Value of the first hour, in UTC order, with the smallest ``extreme``."""
-    order = F.when(condition & extreme.isNotNull(), F.struct(extreme, F.col("hour_utc")))
+    order = F.when(extreme.isNotNull(), F.struct(extreme, F.col("hour_utc")))
     return F.min_by(value, order)
 
 
-def week_metrics(daily: DataFrame, fact: DataFrame, last: Column | None = None) -> DataFrame:
+def week_metrics(daily: DataFrame, fact: DataFrame, last: dt.date | None = None) -> DataFrame:
     """One row: the last seven days against the seven before.  Averages are means
     of daily averages.  ``last`` is the newest local date, if it is known."""
     last = newest(daily, column="local_date") if last is None else last
     avg, negative = F.col("avg_price_eur_mwh"), F.col("negative_price_hours")
-    date = F.col("local_date")
-    this, prev = _in_week(date, last, 6), _in_week(date, last, 13)
-    per_day = daily.where(date >= F.date_sub(last, 13)).agg(
+    this, prev = _in_week(last, 6), _in_week(last, 13)
+    per_day = day_frame(daily, "local_date", last, 13, 14).agg(
         exact_mean(F.when(this, avg)).alias("avg_this"),
         exact_mean(F.when(prev, avg)).alias("avg_prev"),
         F.coalesce(F.sum(F.when(this, negative)), F.lit(0)).alias("neg_hours_this"),
@@ -72,36 +73,36 @@ def week_metrics(daily: DataFrame, fact: DataFrame, last: Column | None = None)
         count_if(this).alias("days_covered"),
     )
     price, local = F.col("price_eur_mwh"), F.col("hour_local")
-    start = F.date_sub(last, 6)
-    week = fact.where((local >= midnight(start)) & (local < midnight(F.date_add(start, 7))))
-    always = F.lit(True)
-    per_hour = week.agg(
-        F.min(price).alias("min_hourly"),
-        _first_at(local, price, always).alias("min_when"),
-        F.max(price).alias("max_hourly"),
-        _first_at(local, -price, always).alias("max_when"),
-        exact_mean("temp_c").alias("avg_temp"),
-        exact_mean("wind_ms").alias("avg_wind"),
+    per_hour = day_frame(fact, "hour_local", last, 6).agg(
+        F.struct(
+            F.min(price).alias("min_hourly"),
+            _first_at(local, price).alias("min_when"),
+            F.max(price).alias("max_hourly"),
+            _first_at(local, -price).alias("max_when"),
+            exact_mean("temp_c").alias("avg_temp"),
+            exact_mean("wind_ms").alias("avg_wind"),
+        ).alias("hours")
     )
     prev_avg = F.col("avg_prev")
     delta = F.when(prev_avg == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.col("avg_this") - prev_avg, prev_avg) * 100.0
     )
-    hours = per_hour.select(F.struct("*")).scalar()
-    return per_day.select(
-        "*",
-        delta.alias("delta_pct"),
-        *[hours.getField(c).alias(c) for c in per_hour.columns],
+    return (
+        per_day.withColumn("delta_pct", delta)
+        .withColumn("hours", per_hour.scalar())
+        .select("*", "hours.*")
+        .drop("hours")
     )
 
 
-def weekly_table(daily: DataFrame, last: Column | None = None) -> DataFrame:
+def weekly_table(daily: DataFrame, last: dt.date | None = None) -> DataFrame:
     """The last seven days, each against the average of the week before."""
-    last, date = newest(daily, column="local_date") if last is None else last, F.col("local_date")
-    prev = day_frame(daily, date, last, 13).agg(exact_mean("avg_price_eur_mwh")).scalar()
-    delta = F.col("avg_price_eur_mwh") - prev
+    last = newest(daily, column="local_date") if last is None else last
+    prev = day_frame(daily, "local_date", last, 13).agg(exact_mean("avg_price_eur_mwh")).scalar()
+    delta = F.col("avg_price_eur_mwh") - F.col("prev")
     return (
-        day_frame(daily, date, last, 6)
+        day_frame(daily, "local_date", last, 6)
+        .withColumn("prev", prev)
         .select(
             "local_date",
             "avg_price_eur_mwh",
@@ -120,15 +121,17 @@ def hour_offset(local: Column, start: Column) -> Column:
     return F.timestamp_diff("HOUR", start, local).cast("bigint")
 
 
-def week_overlay(spark: SparkSession, fact: DataFrame, last: Column | None = None) -> DataFrame:
+def week_overlay(spark: SparkSession, fact: DataFrame, last: dt.date | None = None) -> DataFrame:
     """168 hour slots with this week's and last week's price.  Of the repeated
     autumn hour the later value stays."""
-    last = newest(fact, column="hour_local").cast("date") if last is None else last
-    local, start = F.col("hour_local"), midnight(F.date_sub(last, 13))
-    offset = hour_offset(local, start)
+    if last is None:
+        newest_local = newest(fact, column="hour_local")
+        last = newest_local.date() if newest_local else None
+    start = midnight(F.date_sub(F.lit(last).cast("date"), 13))
+    offset = hour_offset(F.col("hour_local"), start)
     price, this = round_half_even("price_eur_mwh", 2), offset >= WEEK_HOURS
     slots = (
-        fact.where((local >= start) & (local < start + days(14)))
+        day_frame(fact, "hour_local", last, 13, 14)
         .groupBy((offset % WEEK_HOURS).alias("slot"))
         .agg(
             F.max_by(F.when(this, price), F.when(this, F.col("hour_utc"))).alias("current"),
@@ -156,7 +159,7 @@ def monthly(daily: DataFrame, last_months: int | None = None) -> DataFrame:
 
 def negative_hours_by_year(fact: DataFrame) -> DataFrame:
     """Negative hours per local year; the last year is partial until 31 December."""
-    last = newest(fact, column="hour_local").cast("date")
+    last = instant(newest(fact, column="hour_local"))
     year = F.year("hour_local").cast("bigint")
     partial = (F.col("year") == F.year(last)) & ~(
         (F.month(last) == 12) & (F.dayofmonth(last) == 31)
@@ -185,14 +188,17 @@ def yearly_prices(fact: DataFrame) -> DataFrame:
 
 
 def trailing_summary(
-    fact: DataFrame, windows: Sequence[int] = SUMMARY_WINDOWS, latest: Column | None = None
+    fact: DataFrame, windows: Sequence[int] = SUMMARY_WINDOWS, latest: dt.datetime | None = None
 ) -> DataFrame:
     """Price figures of several trailing windows in one pass over the longest."""
     latest = newest(fact) if latest is None else latest
     recent = trailing(fact, "hour_utc", max(windows), inclusive=False, anchor=latest)
     member = F.array_compact(
         F.array(
-            *[F.when(F.col("hour_utc") > latest - days(w), F.lit(w).cast("bigint")) for w in windows]
+            *[
+                F.when(F.col("hour_utc") > instant(latest) - days(w), F.lit(w).cast("bigint"))
+                for w in windows
+            ]
         )
     )
     negative = _negative()
@@ -210,7 +216,7 @@ def trailing_summary(
     )
 
 
-def coverage(fact: DataFrame, now: Column, primary: str = PRIMARY) -> DataFrame:
+def coverage(fact: DataFrame, now: dt.datetime, primary: str = PRIMARY) -> DataFrame:
     """Newest hour, its age, and hours per price source."""
     fallback = count_if(F.col("price_source") != primary)
     return fact.agg(
@@ -220,7 +226,7 @@ def coverage(fact: DataFrame, now: Column, primary: str = PRIMARY) -> DataFrame:
     ).select(
         "latest_hour",
         round_scaled(
-            F.timestamp_diff("SECOND", F.col("latest_hour"), now).cast("double") / 3600.0, 1
+            F.timestamp_diff("SECOND", F.col("latest_hour"), instant(now)).cast("double") / 3600.0, 1
         ).alias("age_hours"),
         "total_hours",
         (F.col("total_hours") - F.col("fallback_hours")).alias("primary_hours"),
@@ -247,7 +253,7 @@ def cross_source_tiles(fact: DataFrame, primary: str = PRIMARY) -> DataFrame:
 
 
 def fallback_share(
-    fact: DataFrame, window_days: int = 14, primary: str = PRIMARY, anchor: Column | None = None
+    fact: DataFrame, window_days: int = 14, primary: str = PRIMARY, anchor: dt.datetime | None = None
 ) -> DataFrame:
     """Recent hours priced by the fallback, and whether that is above the limit."""
     recent = trailing(fact, "hour_utc", window_days, anchor=anchor)
@@ -313,7 +319,7 @@ def extreme_hours(fact: DataFrame, k: int, dearest: bool = False) -> DataFrame:
 
 def fingerprint(fact: DataFrame) -> DataFrame:
     """Day index, local hour and price of every row."""
-    first_day = fact.select("hour_local").agg(F.min("hour_local")).scalar().cast("date")
+    first_day = instant(fact.agg(F.min("hour_local")).first()[0]).cast("date")
     return fact.select(
         F.date_diff(local_date("hour_local"), first_day).cast("bigint").alias("day_index"),
         hour_of_day("hour_local").alias("hour"),
@@ -385,12 +391,12 @@ def report_frames(
 def summary_frames(
     fact: DataFrame,
     log: DataFrame,
-    now: Column,
+    now: dt.datetime,
     primary: str = PRIMARY,
     headlines: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Every part of the run summary, as lazy frames.  ``log`` is the run log."""
-    today = fact.sparkSession.range(1).select(utc_to_local(now).cast("date").alias("local_date"))
+    today = fact.sparkSession.range(1).select(utc_to_local(instant(now)).cast("date").alias("local_date"))
     frames = {
         "coverage": coverage(fact, now, primary),
         "gaps": leading_runs(gap_runs(hour_gaps(fact))),

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourmart.functions.zones import instant
 from hourmart.operators.ordered import with_neighbours
 from hourmart.operators.revisions import latest_revision
 from hourmart.session import remove_folder, work_folder
@@ -32,7 +33,7 @@ def apply_revisions(
     is_open = F.col("valid_to").isNull()
     closed = history.where(~is_open)
 
-    run = F.lit(run_at).cast("timestamp_ntz") if run_at else F.localtimestamp()
+    run = instant(run_at) if run_at else F.localtimestamp()
     old = history.where(is_open).select(
         *keys, F.struct(*values, "valid_from").alias("old")
     )

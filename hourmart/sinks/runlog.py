@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import days
+from hourmart.functions.zones import days, instant
 from hourmart.schemas import RUN_LOG
 
 
@@ -38,7 +38,7 @@ def load_windows(
 ) -> DataFrame:
     """Next load window per source: from the watermark less the lookback, or the
     last ``first_days`` days when the source never loaded."""
-    end = F.lit(now).cast("timestamp_ntz")
+    end = instant(now)
     start = F.coalesce(F.col("watermark") - days(lookback_days), end - days(first_days))
     return (
         sources.select("source")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourmart.functions.zones import instant
 from hourmart.operators.revisions import latest_revision
 from hourmart.schemas import MARTS
 from hourmart.session import remove_folder, work_folder
@@ -198,7 +199,7 @@ def reload_range(
 ) -> int:
     """Load ``[start, end)`` of a source again.  The bounds are literals that the
     source's scan can use; partitions of the table take the place of load chunks."""
-    batch = source.where((F.col(at) >= F.lit(start)) & (F.col(at) < F.lit(end)))
+    batch = source.where((F.col(at) >= instant(start)) & (F.col(at) < instant(end)))
     return upsert_table(spark, path, batch, keys, partition, partition_value, **options)
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourmart.functions.numbers import round_half_even
-from hourmart.functions.zones import MARKET_ZONE, hours, utc_to_local
+from hourmart.functions.zones import MARKET_ZONE, hours, instant, utc_to_local
 from hourmart.operators.revisions import keep_last
 
 # Field names, formats and unit factors of the two publishers.
@@ -116,11 +117,13 @@ def station_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return latest.drop("doc", "place")
 
 
-def clip(rows: DataFrame, start: Column, end: Column, slack_days: int = 1) -> DataFrame:
+def clip(
+    rows: DataFrame, start: dt.datetime, end: dt.datetime, slack_days: int = 1
+) -> DataFrame:
     """Rows of a whole-file source that belong to the requested window."""
-    slack = F.make_dt_interval(F.lit(slack_days))
+    slack = dt.timedelta(days=slack_days)
     label = F.col("interval_end_local")
-    return rows.where((label >= start - slack) & (label <= end + slack))
+    return rows.where((label >= instant(start - slack)) & (label <= instant(end + slack)))
 
 
 def parse_json(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:

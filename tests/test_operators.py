@@ -142,7 +142,7 @@ def test_log_run_appends(spark, tmp_path):
 
 
 def test_freshness_states(frame):
-    now = F.lit(ts("2026-10-10")).cast("timestamp_ntz")
+    now = ts("2026-10-10")
     df = frame(
         "source string, fetched_at timestamp_ntz",
         ("fresh", ts("2026-10-09 00:00")), ("late", ts("2026-10-08")), ("dead", ts("2026-10-01")),

@@ -107,7 +107,7 @@ def test_fallback_share(fact):
 
 
 def test_coverage_and_quality(fact):
-    now = F.lit(ts("2025-11-01 00:00")).cast("timestamp_ntz")
+    now = ts("2025-11-01 00:00")
     assert rows(report.coverage(fact, now), "age_hours", "total_hours", "fallback_hours") == [(2.0, 481, 30)]
     assert rows(report.cross_source_tiles(fact), "hours_in_both", "max_diff", "hours_above_1") == [(451, 1.0, 0)]
 
@@ -184,7 +184,7 @@ def test_report_and_summary_frames(spark, fact, daily):
     assert len(frames) == 13
     assert {name: f.count() for name, f in frames.items()}["topics"] == 1
     log = spark.createDataFrame([("p", ts("2025-10-31"), None, None, 5)], RUN_LOG)
-    now = F.lit(ts("2025-11-01 12:00")).cast("timestamp_ntz")
+    now = ts("2025-11-01 12:00")
     summary = report.summary_frames(fact, log, now, headlines=news)
     counts = {name: f.count() for name, f in summary.items()}
     # The fact ends with 31 October: all hours of 1 November local time are due.

@@ -189,7 +189,7 @@ ENTRIES = {
             where hour_utc > (select max(hour_utc) from fact) - to_days(days::int) group by 1""",
     ),
     "ag10_coverage": (
-        lambda s, d: report.coverage(b.fact(s, d), F.lit(NOW).cast("timestamp_ntz")),
+        lambda s, d: report.coverage(b.fact(s, d), NOW),
         f"""select max(hour_utc) as latest_hour,
                    {sql.rnd(f"date_diff('second', max(hour_utc), timestamp '{NOW}') / 3600e0", 1)} as age_hours,
                    count(*) as total_hours, count(*) filter (price_source = 'primary') as primary_hours,

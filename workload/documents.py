@@ -195,8 +195,7 @@ def grid_rows(spark, d):
 
 
 def clipped_labels(spark, d):
-    start, end = (F.lit(t).cast("timestamp_ntz") for t in (CLIP_FROM, CLIP_TO))
-    rows = weather_documents.clip(b.dst_labels(spark, d), start, end)
+    rows = weather_documents.clip(b.dst_labels(spark, d), CLIP_FROM, CLIP_TO)
     return rows.groupBy("station").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("interval_end_local").alias("first_label"),

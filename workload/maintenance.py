@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import days, hour_floor, local_date
+from hourmart.functions.zones import days, hour_floor, instant, local_date
 from hourmart.operators.revisions import latest_revision
 from hourmart.operators.trailing import newest
 from hourmart.plans import daily as daily_plans
@@ -28,7 +28,7 @@ RELOADED = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 22))
 
 def _halves(df: DataFrame, at: str, back: int) -> tuple[DataFrame, DataFrame]:
     """Rows up to ``back`` days before the newest one, and the rows after."""
-    split = newest(df, column=at) - days(back)
+    split = instant(newest(df, column=at) - dt.timedelta(days=back))
     return df.where(F.col(at) < split), df.where(F.col(at) >= split)
 
 

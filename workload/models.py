@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from hourmart.functions import dates
 from hourmart.functions.numbers import count_if, exact_mean, round_scaled
-from hourmart.functions.zones import day_length_hours, due_hours, hour_floor, hours, local_to_utc, utc_to_local
+from hourmart.functions.zones import day_length_hours, due_hours, hour_floor, hours, instant, local_to_utc, utc_to_local
 from hourmart.operators import gaps, reconcile, revisions, trailing
 from hourmart.operators.groups import with_group_stats
 from hourmart.operators.ordered import with_neighbours
@@ -79,7 +79,8 @@ def newest_hour(spark, d):
 
 
 def newest_date(spark, d):
-    return utc_to_local(newest_hour(spark, d)).cast("date")
+    local = utc_to_local(instant(newest_hour(spark, d))).cast("date")
+    return spark.range(1).select(local).first()[0]
 
 
 def daily(spark, d):
@@ -193,7 +194,7 @@ def through(spark, d):
 def newest_weeks(spark, d):
     fact = b.fact(spark, d)
     last = newest_date(spark, d)
-    frame = trailing.day_frame(fact, F.col("hour_local").cast("date"), last, 13)
+    frame = trailing.day_frame(fact, "hour_local", last, 13)
     return frame.select("hour_utc", "hour_local", "price_eur_mwh")
 
 

@@ -56,12 +56,12 @@ def check_results(spark, d):
 
 def freshness_per_source(spark, d):
     log = b.table(spark, d, "events").select(F.col("event_type").alias("source"), F.col("ts").alias("fetched_at"))
-    return quality.freshness(log, F.lit(NOW).cast("timestamp_ntz"), by=["source"])
+    return quality.freshness(log, NOW, by=["source"])
 
 
 def freshness_per_user(spark, d):
     log = b.table(spark, d, "events").select("user_id", F.col("ts").alias("fetched_at"))
-    return quality.freshness(log, F.lit(NOW).cast("timestamp_ntz"), by=["user_id"])
+    return quality.freshness(log, NOW, by=["user_id"])
 
 
 def degraded(spark, d):
