@@ -19,12 +19,13 @@ def _value_at(counts: DataFrame, rank: int, lo: float, hi: float) -> float:
     """
     skipped = 0
     while lo < hi:
-        width = (hi - lo) / BUCKETS
-        if lo + width == lo or math.isinf(width):
-            # Neighbouring doubles: two values are left at most per range.
-            bucket = (F.col("value") > lo).cast("int")
+        width = hi / BUCKETS - lo / BUCKETS  # the difference itself may overflow
+        if lo + width == lo:
+            # Hardly distinct doubles: split off the lowest.
+            bucket = (F.col("value") > lo).cast("bigint")
         else:
-            bucket = F.least(F.floor((F.col("value") - lo) / width), F.lit(BUCKETS - 1))
+            place = F.floor(F.col("value") / width - lo / width)
+            bucket = F.least(F.greatest(place, F.lit(0)), F.lit(BUCKETS - 1))
         rows = (
             counts.where(F.col("value").between(lo, hi))
             .groupBy(bucket.alias("bucket"))
@@ -40,16 +41,22 @@ def _value_at(counts: DataFrame, rank: int, lo: float, hi: float) -> float:
     return lo
 
 
-def exact_quantile(df: DataFrame, column: str, p: float, default: float | None = None) -> float | None:
-    """Quantile with linear interpolation between the two nearest ranks."""
+def exact_quantile(
+    df: DataFrame, column: str, p: float, default: float | None = None
+) -> float | None:
+    """Quantile with linear interpolation between the two nearest ranks.  NULL
+    and NaN do not count."""
+    value = F.col(column).cast("double")
     counts = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
+        df.where(value.isNotNull() & ~F.isnan(value))
+        .groupBy(value.alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
-        total = counts.agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+        total = counts.agg(
+            F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
+        ).first()
         if not total.n:
             return default
         position = p * (total.n - 1)
@@ -57,10 +64,10 @@ def exact_quantile(df: DataFrame, column: str, p: float, default: float | None =
         low = _value_at(counts, below, total.lo, total.hi)
         if position == below:
             return low
-        value = F.col("value")
+        at = F.col("value")
         rest = counts.agg(
-            F.sum(F.when(value <= low, F.col("n"))).alias("n"),
-            F.min(F.when(value > low, value)).alias("next"),
+            F.sum(F.when(at <= low, F.col("n"))).alias("n"),
+            F.min(F.when(at > low, at)).alias("next"),
         ).first()
         high = low if rest.n > below + 1 else rest.next
         return low + (high - low) * (position - below)

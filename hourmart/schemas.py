@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from hourmart.functions.zones import MARKET_ZONE  # noqa: F401  (re-exported default)
-
 _TS, _F64, _I64, _I32 = T.TimestampNTZType(), T.DoubleType(), T.LongType(), T.IntegerType()
 _STR, _BOOL, _DATE = T.StringType(), T.BooleanType(), T.DateType()
 

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hourmart.functions.numbers import exact_mean
 from hourmart.functions.zones import local_date
 from hourmart.plans.daily import daily_summary
-from hourmart.sinks.tables import read_table, upsert_table
+from hourmart.sinks.tables import only_partitions, read_table, upsert_table
 from hourmart.sources.price_documents import QUARTER_MINUTES
 
 LATE_BY = "7 days"
@@ -104,30 +104,35 @@ def daily_rollup_stream(
     daily_path: str,
     checkpoint: str,
     series: Sequence[str] = (),
+    updated_at: str | None = None,
     trigger: dict = ONCE,
 ) -> StreamingQuery:
     """Upsert fact rows, then recompute the local dates they touch.
 
     The hourly table is partitioned by local date, so only the touched days are
-    read again.
+    read again.  Without ``updated_at`` a micro-batch holds an hour once.
     """
-    day = local_date("hour_local")
+    day, keys = local_date("hour_local"), [*series, "hour_utc"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        written = upsert_table(
-            spark, fact_path, batch, [*series, "hour_utc"], "day", day, updated_at="hour_utc"
-        )
-        if not written:
-            return
-        touched = batch.select(*series, day.alias("day")).distinct()
-        fact = read_table(spark, fact_path).join(touched, [*series, "day"], "left_semi")
-        upsert_table(
-            spark,
-            daily_path,
-            daily_summary(fact.drop("day"), series),
-            [*series, "local_date"],
-            "month",
-            F.date_format("local_date", "yyyy-MM"),
-        )
+        batch = batch.persist()
+        try:
+            if not upsert_table(spark, fact_path, batch, keys, "day", day, updated_at):
+                return
+            touched = batch.select(*series, day.alias("day")).distinct()
+            [fact] = only_partitions(
+                touched.select("day").distinct(), "day", read_table(spark, fact_path)
+            )
+            changed = fact.join(touched, [*series, "day"], "left_semi").drop("day")
+            upsert_table(
+                spark,
+                daily_path,
+                daily_summary(changed, series),
+                [*series, "local_date"],
+                "month",
+                F.date_format("local_date", "yyyy-MM"),
+            )
+        finally:
+            batch.unpersist()
 
     return _start(hours, checkpoint, handle, trigger)

@@ -49,11 +49,13 @@ def test_share_of_nothing_is_null(frame):
         [5.0] * 400 + [6.0] * 200,
         list(np.random.default_rng(1).normal(50, 30, 3000)),
         [0.0] * 1000 + [1e-300, 1e300, -1e300, math.nextafter(1.0, 2.0), 1.0],
+        [-1.7e308, 1.7e308, 0.5, 0.25],
+        [1e15 + i / 8 for i in range(9)],
     ],
-    ids=["one", "two", "hot", "normal", "spread"],
+    ids=["one", "two", "hot", "normal", "spread", "wide", "close"],
 )
 def test_exact_quantile(spark, values, p):
-    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (math.nan,)], "x double")
     assert exact_quantile(df, "x", p) == pytest.approx(float(np.quantile(values, p)), rel=1e-12)
 
 

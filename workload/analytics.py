@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hourmart.functions.dates import hour_of_day
-from hourmart.functions.numbers import exact_mean, round_half_even, round_scaled
+from hourmart.functions.numbers import exact_mean, round_scaled
 from hourmart.operators.quantile import exact_quantile
 from hourmart.plans import dashboard, metrics, report
 from workload import bindings as b
@@ -33,11 +33,6 @@ def on_order_days(plan, *args, **kwargs):
     return lambda s, d: plan(b.order_daily(s, d), *args, **kwargs)
 
 
-def ordered_prices(spark, d):
-    """Rounded figures per hour for a plain-number comparison of the mean day."""
-    return report.mean_day(b.fact(spark, d)).select("hour", round_scaled("price", 2).alias("price"))
-
-
 def metric_by_hour(spark, d):
     names = ["avg_day_ahead_price", "negative_price_hours", "total_radiation"]
     return metrics.query(b.fact(spark, d), names, [hour_of_day("hour_local").alias("local_hour")])

@@ -143,16 +143,6 @@ def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_revision(rows, ["slot"], "ts", TIES).select("slot", "price")
 
 
-def slot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quarter-hour points as (document, hour, minute, price)."""
-    return slots(spark, sf_dir).select(
-        F.date_format("slot", "yyyy-MM-dd").alias("doc_id"),
-        hour_floor("slot").alias("hour_utc"),
-        F.minute("slot").alias("minute"),
-        F.col("price").alias("price_eur_mwh"),
-    )
-
-
 def label_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classifier output per document: toxic means off topic."""
     topic = (

@@ -7,11 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import days, hour_floor, instant, local_date
+from hourmart.functions.zones import days, hour_floor, instant
 from hourmart.operators.revisions import latest_revision
 from hourmart.operators.trailing import newest
 from hourmart.plans import daily as daily_plans
-
 from hourmart.plans import hourly, refresh
 from hourmart.schemas import DAILY_SUMMARY
 from hourmart.session import work_folder
@@ -21,7 +20,6 @@ from workload import bindings as b
 from workload import models, sql
 from workload.documents import classified
 
-
 RUN = dt.datetime(2024, 2, 1)
 RELOADED = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 22))
 
@@ -230,7 +228,9 @@ def streamed_distinct(spark, d):
         "event_type",
         F.col("ts").cast("date").alias("day"),
     )
-    distinct = jobs.distinct_within_lookback(keyed, "at", ["user_id", "event_type", "day"])
+    distinct = jobs.distinct_within_lookback(
+        keyed, "at", ["user_id", "event_type", "day"], salts=4
+    )
     jobs.append_to(distinct.drop("at"), path, progress).awaitTermination()
     return spark.read.parquet(path)
 

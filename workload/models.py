@@ -92,7 +92,7 @@ def staged(spark, d, role):
 
 
 def neighbour_counts(spark, d):
-    """Quarter-hour counts per order hour series, with the hours around."""
+    """Events per type and hour, with the counts of the hours around."""
     counts = (
         b.table(spark, d, "events")
         .groupBy("event_type", hour_floor("ts").alias("hour_utc"))

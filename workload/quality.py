@@ -10,7 +10,7 @@ from hourmart.operators import gaps, quality
 from hourmart.schemas import DAILY_SUMMARY, DATE_DIMENSION, HOURLY_FACT
 from hourmart.sinks import history, runlog
 from workload import bindings as b
-from workload import models, sql
+from workload import models
 
 NOW = dt.datetime(2024, 2, 1, 12, 0)
 # Accepted values of the checked columns.
