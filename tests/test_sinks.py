@@ -241,3 +241,19 @@ def test_year_chunks(spark):
         (ts("2020-01-01"), ts("2020-12-31 23:00")),
         (ts("2021-01-01"), ts("2021-02-01")),
     ]
+
+
+def test_large_partition_is_split_over_files(spark, tmp_path):
+    """One day holds everything; AQE still writes it in several tasks."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "100kb")
+    try:
+        df = spark.range(100_000).select(
+            F.col("id"), F.rand(1).alias("x"), F.lit("2026-01-01").cast("date").alias("day")
+        )
+        tables.write_partitions(df, str(tmp_path / "t"), "day", ["id"])
+    finally:
+        spark.conf.unset(key)
+    files = list((tmp_path / "t" / "day=2026-01-01").glob("*.parquet"))
+    assert len(files) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100_000
