@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hourmart.functions.text import clean_text, parse_feed_date
 from hourmart.operators.revisions import keep_first
+from hourmart.sources.documents import with_payload
 
 # Element names of the two feed formats.
 _RSS_ITEM = (
@@ -27,10 +28,7 @@ FEED_XML = (
 
 def parse_feeds(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
     """Add the parsed feed; a broken document keeps its text in ``corrupt``."""
-    parsed = F.from_xml(F.col(content), FEED_XML, {"mode": "PERMISSIVE"})
-    return docs.select(*keys, parsed.alias("payload")).select(
-        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
-    )
+    return with_payload(docs, F.from_xml(F.col(content), FEED_XML, {"mode": "PERMISSIVE"}), keys)
 
 
 def _items() -> Column:
@@ -59,7 +57,7 @@ def _items() -> Column:
 def headlines(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per item with a title and a link; the first of equal links in a
     document stays."""
-    items = parsed.select(*keys, F.posexplode(_items()).alias("position", "item"))
+    items = parsed.select(*keys, F.posexplode_outer(_items()).alias("position", "item"))
     href = F.trim(F.coalesce(F.col("item.href"), F.lit("")))
     rows = items.select(
         *keys,

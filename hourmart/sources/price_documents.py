@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from hourmart.functions.numbers import exact_mean
 from hourmart.functions.zones import hour_floor
 from hourmart.operators.ordered import with_neighbours
+from hourmart.sources.documents import with_payload
 
 # Element names, resolutions and time format of the document types.
 PRICE_XML = (
@@ -39,25 +40,11 @@ def translate_zone(code: Column, mapping: Mapping[str, str] = ZONE_IDS) -> Colum
 
 def parse_xml(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
     """Add the parsed document; a broken one keeps its text in ``corrupt``."""
-    parsed = F.from_xml(F.col(content), PRICE_XML, {"mode": "PERMISSIVE"})
-    return _parsed(docs, parsed, keys)
+    return with_payload(docs, F.from_xml(F.col(content), PRICE_XML, {"mode": "PERMISSIVE"}), keys)
 
 
 def parse_json(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
-    parsed = F.from_json(F.col(content), PRICE_JSON, {"mode": "PERMISSIVE"})
-    return _parsed(docs, parsed, keys)
-
-
-def _parsed(docs: DataFrame, parsed: Column, keys: Sequence[str]) -> DataFrame:
-    return docs.select(*keys, parsed.alias("payload")).select(
-        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
-    )
-
-
-def quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split into (good, broken): one broken document does not stop the others."""
-    good = parsed.where(F.col("corrupt").isNull()).drop("corrupt")
-    return good, parsed.where(F.col("corrupt").isNotNull()).drop("payload")
+    return with_payload(docs, F.from_json(F.col(content), PRICE_JSON, {"mode": "PERMISSIVE"}), keys)
 
 
 def xml_points(parsed: DataFrame, keys: Sequence[str], all_periods: bool = False) -> DataFrame:
@@ -66,7 +53,7 @@ def xml_points(parsed: DataFrame, keys: Sequence[str], all_periods: bool = False
     Position ``p`` starts ``p - 1`` units after the period start.  Only the
     first period of a series counts unless ``all_periods`` is set.
     """
-    series = parsed.select(*keys, F.explode("payload.TimeSeries").alias("s"))
+    series = parsed.select(*keys, F.explode_outer("payload.TimeSeries").alias("s"))
     if all_periods:
         periods = series.select(*keys, F.explode("s.Period").alias("p"))
     else:
@@ -108,7 +95,7 @@ def hours_from_units(points: DataFrame, keys: Sequence[str]) -> DataFrame:
 def json_points(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pair the parallel arrays up to the shorter one; unpublished prices are dropped."""
     pairs = F.arrays_zip(F.col("payload.unix_seconds").alias("at"), F.col("payload.price").alias("price"))
-    rows = parsed.select(*keys, F.inline(pairs).alias("at", "price"))
+    rows = parsed.select(*keys, F.inline_outer(pairs).alias("at", "price"))
     at = F.timestamp_seconds("at").cast("timestamp_ntz")
     minute = F.rint(F.minute(at) + F.second(at) / F.lit(60.0)).cast("int")
     return rows.where(F.col("at").isNotNull() & F.col("price").isNotNull()).select(

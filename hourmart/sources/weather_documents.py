@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from hourmart.functions.numbers import round_half_even
 from hourmart.functions.zones import MARKET_ZONE, hours, instant, utc_to_local
 from hourmart.operators.revisions import keep_last
+from hourmart.sources.documents import with_payload
 
 # Field names, formats and unit factors of the two publishers.
 HEADER_MARK = "STN"
@@ -127,10 +128,9 @@ def clip(
 
 
 def parse_json(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
+    """Add the parsed document; a broken one keeps its text in ``corrupt``."""
     parsed = F.from_json(F.col(content), WEATHER_JSON, {"mode": "PERMISSIVE"})
-    return docs.select(*keys, parsed.alias("payload")).select(
-        *keys, "payload", F.col("payload._corrupt_record").alias("corrupt")
-    )
+    return with_payload(docs, parsed, keys)
 
 
 def grid_rows(
@@ -148,7 +148,7 @@ def grid_rows(
         h.getField("wind_speed_10m").alias("wind"),
         h.getField("shortwave_radiation").alias("rad"),
     )
-    rows = parsed.select(*keys, F.inline(cells).alias("time", "temp", "wind", "rad"))
+    rows = parsed.select(*keys, F.inline_outer(cells).alias("time", "temp", "wind", "rad"))
     rows = rows.where(
         F.col("time").isNotNull() & F.coalesce("temp", "wind", "rad").isNotNull()
     ).withColumn("start", F.to_timestamp("time", TIME_FORMAT).cast("timestamp_ntz"))

@@ -6,8 +6,8 @@ from hourmart.functions.text import clean_text, parse_feed_date, source_name
 from hourmart.plans import headlines as news
 from hourmart.sinks import tables
 from hourmart.sources import feeds
-from hourmart.sources.price_documents import quarantine
-from tests.helpers import rows, ts
+from hourmart.sources.documents import quarantine
+from tests.helpers import plan_of, rows, ts
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:atom="http://www.w3.org/2005/Atom"><channel><title>Feed</title>
 <item><title>Wind &amp;amp; <![CDATA[<b>solar</b>]]></title><link> https://x.example/1 </link>
@@ -44,9 +44,13 @@ def test_atom(spark):
 
 
 def test_broken_feed_is_isolated(spark):
-    good, broken = parsed(spark, ("x", RSS), ("bad", "<rss><channel><item>"), ("y", ATOM))
+    docs = [("x", RSS), ("bad", "<rss><channel><item>"), ("y", ATOM)]
+    _, broken = parsed(spark, *docs)
     assert rows(broken, "source") == [("bad",)]
-    assert {r[0] for r in rows(feeds.headlines(good, ["source"]), "source")} == {"x", "y"}
+    df = spark.createDataFrame(docs, "source string, content string")
+    found = feeds.headlines(feeds.parse_feeds(df, "content", ["source"]), ["source"])
+    assert {r[0] for r in rows(found, "source")} == {"x", "y"}
+    assert plan_of(found).count("from_xml(") == 1
 
 
 @pytest.mark.parametrize(

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourmart.sources import price_documents as pd_
-from tests.helpers import rows, ts
+from hourmart.sources.documents import quarantine
+from tests.helpers import plan_of, rows, ts
 
 KEYS = ["doc"]
 BASE = 1787529600  # 2026-08-24 00:00 UTC
@@ -29,8 +30,8 @@ def xml(*periods):
 def xml_hours(spark):
     def run(*periods):
         docs = spark.createDataFrame([("a", xml(*periods))], "doc string, content string")
-        good, _ = pd_.quarantine(pd_.parse_xml(docs, "content", KEYS))
-        out = pd_.hours_from_units(pd_.xml_points(good, KEYS), KEYS)
+        parsed = pd_.parse_xml(docs, "content", KEYS)
+        out = pd_.hours_from_units(pd_.xml_points(parsed, KEYS), KEYS)
         return rows(out, "hour_utc", "price_eur_mwh")
 
     return run
@@ -43,8 +44,8 @@ def json_hours(spark):
         import json
 
         docs = spark.createDataFrame([("a", json.dumps(payload))], "doc string, content string")
-        good, _ = pd_.quarantine(pd_.parse_json(docs, "content", KEYS))
-        out = pd_.hours_from_points(pd_.json_points(good, KEYS), KEYS)
+        parsed = pd_.parse_json(docs, "content", KEYS)
+        out = pd_.hours_from_points(pd_.json_points(parsed, KEYS), KEYS)
         return rows(out, "hour_utc", "price_eur_mwh")
 
     return run
@@ -89,9 +90,19 @@ def quarter_points():
 def test_broken_document_is_set_aside(spark):
     good_text = xml(("2026-08-24T00:00Z", "PT60M", [(1, 1.0)]))
     docs = spark.createDataFrame([("good", good_text), ("bad", good_text[:-6])], "doc string, content string")
-    good, bad = pd_.quarantine(pd_.parse_xml(docs, "content", KEYS))
+    parsed = pd_.parse_xml(docs, "content", KEYS)
+    good, bad = quarantine(parsed)
     assert rows(good, "doc") == [("good",)]
     assert rows(bad, "doc") == [("bad",)]
+    assert rows(pd_.xml_points(parsed, KEYS), "doc", "price_eur_mwh") == [("good", 1.0)]
+
+
+def test_documents_are_parsed_once(spark):
+    docs = spark.createDataFrame([("a", "x")], "doc string, content string")
+    xml_plan = plan_of(pd_.xml_points(pd_.parse_xml(docs, "content", KEYS), KEYS))
+    json_plan = plan_of(pd_.json_points(pd_.parse_json(docs, "content", KEYS), KEYS))
+    assert xml_plan.count("from_xml(") == 1
+    assert json_plan.count("from_json(") == 1
 
 
 def test_four_quarters(json_hours):

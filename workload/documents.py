@@ -13,6 +13,7 @@ from hourmart.operators.revisions import latest_revision
 from hourmart.plans import headlines as news
 from hourmart.session import work_folder
 from hourmart.sources import feeds, price_documents, ranges, weather_documents
+from hourmart.sources.documents import quarantine
 from workload import bindings as b
 from workload import sql
 
@@ -65,17 +66,13 @@ def price_json(spark, d) -> DataFrame:
 
 
 def xml_points(spark, d):
-    good, _ = price_documents.quarantine(
-        price_documents.parse_xml(price_xml(spark, d), "content", KEYS)
-    )
-    return price_documents.xml_points(good, KEYS)
+    parsed = price_documents.parse_xml(price_xml(spark, d), "content", KEYS)
+    return price_documents.xml_points(parsed, KEYS)
 
 
 def json_points(spark, d):
-    good, _ = price_documents.quarantine(
-        price_documents.parse_json(price_json(spark, d), "content", KEYS)
-    )
-    return price_documents.json_points(good, KEYS)
+    parsed = price_documents.parse_json(price_json(spark, d), "content", KEYS)
+    return price_documents.json_points(parsed, KEYS)
 
 
 def series_hours(spark, d):
@@ -244,8 +241,7 @@ def rss_documents(spark, d) -> DataFrame:
 
 def feed_headlines(spark, d):
     parsed = feeds.parse_feeds(rss_documents(spark, d), "content", ["feed_id"])
-    good, _ = price_documents.quarantine(parsed)
-    return feeds.headlines(good, ["feed_id"])
+    return feeds.headlines(parsed, ["feed_id"])
 
 
 def broken_feeds(spark, d):
@@ -255,8 +251,8 @@ def broken_feeds(spark, d):
     ).otherwise(F.col("content"))
     docs = rss_documents(spark, d).withColumn("content", content)
     parsed = feeds.parse_feeds(docs, "content", ["feed_id"])
-    good, broken = price_documents.quarantine(parsed)
-    loaded = feeds.headlines(good, ["feed_id"]).groupBy("feed_id").agg(F.count(F.lit(1)).alias("headlines"))
+    _, broken = quarantine(parsed)
+    loaded = feeds.headlines(parsed, ["feed_id"]).groupBy("feed_id").agg(F.count(F.lit(1)).alias("headlines"))
     return loaded.withColumn("is_broken", F.lit(False)).unionByName(
         broken.select("feed_id", F.lit(0).cast("bigint").alias("headlines"), F.lit(True).alias("is_broken"))
     )
