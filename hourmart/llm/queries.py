@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourmart.llm import exact_dedup, mixing
+from hourmart.llm import exact_dedup, mixing, simhash
 from hourmart.llm.common import tuned
 
 SCHEMAS = {
@@ -76,7 +76,13 @@ SELECT doc_id, size, source_size, target,
 FROM r
 """
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+
+
 ENTRIES = {
+    "op5_simhash": (op5_simhash, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op10_mixing": (op10_mixing, OP10_SQL),
 }
