@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourmart.llm import exact_dedup, mixing, simhash
-from hourmart.llm.common import tuned
+from hourmart.llm import exact_dedup, langid, mixing, simhash
+from hourmart.llm.common import hash_remainder, tuned
 
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
@@ -81,7 +82,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def language_model(docs: DataFrame) -> langid.LanguageFilter:
+    """Learned from the documents that are not held out."""
+    return langid.learn(docs.where(hash_remainder("doc_id", 4) != 2))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(hash_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    result = langid.predict(docs.select("doc_id", "text"), language_model(docs))
+    return result.select("doc_id", held_out, "lang_pred", "score")
+
+
 ENTRIES = {
+    "op4_language": (op4_language, None),
     "op5_simhash": (op5_simhash, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
     "op10_mixing": (op10_mixing, OP10_SQL),
