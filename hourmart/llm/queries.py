@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import exact_dedup, langid, mixing, simhash
+from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash
 from hourmart.llm.common import hash_remainder, tuned
 
 SCHEMAS = {
@@ -94,7 +94,28 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", held_out, "lang_pred", "score")
 
 
+#: A public vocabulary; a path on the driver.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    """Encode and decode again; ``round_trip`` compares the decoded text's hash."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = pieces.load_pieces(vocabulary)
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    encoded = pieces.encode(hashed, known).drop("text")
+    decoded = pieces.decode(encoded, known)
+    return decoded.select(
+        "doc_id",
+        F.length("decoded").cast("long").alias("n_chars"),
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("decoded").eqNullSafe(F.col("text_hash")).alias("round_trip"),
+        "ids",
+    )
+
+
 ENTRIES = {
+    "op9_pieces": (op9_pieces, None),
     "op4_language": (op4_language, None),
     "op5_simhash": (op5_simhash, None),
     "op6_exact_dedup": (op6_exact_dedup, OP6_SQL),
