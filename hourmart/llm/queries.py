@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash
-from hourmart.llm.common import hash_remainder, tuned
+from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash, warc
+from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
@@ -94,6 +94,29 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as archives below the shared folder and read these back."""
+    pages = table(spark, sf_dir, "pages")
+    scratch = Scratch(spark, "archives")
+    files = scratch.store(warc.write_archives(pages, scratch.path("files")), "listed")
+    return warc.read_archives(spark, files, partitions(spark), payloads=False)
+
+
+OP3_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS first
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to,
+  TRUE AS digest_ok
+FROM f
+"""
+
 #: A public vocabulary; a path on the driver.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -115,6 +138,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 
 
 ENTRIES = {
+    "op3_warc": (op3_warc, OP3_SQL),
     "op9_pieces": (op9_pieces, None),
     "op4_language": (op4_language, None),
     "op5_simhash": (op5_simhash, None),
