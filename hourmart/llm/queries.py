@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash, warc
+from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash, topk, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -20,6 +20,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows = topk.dense_vectors(embeddings, "vec_id", "embedding")
+    found = topk.top_k(rows.where("id % 50 = 0"), rows, 5)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+OP1_SQL = """
+WITH t AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE vec_id IS NOT NULL
+), e AS (
+  SELECT vec_id FROM t GROUP BY vec_id HAVING bool_and(coalesce(isfinite(x), FALSE))
+), v AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM t JOIN e USING (vec_id)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+  GROUP BY q.vec_id, c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     result = exact_dedup.content_sort(docs)
@@ -138,6 +164,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 
 
 ENTRIES = {
+    "op1_top_k": (op1_top_k, OP1_SQL),
     "op3_warc": (op3_warc, OP3_SQL),
     "op9_pieces": (op9_pieces, None),
     "op4_language": (op4_language, None),
