@@ -18,6 +18,8 @@ BITS = 64
 SEED = 42
 #: Bits of one block of a partition whose values are counted exactly.
 BLOCK_BITS = 11
+#: Cells of a task's partial sums in one row.
+SLICE = 512
 #: Numbers of partitions to choose from.
 PART_COUNTS = (2, 3, 4)
 #: Members up to which a bucket is compared inside one task; larger ones take another exact way.
@@ -85,19 +87,28 @@ def _bit_rows(values: np.ndarray) -> np.ndarray:
 
 
 def _summed(frame: DataFrame, size: int, count: object) -> np.ndarray:
-    """Sum over all fingerprints of an array of ``size`` numbers that ``count`` makes of a batch."""
+    """Sum over all fingerprints of an array of ``size`` numbers that ``count`` makes of a batch.
+
+    A task gives its sums as a few slices; each slice is added up over the tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
             total += count(batch.column("fp").to_numpy(zero_copy_only=False))
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+        starts = [a for a in range(0, size, SLICE) if total[a : a + SLICE].any()]
+        slices = pa.array([total[a : a + SLICE].tolist() for a in starts], pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), slices], ["start", "sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.array(s.values) for chunk in table["sums"].chunks for s in chunk)
+        return pa.table({"start": table["start"][:1], "sums": [total.tolist()]})
 
-    parts = map_arrow(frame.select("fp"), run, "cell long, n double")
+    schema = "start long, sums array<double>"
+    parts = map_arrow(frame.select("fp"), run, schema)
     out = np.zeros(size)
-    for cell, n in parts.groupBy("cell").agg(F.sum("n")).collect():
-        out[cell] = n
+    for start, sums in parts.groupBy("start").applyInArrow(add, schema).collect():
+        out[start : start + len(sums)] = sums
     return out
 
 
