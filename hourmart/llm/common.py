@@ -61,6 +61,20 @@ def packed(frame: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
+def with_texts(
+    docs: DataFrame, text_col: str, keep: list[str] | None
+) -> tuple[DataFrame, Callable[[pa.RecordBatch], list[str | None]], list[str]]:
+    """The columns ``keep`` (all, if None) as ``row``, a reader of a batch's texts, and their names.
+
+    The text goes to the tasks once, and comes back only if it is kept.
+    """
+    names = list(docs.columns if keep is None else keep)
+    if text_col in names:
+        return packed(docs.select(*[f"`{n}`" for n in names])), lambda b: b.column("row").field(text_col).to_pylist(), names
+    row = F.struct(*[docs[f"`{n}`"] for n in names]).alias("row")
+    return docs.select(row, docs[f"`{text_col}`"].alias("text")), lambda b: b.column("text").to_pylist(), names
+
+
 def unpacked(frame: DataFrame, names: Iterable[str], *columns: Column | str) -> DataFrame:
     """The input's columns ``names`` of ``row`` again, followed by result columns.
 

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import Scratch, map_arrow, packed, tuned, unpacked
+from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts
 
 #: Characters that are counted at once.
 STEP_CHARS = 1 << 20
@@ -236,8 +236,10 @@ def learn(
     return LanguageFilter(languages, most_common, filled)
 
 
-def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to all rows of ``docs``.
+def predict(
+    docs: DataFrame, model: LanguageFilter, text_col: str = "text", keep: list[str] | None = None
+) -> DataFrame:
+    """Add ``lang_pred`` and ``score`` to all rows, with the columns ``keep`` (default: all).
 
     Every trigram of a whole text is looked up once and gives the set of languages
     that have it.  A language's hits, less those that its filter's false-positive rate
@@ -250,17 +252,17 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text") -> D
     no rows; input columns named like result columns are replaced.
     """
     spark = tuned(docs.sparkSession)
-    rows = packed(docs)
+    rows, texts_in, names = with_texts(docs, text_col, keep)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
     shared = spark.sparkContext.broadcast((model.languages, model.most_common, model.table))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LanguageFilter(*shared.value)
         for batch in batches:
-            names, score = own.predict(batch.column("row").field(text_col).to_pylist())
+            found, score = own.predict(texts_in(batch))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(names, pa.string()), pa.array(score)],
+                [batch.column("row"), pa.array(found, pa.string()), pa.array(score)],
                 ["row", "lang_pred", "score"],
             )
 
-    return unpacked(map_arrow(rows, run, schema), docs.columns, "lang_pred", "score")
+    return unpacked(map_arrow(rows, run, schema), names, "lang_pred", "score")

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import Scratch, map_arrow, packed, tuned, unpacked
+from hourmart.llm.common import Scratch, map_arrow, packed, tuned, unpacked, with_texts
 
 #: Characters of a chunk; longer texts are encoded by a scan over their chunks.
 CHUNK_CHARS = 32_768
@@ -304,10 +304,16 @@ def _scan(matrices: DataFrame, size: int) -> DataFrame:
 
 
 def encode(
-    docs: DataFrame, pieces: Pieces, text_col: str = "text", chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame,
+    pieces: Pieces,
+    text_col: str = "text",
+    chunk_chars: int = CHUNK_CHARS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Add ``ids`` to all rows of ``docs``: the pieces of the best path over each whole text.
 
+    The result has the columns ``keep`` of ``docs`` (default: all).
+
     The best path has the greatest sum of piece weights, as in the format's unigram
     kind.  A space is put before the text; characters that no piece covers become
     byte pieces, so decoding gives back every text exactly.
@@ -326,14 +332,15 @@ def encode(
     shared, size = _shared(spark, pieces), pieces.longest
     if chunk_chars < size:
         raise ValueError("a chunk must hold the longest piece")
-    rows = packed(docs)
+    rows, texts_in, names = with_texts(docs, text_col, keep)
+    text = F.col(f"row.`{text_col}`" if text_col in names else "text")
     row_type = rows.schema["row"].dataType.simpleString()
-    length = F.coalesce(F.length(F.col(f"row.`{text_col}`")), F.lit(0))
+    length = F.coalesce(F.length(text), F.lit(0))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces(*shared.value)
         for batch in batches:
-            texts = batch.column("row").field(text_col).to_pylist()
+            texts = texts_in(batch)
             found = [None if t is None else own.encode(" " + t)[1] if t else b"" for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column("row"), _id_lists(found)], ["row", "ids"])
 
@@ -381,7 +388,7 @@ def encode(
     long_rows = scratch.store(
         rows.where(length > chunk_chars).withColumn("uid", F.monotonically_increasing_id()), "long"
     )
-    texts = long_rows.select("uid", F.col(f"row.`{text_col}`").alias("text"))
+    texts = long_rows.select("uid", text.alias("text"))
     chunks = scratch.store(
         map_arrow(texts, split, "uid long, chunk int, piece string, ahead string").repartition(
             "uid", "chunk"
@@ -399,7 +406,7 @@ def encode(
         ).alias("ids")
     )
     pieced = long_rows.join(joined, "uid").select("row", "ids")
-    return unpacked(short.union(pieced), docs.columns, "ids")
+    return unpacked(short.union(pieced), names, "ids")
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", into: str = "decoded") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import exact_dedup, langid, mixing, pieces, simhash, topk, warc
+from hourmart.llm import brown, exact_dedup, langid, mixing, pieces, simhash, topk, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -105,7 +105,7 @@ FROM r
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(docs, keep=["doc_id"]).select("doc_id", "fingerprint", "component_id")
 
 
 def language_model(docs: DataFrame) -> langid.LanguageFilter:
@@ -116,7 +116,7 @@ def language_model(docs: DataFrame) -> langid.LanguageFilter:
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(hash_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
-    result = langid.predict(docs.select("doc_id", "text"), language_model(docs))
+    result = langid.predict(docs, language_model(docs), keep=["doc_id"])
     return result.select("doc_id", held_out, "lang_pred", "score")
 
 
@@ -143,6 +143,16 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    remainder = hash_remainder("doc_id", 7)
+    held_out = F.coalesce(remainder == 2, F.lit(False))
+    marked = docs.withColumn("held_out", held_out)
+    scored = brown.score(marked, docs.where(remainder != 2), keep=["doc_id", "held_out"])
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+    return scored.select(*columns)
+
+
 #: A public vocabulary; a path on the driver.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -152,7 +162,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     known = pieces.load_pieces(vocabulary)
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    encoded = pieces.encode(hashed, known).drop("text")
+    encoded = pieces.encode(hashed, known, keep=["doc_id", "text_hash"])
     decoded = pieces.decode(encoded, known)
     return decoded.select(
         "doc_id",
@@ -164,6 +174,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 
 
 ENTRIES = {
+    "op7_class_lm": (op7_class_lm, None),
     "op1_top_k": (op1_top_k, OP1_SQL),
     "op3_warc": (op3_warc, OP3_SQL),
     "op9_pieces": (op9_pieces, None),

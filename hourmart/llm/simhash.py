@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import Scratch, map_arrow, packed, tuned, unpacked, word_blocks
+from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts, word_blocks
 from hourmart.llm.components import connected_components
 
 BITS = 64
@@ -65,15 +65,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", width: int = 3) -> DataFrame:
-    """(row, fp): the input rows as a struct and their fingerprints."""
-    rows = packed(docs)
+def fingerprints(
+    docs: DataFrame, text_col: str = "text", width: int = 3, keep: list[str] | None = None
+) -> DataFrame:
+    """(row, fp): the columns to keep as a struct, and the fingerprints."""
+    rows, texts_in, _ = with_texts(docs, text_col, keep)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("row").field(text_col).to_pylist()
-            found = pa.array([fingerprint(t, width) for t in texts], pa.int64())
+            found = pa.array([fingerprint(t, width) for t in texts_in(batch)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("row"), found], ["row", "fp"])
 
     return map_arrow(rows, run, schema)
@@ -412,8 +413,9 @@ def near_duplicates(
     width: int = 3,
     distance: int = 2,
     bucket_rows: int = BUCKET_ROWS,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add ``fingerprint`` and ``component_id`` to all rows of ``docs``.
+    """Add ``fingerprint`` and ``component_id`` to all rows, with the columns ``keep`` (default: all).
 
     A fingerprint bit is set where more than half of the hashes of the word shingles
     (repeats included) have it.  Rows link at ``distance`` or fewer differing bits;
@@ -435,8 +437,8 @@ def near_duplicates(
     """
     spark = tuned(docs.sparkSession)
     scratch = Scratch(spark, "simhash")
-    marked = scratch.store(fingerprints(docs, text_col, width), "marked")
+    marked = scratch.store(fingerprints(docs, text_col, width, keep), "marked")
     named = near_components(marked, scratch, id_col, distance, bucket_rows)
     joined = marked.join(named.withColumnRenamed("fp", "class"), F.col("fp") == F.col("class"), "left")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return unpacked(joined, docs.columns, digits, "component_id")
+    return unpacked(joined, docs.columns if keep is None else keep, digits, "component_id")
