@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import brown, exact_dedup, langid, mixing, pieces, simhash, topk, warc
+from hourmart.llm import brown, exact_dedup, langid, mixing, pieces, simhash, topk, toxicity, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -153,6 +153,15 @@ def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*columns)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both labelled categories: low quality first, which then helps to tell toxic texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels")
+    marks = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = toxicity.learn(docs, marks, ["low_quality", "toxic"])
+    return toxicity.predict(docs, chain, keep=["doc_id"])
+
+
 #: A public vocabulary; a path on the driver.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -174,6 +183,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 
 
 ENTRIES = {
+    "op8_toxicity": (op8_toxicity, None),
     "op7_class_lm": (op7_class_lm, None),
     "op1_top_k": (op1_top_k, OP1_SQL),
     "op3_warc": (op3_warc, OP3_SQL),
