@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import brown, exact_dedup, langid, mixing, pieces, simhash, topk, toxicity, warc
+from hourmart.llm import brown, exact_dedup, langid, mixing, passages, pieces, simhash, topk, toxicity, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -120,6 +120,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as archives below the shared folder and read these back."""
     pages = table(spark, sf_dir, "pages")
@@ -183,6 +187,7 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
 
 
 ENTRIES = {
+    "op2_passages": (op2_passages, None),
     "op8_toxicity": (op8_toxicity, None),
     "op7_class_lm": (op7_class_lm, None),
     "op1_top_k": (op1_top_k, OP1_SQL),
