@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,10 +26,14 @@ SCALE = 1 << 16
 BYTE_PENALTY = 10.0
 NO_PATH = -(1 << 60)
 #: Words whose pieces a task remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 #: The public format's sign for a space.
 SPACE_SIGN = "▁"
 
+#: Longest word of the array path, and words and characters that it handles at once.
+WORD_CHARS, WORDS_AT_ONCE, TEXT_CHARS = 64, 20_000, 1 << 20
+
+_BASE, _ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x632BE59BD9B4E019)
 _BREAKS = "\n\t\r"
 
 
@@ -41,13 +46,19 @@ class Pieces:
     byte_weight: int
     surfaces: list[bytes]
     longest: int = 1
-    prefixes: frozenset = frozenset()
+    table: dict[str, int | None] = field(default_factory=dict)
     unit: str = ""
-    cache: dict = field(default_factory=dict)
+    cache: dict[str, bytes] = field(default_factory=dict)
+    id_weights: dict[int, int] = field(default_factory=dict)
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    key_weights: np.ndarray | None = None
+    key_ids: np.ndarray | None = None
 
     def __post_init__(self) -> None:
         self.longest = max(map(len, self.weights), default=1)
-        self.prefixes = frozenset(p[:n] for p in self.weights for n in range(1, len(p) + 1))
+        # Weights of pieces; None for what only begins pieces.
+        self.table = {p[:n]: None for p in self.weights for n in range(1, len(p))}
+        self.table.update((p, w) for p, (_, w) in self.weights.items())
         # No piece runs on from a letter to a space or holds a break: the best path passes there.
         whole = all(re.fullmatch(r" *[^ ]*", p) for p in self.weights)
         breaks = "".join(b for b in _BREAKS if not any(b in p and len(p) > 1 for p in self.weights))
@@ -57,34 +68,33 @@ class Pieces:
 
     # Best paths
 
-    def steps(self, text: str, i: int) -> Iterator[tuple[int, int]]:
-        """(end, weight) of every piece that may start at ``i``; a lone character always may."""
-        weights, prefixes, alone = self.weights, self.prefixes, True
-        for j in range(i + 1, min(i + self.longest, len(text)) + 1):
-            piece = text[i:j]
-            if piece not in prefixes:
-                break
-            if (known := weights.get(piece)) is not None:
-                if j == i + 1:
-                    alone = False
-                yield j, known[1]
-        if alone:
-            yield i + 1, self.byte_weight * len(text[i].encode())
-
     def scores(self, text: str, starts: dict[int, int], stop: int) -> tuple[list[int], list[int]]:
         """Best sums and predecessors of every position, for pieces that start before ``stop``.
 
-        ``starts`` has the sums to begin with.  Of equal sums the longest last piece wins.
+        ``starts`` has the sums to begin with.  Of equal sums the longest last piece
+        wins.  A character that is no piece counts as its bytes.
         """
-        best, back = [NO_PATH] * (len(text) + 1), [-1] * (len(text) + 1)
+        table, size, absent = self.table, len(text), NO_PATH
+        best, back = [NO_PATH] * (size + 1), [-1] * (size + 1)
         for i, score in starts.items():
             best[i] = score
         for i in range(stop):
-            if best[i] == NO_PATH:
+            score = best[i]
+            if score == NO_PATH:
                 continue
-            for j, weight in self.steps(text, i):
-                if best[i] + weight > best[j]:
-                    best[j], back[j] = best[i] + weight, i
+            j = i + 1
+            weight = table.get(text[i:j], absent)
+            if weight is None or weight == absent:
+                alone = score + self.byte_weight * len(text[i].encode())
+                if alone > best[j]:
+                    best[j], back[j] = alone, i
+            while weight != absent:
+                if weight is not None and score + weight > best[j]:
+                    best[j], back[j] = score + weight, i
+                if j == size:
+                    break
+                j += 1
+                weight = table.get(text[i:j], absent)
         return best, back
 
     def ids_of(self, text: str, back: list[int], start: int, end: int) -> list[int]:
@@ -101,23 +111,114 @@ class Pieces:
         out.reverse()
         return out
 
-    def word(self, unit: str) -> tuple[int, bytes]:
-        """Score and ids (as 32-bit numbers) of a unit that no piece crosses."""
-        known = self.cache.get(unit)
-        if known is None:
-            best, back = self.scores(unit, {0: 0}, len(unit))
-            ids = np.array(self.ids_of(unit, back, 0, len(unit)), np.int32)
-            known = (best[len(unit)], ids.tobytes())
-            if len(self.cache) >= CACHE_WORDS:
-                self.cache.clear()
-            if len(unit) <= 64:
-                self.cache[unit] = known
-        return known
-
-    def encode(self, text: str) -> tuple[int, bytes]:
-        """Score and ids of a whole text that begins with the added space."""
-        found = [self.word(u) for u in re.findall(self.unit, text)]
-        return sum(s for s, _ in found), b"".join(b for _, b in found)
+    def slow_word(self, unit: str) -> bytes:
+        """Ids, as 32-bit numbers, of a unit that no piece crosses."""
+        _, back = self.scores(unit, {0: 0}, len(unit))
+        return array("i", self.ids_of(unit, back, 0, len(unit))).tobytes()
+
+    def words(self, units: list[str]) -> list[bytes]:
+        """Ids of many short units, their best paths found side by side in arrays.
+
+        All starts of pieces are followed one character at a time through the hashes of
+        the beginnings of pieces; then positions are relaxed in order, all units at once.
+        """
+        if not len(self.keys):
+            self.hash_pieces()
+        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        unit = np.repeat(np.arange(len(units)), lengths)
+        first = np.cumsum(lengths) - lengths
+        place = np.arange(len(codes)) - first[unit]
+        left = lengths[unit] - place
+        # Edges (start, length, weight, id) of the units' paths.
+        at, hashes, parts = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
+        alone = np.ones(len(codes), bool)
+        for n in range(1, self.longest + 1):
+            hashes = hashes * _BASE + codes[at + n - 1] + _ODD
+            found = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+            known = self.keys[found] == hashes
+            whole = known & (self.key_ids[found] >= 0)
+            parts.append((at[whole], np.full(whole.sum(), n), self.key_weights[found[whole]], self.key_ids[found[whole]]))
+            if n == 1:
+                alone[at[whole]] = False
+            on = known & (left[at] > n)
+            at, hashes = at[on], hashes[on]
+        start, size, weight, piece = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((size, place[start]))
+        start, size, weight, piece = start[order], size[order], weight[order], piece[order]
+        source, node = start + unit[start], first + np.arange(len(units))
+        best = np.full(len(codes) + len(units), NO_PATH, np.int64)
+        best[node] = 0
+        back, ids = np.zeros(len(best), np.int64), np.zeros(len(best), np.int32)
+        turn = place[start] * (self.longest + 1) + size
+        bounds = np.append(np.flatnonzero(np.diff(turn, prepend=-1)), len(turn))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            reached = best[source[a:b]] + weight[a:b]
+            target = source[a:b] + size[a]
+            better = reached > best[target]
+            target = target[better]
+            best[target], back[target], ids[target] = reached[better], size[a], piece[a:b][better]
+        # Back from every end at once.
+        current, steps = node + lengths, []
+        going = np.arange(len(units))
+        while len(going):
+            steps.append((going, ids[current[going]]))
+            current[going] -= np.maximum(back[current[going]], 1)
+            going = going[current[going] > node[going]]
+        counts = np.bincount(np.concatenate([g for g, _ in steps]), minlength=len(units))
+        ends = np.cumsum(counts)
+        flat = np.zeros(int(ends[-1]), np.int32)
+        for k, (going, found) in enumerate(steps):
+            flat[ends[going] - 1 - k] = found
+        data, stops = flat.tobytes(), (4 * ends).tolist()
+        out = [data[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+        for k in np.unique(unit[alone]).tolist():
+            out[k] = self.slow_word(units[k])
+        return out
+
+    def hash_pieces(self) -> None:
+        """Sorted hashes of all beginnings of pieces, with the weights and ids of pieces."""
+        hashes, weights, ids = [], [], []
+        for text, weight in self.table.items():
+            value = 0
+            for c in text:
+                value = (value * int(_BASE) + ord(c) + int(_ODD)) % (1 << 64)
+            hashes.append(value)
+            weights.append(weight or 0)
+            ids.append(-1 if weight is None else self.weights[text][0])
+        order = np.argsort(np.array(hashes, np.uint64))
+        self.keys = np.array(hashes, np.uint64)[order]
+        if (np.diff(self.keys) == 0).any():
+            raise ValueError("two beginnings of pieces have one hash")
+        self.key_weights, self.key_ids = np.array(weights, np.int64)[order], np.array(ids, np.int32)[order]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts that begin with the added space."""
+        parts = [re.findall(self.unit, t) for t in texts]
+        known = self.cache
+        missing = list(set().union(*parts).difference(known))
+        short = [u for u in missing if len(u) <= WORD_CHARS]
+        for a in range(0, len(short), WORDS_AT_ONCE):
+            some = short[a : a + WORDS_AT_ONCE]
+            known.update(zip(some, self.words(some), strict=True))
+        long = {u: self.slow_word(u) for u in missing if len(u) > WORD_CHARS}
+        known.update(long)
+        out = [b"".join(map(known.__getitem__, units)) for units in parts]
+        for u in long:
+            del known[u]
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def score(self, ids: bytes) -> int:
+        """The sum of the pieces' weights."""
+        if not self.id_weights:
+            self.id_weights.update((i, w) for i, w in self.weights.values())
+            self.id_weights.update((i, self.byte_weight) for i in self.byte_ids)
+        return sum(map(self.id_weights.__getitem__, np.frombuffer(ids, np.int32).tolist()))
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.surfaces.__getitem__, ids)).decode("utf-8", "replace")
@@ -143,7 +244,7 @@ class Pieces:
             tail = self.scores(text[last:], {0: 0}, n - last)[0][n - last :]
             ends = np.full(size, NO_PATH, np.int64)
             ends[: min(size, len(tail))] = tail[:size]
-            middle = self.encode(chunk[first:last])[0]
+            middle = self.score(self.encode(chunk[first:last]))
             both = (head[:, None] > NO_PATH) & (ends[None, :] > NO_PATH)
             return np.where(both, head[:, None] + middle + ends[None, :], NO_PATH)
         for s in range(size):
@@ -169,7 +270,7 @@ class Pieces:
         rest = text[last:]
         _, back = self.scores(rest, {0: 0}, n - last)
         tail = self.ids_of(rest, back, 0, n - last + leave)
-        middle = self.encode(chunk[first:last])[1]
+        middle = self.encode(chunk[first:last])
         return np.array(head, np.int32).tobytes() + middle + np.array(tail, np.int32).tobytes()
 
 
@@ -340,9 +441,17 @@ def encode(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces(*shared.value)
         for batch in batches:
-            texts = texts_in(batch)
-            found = [None if t is None else own.encode(" " + t)[1] if t else b"" for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), _id_lists(found)], ["row", "ids"])
+            texts, start = texts_in(batch), 0
+            while start < len(texts):
+                end, held = start, 0
+                while end < len(texts) and held < TEXT_CHARS:
+                    held, end = held + len(texts[end] or ""), end + 1
+                some = texts[start:end]
+                coded = iter(own.encode_all([" " + t for t in some if t]))
+                found = [None if t is None else next(coded) if t else b"" for t in some]
+                rows_of = batch.column("row").slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([rows_of, _id_lists(found)], ["row", "ids"])
+                start = end
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
