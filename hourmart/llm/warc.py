@@ -144,7 +144,7 @@ def write_archives(
             for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
                 if out is None:
                     path, records, done = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(f"{base}/{path}")
+                    out = store.open_output_stream(f"{base}/{path}", compression=None)
                 data = record_bytes(*row)
                 out.write(data)
                 records, done = records + 1, done + len(data)
@@ -259,7 +259,7 @@ def read_archives(
 
     def rows(path: str) -> Iterator[tuple]:
         store, inner = _open(path)
-        with store.open_input_stream(inner) as stream:
+        with store.open_input_stream(inner, compression=None) as stream:
             for record in read_records(stream):
                 stated = _hex(record.fields.get("warc-payload-digest"))
                 http, payload = record.http()
