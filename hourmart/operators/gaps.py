@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.zones import MARKET_ZONE, due_hours, hours
+from hourmart.functions.zones import MARKET_ZONE, due_hours, hours, instant
 from hourmart.operators.ordered import with_neighbours
 from hourmart.operators.trailing import trailing
 
@@ -70,6 +70,14 @@ def missing_due_hours(
     date: str = "local_date",
     zone: str = MARKET_ZONE,
 ) -> DataFrame:
-    """Due hours that the hourly table does not contain."""
+    """Due hours that the hourly table does not contain.
+
+    Of the table only the range of the due hours is read: its bounds are literals
+    that reach the scan.
+    """
     keys = [*series, "hour_utc"]
-    return expected_hours(dates, date, zone).join(present.select(*keys), keys, "left_anti")
+    due = expected_hours(dates, date, zone)
+    first, last = due.agg(F.min("hour_utc"), F.max("hour_utc")).first()
+    if first is not None:
+        present = present.where(F.col("hour_utc").between(instant(first), instant(last)))
+    return due.join(present.select(*keys), keys, "left_anti")

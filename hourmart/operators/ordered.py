@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_CHUNK = "__chunk"
+_CHUNK, _GROUP = "__at", "__chunk"
 
 
 def with_neighbours(
@@ -31,24 +31,23 @@ def with_neighbours(
     """Add ``prev_<c>`` (and ``next_<c>``) for each carried column.
 
     ``order`` must be unique within a series, and ``chunk`` must not decrease
-    with it (default: calendar month of ``order``).  Neither they nor the series
-    may be NULL.
+    with it (default: calendar month of ``order``).  A NULL series is a series of
+    its own.  A row without ``order`` stays, without neighbours.
     """
     chunk = F.date_trunc("month", F.col(order)) if chunk is None else chunk
     row = F.struct(*carry)
-    keys = [*series, _CHUNK]
-    chunked = df.withColumn(_CHUNK, chunk)
-    for key in keys:
-        # The join below implies this; stated here, it is the same on both sides.
-        chunked = chunked.where(F.col(key).isNotNull())
-    chunked = chunked.repartition(*keys)
+    # One struct as key: never NULL itself, and equal where its parts are.
+    keys = [_GROUP]
+    chunked = df.withColumn(_GROUP, F.struct(*series, chunk.alias(_CHUNK))).repartition(_GROUP)
 
     whole = F.struct(*df.columns)
     ends = chunked.groupBy(*keys).agg(
         F.max_by(whole, F.col(order)).alias("__last"),
         F.min_by(whole, F.col(order)).alias("__first"),
     )
-    link = Window.partitionBy(*(series or [F.lit(0)])).orderBy(_CHUNK)
+    of_series = [F.col(f"{_GROUP}.{s}") for s in series]
+    ordered = F.col("__last").isNotNull()
+    link = Window.partitionBy(*of_series, ordered).orderBy(F.col(f"{_GROUP}.{_CHUNK}"))
     ends = ends.select(
         *keys,
         F.lag("__last").over(link).alias("__before"),
@@ -63,7 +62,8 @@ def with_neighbours(
 
     def linked(inner: str, outer: str, prefix: str) -> list[Column]:
         return [
-            F.when(F.col(inner).isNotNull(), F.col(inner).getField(c))
+            F.when(F.col(order).isNull(), F.lit(None))
+            .when(F.col(inner).isNotNull(), F.col(inner).getField(c))
             .otherwise(F.col(outer).getField(c))
             .alias(f"{prefix}_{c}")
             for c in carry

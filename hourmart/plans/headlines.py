@@ -66,23 +66,42 @@ def classify_by_keywords(headlines: DataFrame, title: str = "title") -> DataFram
     return labelled.select(*headlines.columns, "__r.*")
 
 
+class ClassifierError(RuntimeError):
+    """A classifier's answer cannot be used for some of the titles."""
+
+
 def classify_batches(
-    headlines: DataFrame, classifier: Callable, title: str = "title"
+    headlines: DataFrame,
+    classifier: Callable,
+    title: str = "title",
+    failures: tuple[type[Exception], ...] = (ClassifierError,),
 ) -> DataFrame:
     """Classify with any function of a pandas Series of titles that returns the
-    columns label, confidence and model.  A batch it fails on stays unlabelled."""
+    columns label, confidence and model.
+
+    A batch that it fails on with one of ``failures`` is asked title by title, and
+    titles that it fails on stay unlabelled: the result does not depend on the size
+    of batches.  Any other error fails the job.
+    """
     schema = headlines.select("*").schema.add("label", "string").add("confidence", "double").add(
         "model", "string"
     )
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            try:
-                result = classifier(batch[title])
-                columns = {c: result[c].to_numpy() for c in ("label", "confidence", "model")}
-            except Exception:
-                columns = {"label": None, "confidence": None, "model": None}
-            yield batch.assign(**columns)
+            for part in labelled(batch):
+                yield part
+
+    def labelled(batch):  # noqa: ANN001, ANN202
+        try:
+            result = classifier(batch[title])
+            yield batch.assign(**{c: result[c].to_numpy() for c in ("label", "confidence", "model")})
+        except failures:
+            if len(batch) > 1:
+                for k in range(len(batch)):
+                    yield from labelled(batch.iloc[k : k + 1])
+            else:
+                yield batch.assign(label=None, confidence=None, model=None)
 
     return headlines.mapInPandas(run, schema)
 

@@ -53,16 +53,24 @@ def query(
     return fact.groupBy(*keys).agg(*[known[m].alias(m) for m in metrics])
 
 
-def prior_year(daily: DataFrame, value: str, date: str = "local_date") -> DataFrame:
-    """Value of the same date one year before, and the relative change.
+def prior_year(
+    daily: DataFrame, value: str, date: str = "local_date", series: Sequence[str] = ()
+) -> DataFrame:
+    """Value of the same series and date one year before, and the relative change.
 
-    29 February is compared with 28 February of the year before.
+    29 February is compared with 28 February of the year before.  With one row per
+    series and date every input row gives one row.
     """
-    earlier = daily.select(F.col(date).alias("prior_date"), F.col(value).alias("prior_value"))
+    earlier = daily.select(
+        F.struct(*series, F.col(date).alias("prior_date")).alias("earlier"),
+        F.col(value).alias("prior_value"),
+    )
+    before = F.struct(*series, F.add_months(F.col(date), -12).alias("prior_date"))
     return (
-        daily.select(date, value, F.add_months(F.col(date), -12).alias("prior_date"))
-        .join(earlier, "prior_date", "left")
+        daily.select(*series, date, value, before.alias("before"))
+        .join(earlier, F.col("before") == F.col("earlier"), "left")
         .select(
+            *series,
             date,
             value,
             "prior_value",

@@ -55,13 +55,20 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (tests, local runs) a local temporary
-    folder is taken and recorded in the session, so later calls share it.
+    The context's checkpoint folder is taken where the setting is missing.  Only a
+    local run may have neither: it gets a temporary folder, recorded in the
+    session so that later calls share it.  On a cluster every executor would
+    write to its own disk, so there the setting is required.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
+    context = spark.sparkContext
+    base = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir")
+        or context.getCheckpointDir()
     )
     if not base:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="hourmart-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/hourmart/{purpose}-{uuid.uuid4().hex}"

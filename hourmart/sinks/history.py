@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourmart.functions.zones import instant
 from hourmart.operators.ordered import with_neighbours
@@ -34,10 +37,10 @@ def apply_revisions(
     closed = history.where(~is_open)
 
     run = instant(run_at) if run_at else F.localtimestamp()
-    old = history.where(is_open).select(
-        *keys, F.struct(*values, "valid_from").alias("old")
-    )
-    new = current.select(*keys, F.struct(*values).alias("new"))
+    # NULL keys are equal: a key's columns are compared null-safely.
+    old = history.where(is_open).select(F.struct(*keys, *values, "valid_from").alias("old"))
+    new = current.select(F.struct(*keys, *values).alias("new"))
+    same = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     newer = has_old & has_new & (F.col(f"new.{updated_at}") > F.col(f"old.{updated_at}"))
 
@@ -59,8 +62,11 @@ def apply_revisions(
         ),
     )
     changed = (
-        old.join(new, list(keys), "full")
-        .select(*keys, F.explode(F.array_compact(F.array(kept, opened))).alias("row"))
+        old.join(new, same, "full")
+        .select(
+            *[F.when(has_old, F.col(f"old.{k}")).otherwise(F.col(f"new.{k}")).alias(k) for k in keys],
+            F.explode(F.array_compact(F.array(kept, opened))).alias("row"),
+        )
         .select(*columns_of(keys, columns, "row"))
     )
     return closed.select(*columns, "valid_from", "valid_to").unionByName(changed)
@@ -81,6 +87,7 @@ def snapshot_table(
     partition_value: Column,
     updated_at: str = "source_fetched_at",
     run_at: dt.datetime | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Apply a snapshot to a history table partitioned by a function of the key.
 
@@ -92,7 +99,7 @@ def snapshot_table(
     current.write.parquet(folder)
     try:
         staged = spark.read.schema(current.schema).parquet(folder)
-        history = read_table(spark, path)
+        history = read_table(spark, path, schema, staged.schema[partition])
         if history is None:
             opened = staged.withColumns(
                 {"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast("timestamp_ntz")}
@@ -100,10 +107,14 @@ def snapshot_table(
             write_partitions(opened, path, partition, keys)
             return
         on = [*keys, partition]
-        old = history.where(F.col("valid_to").isNull()).select(*on, F.col(updated_at).alias("old"))
-        new = staged.select(*on, F.col(updated_at).alias("new"))
-        changed = F.col("old").isNull() | F.col("new").isNull() | (F.col("new") > F.col("old"))
-        touched = old.join(new, on, "full").where(changed).select(partition).distinct()
+        times = F.struct(*on, F.col(updated_at).alias("at"))
+        old = history.where(F.col("valid_to").isNull()).select(times.alias("old"))
+        new = staged.select(times.alias("new"))
+        same = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in on])
+        has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
+        changed = ~has_old | ~has_new | (F.col("new.at") > F.col("old.at"))
+        value = F.when(has_old, F.col(f"old.{partition}")).otherwise(F.col(f"new.{partition}"))
+        touched = old.join(new, same, "full").where(changed).select(value.alias(partition)).distinct()
         history, staged = only_partitions(touched, partition, history, staged)
         write_partitions(
             apply_revisions(history, staged, on, updated_at, run_at), path, partition, keys

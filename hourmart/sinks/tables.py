@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,20 +17,26 @@ from hourmart.operators.revisions import latest_revision
 from hourmart.schemas import MARTS
 from hourmart.session import remove_folder, work_folder
 
-# Up to this many touched partitions become literals, so the scan is pruned at
-# planning time; beyond it a semi join prunes at run time.
-LITERAL_PARTITIONS = 1000
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    partition: T.StructField | None = None,
 ) -> DataFrame | None:
     """The table at a path, or None when nothing is stored there yet.
 
     Files may differ in columns that were added later.  With a schema (pass it
     for large tables) they are filled in; without one all footers are read to
-    find every column.
+    find every column.  Folder names do not tell a partition column's type:
+    ``partition`` states it, so that a text such as ``007`` stays one.
     """
+    if schema is None and partition is not None:
+        found = read_table(spark, path)
+        if found is None:
+            return None
+        schema = T.StructType([partition if f.name == partition.name else f for f in found.schema])
     if schema is not None:
         reader = spark.read.schema(schema)
     else:
@@ -73,11 +81,25 @@ def write_partitions(
 
 
 def only_partitions(touched: DataFrame, partition: str, *frames: DataFrame) -> list[DataFrame]:
-    """The frames restricted to the touched partitions."""
-    values = [r[0] for r in touched.limit(LITERAL_PARTITIONS + 1).collect()]
-    if len(values) <= LITERAL_PARTITIONS:
-        return [f.where(F.col(partition).isin(values)) for f in frames]
-    return [f.join(touched, partition, "left_semi").select(*f.columns) for f in frames]
+    """The frames restricted to the touched partitions, the one without a value included.
+
+    The range of the touched values is a literal that prunes the scan at planning
+    time, however many they are; a semi join leaves out what lies between them.
+    """
+    kind = touched.schema[partition].dataType
+    low, high, empty = touched.agg(
+        F.min(partition), F.max(partition), F.count_if(F.col(partition).isNull())
+    ).first()
+    value = F.col(partition)
+    within = F.lit(False)
+    if low is not None:
+        within = value.between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    if empty:
+        within = within | value.isNull()
+    wanted = touched.select(value.alias("__touched")).distinct()
+    return [
+        f.where(within).join(wanted, value.eqNullSafe(F.col("__touched")), "left_semi") for f in frames
+    ]
 
 
 def upsert_frame(
@@ -86,17 +108,24 @@ def upsert_frame(
     keys: Sequence[str],
     updated_at: str | None = None,
     ties: Sequence[str] = (),
+    newest_wins: bool = False,
 ) -> DataFrame:
     """Target rows whose key is not in the batch, plus the batch.
 
     The batch wins on equal keys whatever its load time.  With ``updated_at``
-    the batch is first reduced to its newest row per key.  Columns that only
-    one side has are filled with NULL.
+    the batch is first reduced to its newest row per key; with ``newest_wins`` the
+    stored row takes part in this, so late batches do not undo newer ones.
+    Columns that only one side has are filled with NULL.  NULL keys are equal.
     """
+    if newest_wins:
+        both = target.unionByName(batch, allowMissingColumns=True)
+        return latest_revision(both, keys, updated_at, ties)
     if updated_at is not None:
         batch = latest_revision(batch, keys, updated_at, ties)
-    kept = target.join(batch.select(*keys), list(keys), "left_anti")
-    return kept.select(*target.columns).unionByName(batch, allowMissingColumns=True)
+    own = batch.select(*[F.col(k).alias(f"__{k}") for k in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    kept = target.join(own, same, "left_anti")
+    return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def upsert_table(
@@ -109,12 +138,15 @@ def upsert_table(
     updated_at: str | None = None,
     ties: Sequence[str] = (),
     schema: T.StructType | None = None,
+    newest_wins: bool = False,
 ) -> int:
     """Upsert a batch into a partitioned table; returns the rows in the batch.
 
     Only partitions that the batch touches are read and rewritten.  The
-    partition value must be a function of the key.
+    partition value must be a function of the key; it may be NULL.
     """
+    if newest_wins and updated_at is None:
+        raise ValueError("newest_wins compares updated_at")
     folder = work_folder(spark, "upsert")
     batch = batch.withColumn(partition, partition_value)
     batch.write.parquet(folder)
@@ -122,7 +154,7 @@ def upsert_table(
         staged = spark.read.schema(batch.schema).parquet(folder)
         rows = staged.count()
         if rows:
-            _merge_into(spark, path, staged, keys, partition, updated_at, ties, schema)
+            _merge_into(spark, path, staged, keys, partition, updated_at, ties, schema, newest_wins)
         return rows
     finally:
         remove_folder(spark, folder)
@@ -137,13 +169,14 @@ def _merge_into(
     updated_at: str | None,
     ties: Sequence[str],
     schema: T.StructType | None,
+    newest_wins: bool,
 ) -> None:
-    target = read_table(spark, path, schema)
+    target = read_table(spark, path, schema, staged.schema[partition])
     if target is None:
         merged = latest_revision(staged, keys, updated_at, ties) if updated_at else staged
     else:
         [target] = only_partitions(staged.select(partition).distinct(), partition, target)
-        merged = upsert_frame(target, staged, keys, updated_at, ties)
+        merged = upsert_frame(target, staged, keys, updated_at, ties, newest_wins)
     write_partitions(merged, path, partition, keys)
 
 
@@ -159,7 +192,10 @@ def incremental_refresh(
     full_refresh: bool = False,
     schema: T.StructType | None = None,
 ) -> int:
-    """Rebuild the part of a mart from ``max(key) - lookback`` on.
+    """Rebuild the part of a mart from the newest key, less the lookback, on.
+
+    With several series the bound follows the one that lags most, so that no
+    series loses rows; a series new to the mart enters from that bound on.
 
     ``build(since)`` returns the mart from that bound on, so the bound reaches
     the scans as a literal.  Keys that vanished upstream stay in the mart until
@@ -167,20 +203,25 @@ def incremental_refresh(
     The partition value must not decrease with the key.
     """
     target = None if full_refresh else read_table(spark, path, schema)
-    since = None if target is None else _newest_key(target, key, partition)
+    since = None if target is None else _newest_key(target, key, partition, series)
     if since is None:
         frame = build(None).withColumn(partition, partition_value)
         write_partitions(frame, path, partition, [*series, key], overwrite_all=True)
-        return read_table(spark, path).count()
+        return read_table(spark, path, schema).count()
     batch = build(since - lookback)
     return upsert_table(
         spark, path, batch, [*series, key], partition, partition_value, schema=schema
     )
 
 
-def _newest_key(target: DataFrame, key: str, partition: str) -> dt.datetime | dt.date | None:
-    """Greatest key, from the newest partition alone; finding that partition
-    reads no column data."""
+def _newest_key(
+    target: DataFrame, key: str, partition: str, series: Sequence[str] = ()
+) -> dt.datetime | dt.date | None:
+    """Greatest key: the smallest of the series' greatest keys.  Without series the
+    newest partition alone is read; finding it reads no column data."""
+    if series:
+        newest = target.groupBy(*series).agg(F.max(key).alias("newest"))
+        return newest.agg(F.min("newest")).first()[0]
     last = target.agg(F.max(partition)).first()[0]
     return target.where(F.col(partition) == last).agg(F.max(key)).first()[0]
 

@@ -40,7 +40,8 @@ def lines_of_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     The files stay splittable: the header is found by its place in the file and
     joined back by file name.  The header side has one row per file, and its
-    measured size decides at run time whether it is broadcast.
+    measured size decides at run time whether it is broadcast.  Lines of a file
+    without a header stay, without ``fields``: see ``headerless``.
     """
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("doc"),
@@ -56,11 +57,20 @@ def lines_of_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         .select("doc", _header_fields(F.col("header")).alias("fields"))
     )
     data = lines.where(~F.col("line").startswith("#") & (F.trim("line") != ""))
-    return data.join(headers, "doc").select(
+    return data.join(headers, "doc", "left").select(
         "doc", place.alias("place"), "fields", _cells(F.col("line")).alias("cells")
     )
 
 
+def headerless(lines: DataFrame, keys: Sequence[str] = ("doc",)) -> DataFrame:
+    """The files or documents without a header line, with their number of lines.
+
+    Their lines mean nothing without column names: ``station_rows`` leaves them out.
+    """
+    bad = lines.where(F.col("fields").isNull())
+    return bad.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def lines_of_documents(docs: DataFrame, content: str, keys: Sequence[str]) -> DataFrame:
     """The same rows from a column of whole documents, without a join."""
     lines = F.split(F.col(content), "\r?\n")
@@ -90,7 +100,7 @@ def station_rows(lines: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     number = {column: _cell(name).try_cast("double") for column, name in STATION_FIELDS.items()}
     date = F.to_date(_cell("YYYYMMDD"), "yyyyMMdd").cast("timestamp_ntz")
     radiation = number["radiation_jm2"] * F.lit(10_000.0)
-    return lines.select(
+    return lines.where(F.col("fields").isNotNull()).select(
         *keep,
         _cell("STN").cast("int").alias("station"),
         (date + F.make_dt_interval(F.lit(0), _cell("H").cast("int"))).alias("interval_end_local"),

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from hourmart.functions.numbers import exact_mean
@@ -41,15 +42,19 @@ def upsert_stream(
     updated_at: str = "fetched_at",
     ties: Sequence[str] = (),
     trigger: dict = ONCE,
+    schema: T.StructType | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a keyed table.
 
-    The upsert is idempotent per key, so a batch replayed after a failure gives
-    the same table.
+    The newest revision of a key stays, stored or arriving: the table does not
+    depend on how the input is cut into batches, nor on a batch replayed after a
+    failure.  Pass ``schema`` for large tables.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(spark, path, batch, keys, partition, partition_value, updated_at, ties)
+        upsert_table(
+            spark, path, batch, keys, partition, partition_value, updated_at, ties, schema, newest_wins=True
+        )
 
     return _start(revisions, checkpoint, handle, trigger)
 
@@ -59,6 +64,8 @@ def hourly_rollup(
 ) -> DataFrame:
     """Hourly mean of points, for hours with exactly the four quarter marks.
 
+    Points without a price do not count, and hours of lone points are not emitted:
+    they need their neighbours, so route them to the batch form.
     An hour is final once the watermark has passed it, ``late_by`` after the
     newest event.  Event times must be instants: watermarks reject naive ones.
     """
@@ -66,6 +73,7 @@ def hourly_rollup(
     complete = sum(1 << m for m in QUARTER_MINUTES)
     return (
         points.withWatermark(at, late_by)
+        .where(F.col(price).isNotNull())
         .groupBy(*series, F.window(at, "1 hour"))
         .agg(F.count(F.lit(1)).alias("n"), mask.alias("mask"), exact_mean(price).alias("price_eur_mwh"))
         .where((F.col("n") == len(QUARTER_MINUTES)) & (F.col("mask") == F.lit(complete)))
@@ -121,7 +129,9 @@ def daily_rollup_stream(
                 return
             touched = batch.select(*series, day.alias("day")).distinct()
             [fact] = only_partitions(
-                touched.select("day").distinct(), "day", read_table(spark, fact_path)
+                touched.select("day").distinct(),
+                "day",
+                read_table(spark, fact_path, partition=touched.schema["day"]),
             )
             changed = fact.join(touched, [*series, "day"], "left_semi").drop("day")
             upsert_table(

@@ -91,14 +91,29 @@ def test_label_mapping(frame):
     ]
 
 
-def test_failing_classifier_leaves_headlines_unclassified(spark):
-    df = spark.createDataFrame([("a",), ("b",)], "title string")
-
-    def down(titles: pd.Series):
-        raise RuntimeError("down")
-
-    out = news.classify_batches(df, down).select("title", *news.category_columns())
-    assert rows(out) == [("a", None, None, None), ("b", None, None, None)]
+@pytest.mark.parametrize("batch_rows", ["2", "3", "100"])
+def test_failing_classifier_leaves_its_headlines_unclassified(spark, batch_rows):
+    """Only titles that fail stay unlabelled, however the rows are batched."""
+    df = spark.createDataFrame([(t,) for t in "abcdefgh"], "title string").coalesce(1)
+
+    def picky(titles: pd.Series):
+        if titles.isin(["c", "f"]).any():
+            raise news.ClassifierError("no answer")
+        return pd.DataFrame({"label": "gas", "confidence": 0.5, "model": "m"}, index=titles.index)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        out = news.classify_batches(df, picky).select("title", *news.category_columns())
+        got = {r[0]: r[1] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {t: None if t in "cf" else "gas" for t in "abcdefgh"}
+
+
+def test_other_faults_of_a_classifier_are_not_hidden(spark):
+    df = spark.createDataFrame([("a",)], "title string")
+    with pytest.raises(Exception, match="KeyError"):
+        news.classify_batches(df, lambda titles: {}["label"]).collect()
 
 
 def test_keyword_labels(frame):

@@ -192,3 +192,14 @@ def test_price_and_provenance_checks(frame):
     assert rows(quality.implausible_prices(fact), "price_eur_mwh") == [(-501.0,)]
     assert rows(quality.misaligned_prices(fact), "price_diff_eur") == [(2.01,)]
     assert rows(quality.self_reconciled(fact), "hour_utc") == [(ts("2026-10-03"),)]
+
+
+def test_null_keys_stay(spark):
+    df = spark.createDataFrame([(None, 5, 1), (None, 6, 2), (1, 5, 3)], "k int, v int, i int")
+    assert sorted(r["group_rows"] for r in with_group_stats(df, ["k"], "v").collect()) == [1, 2, 2]
+    times = spark.createDataFrame(
+        [(None, "2026-01-01", 1), (None, "2026-02-01", 2), ("a", "2026-01-01", 3), ("a", None, 4)],
+        "s string, t string, v int",
+    ).withColumn("t", F.to_timestamp_ntz("t", F.lit("yyyy-MM-dd")))
+    got = {r["v"]: (r["prev_v"], r["next_v"]) for r in with_neighbours(times, "t", ["v"], ["s"]).collect()}
+    assert got == {1: (None, 2), 2: (1, None), 3: (None, None), 4: (None, None)}

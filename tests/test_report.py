@@ -199,3 +199,14 @@ def test_dashboard_has_six_queries(fact, daily):
     assert len(dashboard.QUERIES) == 6
     for plan, mart in dashboard.QUERIES.values():
         assert plan(frames[mart]).count() >= 1
+
+
+def test_prior_year_stays_inside_a_series(spark):
+    df = spark.createDataFrame(
+        [(z, d, v) for z, k in (("a", 1.0), ("b", 10.0)) for d, v in (("2025-01-01", k), ("2026-01-01", 2 * k))],
+        "zone string, d string, v double",
+    ).withColumn("local_date", F.to_date("d"))
+    got = metrics.prior_year(df, "v", series=["zone"]).collect()
+    assert len(got) == 4
+    assert {r["yoy"] for r in got} == {None, 1.0}
+    assert {(r["zone"], r["prior_value"]) for r in got if r["prior_value"]} == {("a", 1.0), ("b", 10.0)}

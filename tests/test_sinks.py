@@ -65,8 +65,7 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert len(stored(spark, str(path))) == 4
 
 
-def test_many_partitions_use_the_semi_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "LITERAL_PARTITIONS", 1)
+def test_all_touched_partitions_are_replaced(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(spark, path, batch(spark, *POINTS))
     changed = [(h, p + 1) for h, p in POINTS]
@@ -257,3 +256,55 @@ def test_large_partition_is_split_over_files(spark, tmp_path):
     files = list((tmp_path / "t" / "day=2026-01-01").glob("*.parquet"))
     assert len(files) > 1
     assert spark.read.parquet(str(tmp_path / "t")).count() == 100_000
+
+
+def test_null_and_zero_padded_partitions_survive(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def put(*rows, **kwargs):
+        df = spark.createDataFrame(rows, "k string, part string, v double, at timestamp_ntz")
+        return tables.upsert_table(spark, path, df, ["k"], "part", F.col("part"), "at", **kwargs)
+
+    put(("x", None, 1.0, ts("2026-01-02")), ("y", "007", 2.0, ts("2026-01-02")))
+    put(("z", None, 3.0, ts("2026-01-02")), ("y", "007", 4.0, ts("2026-01-01")))
+    got = {r["k"]: (r["part"], r["v"]) for r in spark.read.schema("k string, v double, part string").parquet(path).collect()}
+    assert got == {"x": (None, 1.0), "z": (None, 3.0), "y": ("007", 4.0)}
+    put(("y", "007", 9.0, ts("2025-12-31")), newest_wins=True)
+    got = {r["k"]: r["v"] for r in spark.read.schema("k string, v double, part string").parquet(path).collect()}
+    assert got == {"x": 1.0, "z": 3.0, "y": 4.0}
+
+
+def test_many_touched_partitions_prune_by_range(spark, tmp_path):
+    path = str(tmp_path / "t")
+    wide = spark.range(3000).select("id", F.col("id").cast("int").alias("part"))
+    target = wide.where("id < 3")
+    target.write.partitionBy("part").parquet(path)
+    stored = tables.read_table(spark, path, partition=target.schema["part"])
+    [kept] = tables.only_partitions(wide.where("id >= 1").select("part"), "part", stored)
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2]
+    plan = kept._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan and ">= 1" in plan
+
+
+def test_history_keeps_null_partitions(spark, tmp_path):
+    path = str(tmp_path / "h")
+
+    def snap(value, at):
+        df = spark.createDataFrame([("x", None, value, ts(at))], "k string, part string, v double, source_fetched_at timestamp_ntz")
+        history.snapshot_table(spark, path, df, ["k"], "part", F.col("part"), run_at=ts("2026-03-01"))
+
+    snap(1.0, "2026-01-01")
+    snap(2.0, "2026-01-02")
+    got = spark.read.parquet(path).collect()
+    assert sorted((r["v"], r["valid_to"] is None) for r in got) == [(1.0, False), (2.0, True)]
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from hourmart.session import work_folder
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(SimpleNamespace(conf=conf, sparkContext=context), "x")

@@ -68,3 +68,10 @@ def test_repeated_autumn_label_keeps_the_later_hour(spark):
         (ts("2025-10-26 02:00"), 2.0),
         (ts("2025-10-26 03:00"), 3.0),
     ]
+
+
+def test_files_without_header_are_told(spark, tmp_path):
+    (tmp_path / "bad.txt").write_text("260,20260101,1,10\n260,20260101,2,11\n")
+    lines = wd.lines_of_files(spark, [str(tmp_path / "bad.txt")])
+    assert [r["n_lines"] for r in wd.headerless(lines).collect()] == [2]
+    assert wd.station_rows(lines).collect() == []
