@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts
 
 #: Characters that are counted at once.
-STEP_CHARS = 1 << 20
+STEP_CHARS = 1 << 18
 #: Languages in one word of a bitmask.
 WORD_BITS = 32
 #: Positions of an n-gram in the filter.
