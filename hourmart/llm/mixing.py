@@ -12,7 +12,7 @@ WEIGHTS = (1, 2, 3)
 #: No source is read more often than this.
 MOST_EPOCHS = 3
 #: Rows of a source that one block of the key range is expected to hold.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1024
 
 
 def word_count(text: Column) -> Column:
@@ -68,7 +68,7 @@ def mix(
     ``taken`` (words that the mix takes from the row, repeats counted).
 
     Rows get hash-random keys.  Within a source the keys' range is cut into blocks of
-    a few thousand rows; the blocks' word counts and their prefix sums say in which
+    about a thousand rows; the blocks' word counts and their prefix sums say in which
     block the budget ends, and a running sum inside each block where.  A source is
     taken whole as often as its budget allows, then in key order up to the remaining
     words; the row at the cut gives the words that are still missing, so each source
