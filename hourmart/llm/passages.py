@@ -29,6 +29,8 @@ PIECE_WORDS, OVERLAP_WORDS = 200_000, 128
 BLOCK = 2_000
 PARAGRAPH, PASSAGE = 0, 1
 
+_POWERS: dict[int, np.ndarray] = {}
+_SEEDS: dict[int, list] = {}
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -47,7 +49,12 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
-    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(n - 1, 0), base), dtype=np.uint64)])
+    """The first powers of a base; a task computes them once, up to the longest asked for."""
+    found = _POWERS.get(int(base))
+    if found is None or len(found) < n:
+        found = np.concatenate([[np.uint64(1)], np.cumprod(np.full(max(2 * n, 64), base), dtype=np.uint64)])
+        _POWERS[int(base)] = found
+    return found[:n]
 
 
 def _runs(words: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
@@ -115,9 +122,11 @@ def _units(text: str, bands: int) -> Iterator[tuple[int, int, int, int, int, lis
 
 
 def _seeds(count: int) -> list[tuple[np.uint64, np.uint64]]:
-    random = np.random.RandomState(5)
-    draws = random.randint(0, 1 << 62, size=(count, 2)).astype(np.uint64)
-    return [(a * np.uint64(2) + np.uint64(1), b) for a, b in draws]
+    """Odd factors and masks of the hash functions."""
+    if count not in _SEEDS:
+        draws = np.random.RandomState(5).randint(0, 1 << 62, size=(count, 2)).astype(np.uint64)
+        _SEEDS[count] = [(a * np.uint64(2) + np.uint64(1), b) for a, b in draws]
+    return _SEEDS[count]
 
 
 def _paragraphs(hashed: np.ndarray, starts: np.ndarray, begin: int, bands: int) -> Iterator[tuple]:
@@ -130,7 +139,8 @@ def _paragraphs(hashed: np.ndarray, starts: np.ndarray, begin: int, bands: int)
     counts = ends[long] - starts[long] - SHINGLE + 1
     cells = np.repeat(starts[long], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     own, heads = shingles[cells], np.cumsum(counts) - counts
-    least = [np.minimum.reduceat(_mix(own * a + b), heads) for a, b in _seeds(bands * BAND_ROWS)]
+    # The shingles' hashes are mixed already: a mask and an odd factor reorder them.
+    least = [np.minimum.reduceat((own ^ b) * a, heads) for a, b in _seeds(bands * BAND_ROWS)]
     keys = []
     for band in range(bands):
         key = np.full(len(long), band + 1, np.uint64)
