@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from hourmart.llm.common import Scratch, hash_remainder, map_arrow, tuned, unpac
 FEATURES = 1 << 18
 PREFIX_CHARS = 5
 #: Labelled rows that the classifiers learn from, at most; the bound of the sample.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 8_000
 #: A feature counts if this many rows of the sample have it.
 LEAST_ROWS = 3
 FOLDS = 3
@@ -154,25 +155,25 @@ def _sampled(docs: DataFrame, labels: DataFrame, categories: list[str], id_col:
         words = Words()
         for batch in batches:
             found = [words.of(t) for t in batch.column("text").to_pylist()]
-            at = pa.array([a for a, _ in found], pa.list_(pa.int64()))
-            value = pa.array([v for _, v in found], pa.list_(pa.float64()))
+            at = pa.array([a for a, _ in found], pa.list_(pa.int32()))
+            value = pa.array([v for _, v in found], pa.list_(pa.float32()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("id", "fold", "y")), at, value], ["id", "fold", "y", "at", "value"]
             )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, fold int, y array<double>, at array<bigint>, value array<double>"
+    schema = f"id {id_type}, fold int, y array<double>, at array<int>, value array<float>"
     table = map_arrow(rows, run, schema).toArrow().sort_by("id").combine_chunks()
     scratch.drop("chosen")
-    lists = [np.array(x, np.int64) for x in table["at"].to_pylist()]
-    values = [np.array(x) for x in table["value"].to_pylist()]
-    at = np.concatenate([np.zeros(0, np.int64), *lists])
+    lengths = pa.compute.list_value_length(table["at"]).to_numpy().astype(np.int64)
+    at, value = (table[c].combine_chunks().flatten().to_numpy() for c in ("at", "value"))
     kept, counts = np.unique(at, return_counts=True)
     kept = kept[counts >= LEAST_ROWS]
     held = np.isin(at, kept)
-    ends = np.concatenate([[0], np.cumsum(held)])[np.cumsum([len(x) for x in lists], dtype=np.int64)]
-    labels_of = np.array(table["y"].to_pylist(), float).reshape(len(lists), len(categories))
-    sample = Sample(ends, np.searchsorted(kept, at[held]), np.concatenate([np.zeros(0), *values])[held], table["fold"].to_numpy(), labels_of)
+    ends = np.concatenate([[0], np.cumsum(held)])[np.cumsum(lengths)].astype(np.int64)
+    labels_of = np.array(table["y"].to_pylist(), float).reshape(len(lengths), len(categories))
+    places = np.searchsorted(kept, at[held]).astype(np.int32)
+    sample = Sample(ends, places, value[held], table["fold"].to_numpy(), labels_of)
     return sample, kept
 
 
@@ -201,12 +202,11 @@ def learn(
     n = len(sample.folds)
     earlier = np.zeros((n, 0))
     weights, thresholds = [], []
+    shared = spark.sparkContext.broadcast(sample.plain())
     for place in range(len(categories)):
-        shared = spark.sparkContext.broadcast((sample.plain(), earlier))
 
-        def run(batches: Iterator[pa.RecordBatch], place=place, shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            plain, extra = shared.value
-            own = Sample(*plain)
+        def run(batches: Iterator[pa.RecordBatch], place=place, extra=earlier) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            own = Sample(*shared.value)
             for batch in batches:
                 for fold in batch.column("fold").to_pylist():
                     found = own.fit(np.flatnonzero(own.folds != fold), place, extra)
@@ -225,6 +225,7 @@ def learn(
         wide[FEATURES:] = models[-1][len(models[-1]) - place - 1 :]
         weights.append(wide)
         earlier = np.column_stack([earlier, apart])
+    shared.destroy()
     return Chain(categories, weights, thresholds)
 
 
