@@ -256,7 +256,7 @@ def _block_links(similarity: float):  # noqa: ANN202
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 columns = [batch.column(c).to_pylist() for c in ("band", "key", "low", "high", "cid")]
-                lists = (np.array(x.as_py(), np.int64) for x in batch.column("shingles"))
+                lists = (x.values.to_numpy() for x in batch.column("shingles"))
                 yield from zip(*columns, lists, strict=True)
 
         for _, group in itertools.groupby(rows(), key=lambda r: r[:4]):
