@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourmart.llm.common import Scratch, map_arrow, tuned
@@ -296,15 +296,63 @@ def paragraph_links(docs: DataFrame, classes: DataFrame, scratch: Scratch, simil
 # Removals
 
 
+def _stretches(units: DataFrame) -> DataFrame:
+    """(component_id, doc_id, first_word, end_word, n_units, kept) of units that cover words without a gap.
+
+    Words of a unit that stays are never in a removal.  ``n_units`` are those of the
+    stretch's own kind that have words in it.
+    """
+    stays, goes = F.col("kept").cast("long"), (~F.col("kept")).cast("long")
+
+    def event(at: Column, sign: int) -> Column:
+        begun = F.lit(int(sign > 0))
+        return F.struct(
+            at.alias("at"),
+            (sign * stays).alias("stay"),
+            (sign * goes).alias("go"),
+            (begun * stays).alias("stay_begun"),
+            (begun * goes).alias("go_begun"),
+        )
+
+    events = units.select(
+        "component_id", "doc_id", F.explode(F.array(event(F.col("start"), 1), event(F.col("start") + F.col("words"), -1))).alias("e")
+    )
+    sums = ("stay", "go", "stay_begun", "go_begun")
+    places = events.groupBy("component_id", "doc_id", F.col("e.at").alias("at")).agg(*[F.sum(f"e.{c}").alias(c) for c in sums])
+    order = Window.partitionBy("component_id", "doc_id").orderBy("at")
+    # Units that cover the words from one place to the next.
+    pieces = places.select(
+        "component_id",
+        "doc_id",
+        "at",
+        F.lead("at").over(order).alias("next"),
+        F.sum("stay").over(order).alias("stay"),
+        F.sum("go").over(order).alias("go"),
+        "stay_begun",
+        "go_begun",
+    ).withColumn("kept", F.when(F.col("stay") > 0, True).when(F.col("go") > 0, False))
+    fresh = (~F.col("kept").eqNullSafe(F.lag("kept").over(order))).cast("long")
+    pieces = pieces.withColumn("fresh", fresh).withColumn("island", F.sum("fresh").over(order)).where("kept is not null")
+    there, begun = F.when(F.col("kept"), F.col("stay")).otherwise(F.col("go")), F.when(F.col("kept"), F.col("stay_begun")).otherwise(F.col("go_begun"))
+    return pieces.groupBy("component_id", "doc_id", "island", "kept").agg(
+        F.min("at").alias("first_word"),
+        F.max("next").alias("end_word"),
+        (F.min_by(there - begun, "at") + F.sum(begun)).alias("n_units"),
+    )
+
+
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY
 ) -> DataFrame:
     """Stretches of words that repeat across documents.
 
-    One row per document and component: doc_id, component_id, first_word, end_word
-    (words from 0, end exclusive, around all its units there), n_words, n_units, n_docs
-    (of the component) and kept: what the document with the smallest identifier has
-    stays, the others are removals.  Documents that share nothing have no row.
+    One row per stretch of a document that units cover without a gap: doc_id,
+    component_id, first_word, end_word (words from 0, end exclusive), n_words, n_units
+    (that have words there), n_docs (of the component) and kept.  Of equal units and
+    their near copies those in the document with the smallest identifier stay, whatever
+    lies next to them, unless they lie in a unit whose equal stays elsewhere; the others are
+    removals, less the words of units that stay.  So each unit or a near copy stays somewhere, and no word outside a unit is marked.  Documents that
+    share nothing have no row.
 
     Units of a text are its paragraphs (lines of ``LEAST_WORDS`` words or more), and
     passages for what was pasted into a paragraph: stretches of that many words at
@@ -313,7 +361,8 @@ def repeated_passages(
     of paragraphs with MinHash values in common in a band, their number tuned for recall, are
     compared by the exact Jaccard similarity of their shingles.  A bucket's links are a
     spanning forest; large buckets are compared in blocks, two at a time.  Near copies,
-    and units that overlap in a document, form components.
+    and units that meet within a few words of a document, form components; these name
+    what belongs together and decide nothing.
 
     Words are split at white space, A-Z lower-cased.  Null texts and rows without
     identifier take no part; rows that repeat an identifier are one document.  Copies
@@ -342,34 +391,40 @@ def repeated_passages(
     # Classes that repeat, or are near a paragraph of another document.
     ends = links.select("u").union(links.select("v")).distinct().withColumnRenamed("u", "cid")
     repeated = classes.where("doc_id <> last").select("cid").union(ends).distinct()
-    kept = classes.join(repeated, "cid").select("cid", *key)
-    members = scratch.store(units.join(kept, [*key]).select("cid", "doc_id", "start", "words"), "members")
+    kept = classes.join(repeated, "cid").select("cid", *key, F.col("doc_id").alias("least"))
+    members = scratch.store(units.join(kept, [*key]).select("cid", "least", "doc_id", "start", "words"), "members")
     scratch.drop("units", "classes", "shared", "shingles")
 
+    # A group is a class and its near copies; the document with the smallest identifier keeps it.
+    groups = connected_components(links, scratch, "groups")
+    grouped = members.join(groups, members["cid"] == groups["node"], "left").select(
+        F.coalesce("root", "cid").alias("group"), "least", "doc_id", "start", "words"
+    )
+    grouped = scratch.store(grouped, "grouped")
+    keepers = grouped.groupBy("group").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
+    marked = grouped.join(keepers.where("keeper <> last"), "group").withColumn("kept", F.col("doc_id") == F.col("keeper"))
+    # What lies in a unit whose equal stays elsewhere stays there with it.
+    end = F.col("start") + F.col("words")
+    copied = F.max(F.when(~F.col("kept") & (F.col("least") == F.col("keeper")), end)).over(Window.partitionBy("doc_id").orderBy("start"))
+    marked = marked.select(
+        "group", "doc_id", "start", "words", (F.col("kept") & (F.coalesce(copied, F.lit(0)) < end)).alias("kept")
+    )
+    marked = scratch.store(marked, "marked")
+    scratch.drop("links", "members", "grouped")
+
     # Units that meet in a few words of a document belong together: each is linked to the first.
     cells = F.sequence((F.col("start") / SPAN).cast("long"), ((F.col("start") + F.col("words") - 1) / SPAN).cast("long"))
-    covered = scratch.store(members.select("cid", "doc_id", F.explode(cells).alias("cell")), "covered")
-    first = covered.groupBy("doc_id", "cell").agg(F.min("cid").alias("v"))
-    overlaps = covered.join(first, ["doc_id", "cell"]).select(F.col("cid").alias("u"), "v").where("u <> v")
-    roots = connected_components(links.union(overlaps.distinct()), scratch)
-    rooted = members.join(roots, members["cid"] == roots["node"], "left").select(
-        F.coalesce("root", "cid").alias("component_id"), "doc_id", "start", "words"
+    covered = scratch.store(marked.select("group", "doc_id", F.explode(cells).alias("cell")), "covered")
+    first = covered.groupBy("doc_id", "cell").agg(F.min("group").alias("v"))
+    overlaps = covered.join(first, ["doc_id", "cell"]).select(F.col("group").alias("u"), "v").where("u <> v")
+    roots = connected_components(overlaps.distinct(), scratch)
+    rooted = marked.join(roots, marked["group"] == roots["node"], "left").select(
+        F.coalesce("root", "group").alias("component_id"), "doc_id", "start", "words", "kept"
     )
     rooted = scratch.store(rooted, "rooted")
-    scratch.drop("links", "members", "covered")
-    sizes = (
-        rooted.select("component_id", "doc_id")
-        .distinct()
-        .groupBy("component_id")
-        .agg(F.min("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n_docs"))
-        .where("n_docs > 1")
-    )
-    stretches = rooted.groupBy("component_id", "doc_id").agg(
-        F.min("start").alias("first_word"),
-        F.max(F.col("start") + F.col("words")).alias("end_word"),
-        F.count(F.lit(1)).alias("n_units"),
-    )
-    return stretches.join(sizes, "component_id").select(
+    scratch.drop("marked", "covered")
+    sizes = rooted.select("component_id", "doc_id").distinct().groupBy("component_id").agg(F.count(F.lit(1)).alias("n_docs"))
+    return _stretches(rooted).join(sizes, "component_id").select(
         "doc_id",
         "component_id",
         "first_word",
@@ -377,5 +432,5 @@ def repeated_passages(
         (F.col("end_word") - F.col("first_word")).alias("n_words"),
         "n_units",
         "n_docs",
-        (F.col("doc_id") == F.col("keeper")).alias("kept"),
+        "kept",
     )

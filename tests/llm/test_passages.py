@@ -100,3 +100,29 @@ def test_chosen_positions_are_the_minima_of_windows(n):
     values = np.random.RandomState(n).randint(0, 1 << 40, n).astype(np.uint64)
     want = {int(a + np.argmin(values[a : a + 26])) for a in range(max(1, n - 25))}
     assert set(passages._chosen(values, 26).tolist()) == want
+
+
+def test_every_passage_stays_in_one_document(spark):
+    """P and Q are neighbours in one document alone: each must stay where it is first."""
+    rng = random.Random(12)
+    p, q, r = (sentence(rng, 60) for _ in range(3))
+    rows = [(1, p), (2, p + "\n" + q), (3, q + "\n" + r), (4, r)]
+    rows = [(i, t, None, "s", 0) for i, t in rows]
+    text = {r[0]: words_of(lowered(r[1])) for r in rows}
+    left = {i: list(w) for i, w in text.items()}
+    for row in passages.repeated_passages(frame_of(spark, rows)).collect():
+        assert row["first_word"] < row["end_word"]
+        if not row["kept"]:
+            for k in range(row["first_word"], row["end_word"]):
+                left[row["doc_id"]][k] = None
+    assert [[w for w in left[i] if w] for i in range(1, 5)] == [words_of(lowered(t)) for t in (p, q, r, "")]
+
+
+def test_text_between_units_is_not_marked(spark):
+    rng = random.Random(13)
+    p, q = sentence(rng, 60), sentence(rng, 60)
+    rows = [(i, p + "\n" + sentence(rng, 9) + "\n" + q, None, "s", 0) for i in range(3)]
+    found = passages.repeated_passages(frame_of(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["first_word"], r["end_word"], r["kept"]) for r in found) == sorted(
+        (i, a, a + 60, i == 0) for i in range(3) for a in (0, 69)
+    )
