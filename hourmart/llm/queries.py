@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import brown, exact_dedup, langid, mixing, passages, pieces, simhash, topk, toxicity, warc
+from hourmart.llm import brown, exact_dedup, langid, merkle, mixing, passages, pieces, simhash, topk, toxicity, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -186,7 +186,94 @@ def op9_pieces(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -
     )
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth row (by crc32 of its identifier) is checked with A-Z of its text lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.coalesce(hash_remainder("doc_id", 5) == 0, F.lit(False))
+    lowered = F.translate("text", UPPER, UPPER.lower())
+    fields = [lowered if c == "text" else F.col(c) for c in LEAF_COLUMNS]
+    claimed = F.when(chosen, merkle.leaf_digest(fields))
+    manifest = merkle.build_manifest(docs, LEAF_COLUMNS, carry={"doc_id": docs["doc_id"], "claimed": claimed})
+    folded = merkle.fold(F.coalesce("claimed", "leaf"), F.col("path"))
+    found = manifest.proofs().select(
+        "doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# DuckDB has no crc32: it is folded over the digits, eight steps a byte.
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1)))) AS crc
+  FROM documents
+), e AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 5 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS claimed
+  FROM d
+), t AS (
+  SELECT *, row_number() OVER () AS uid, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM e
+), levels AS (
+  SELECT 0 AS level, source, pos, n, leaf AS node FROM t
+  UNION ALL
+  SELECT level + 1, source, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM levels WHERE n > 1 GROUP BY level, source, pos // 16, n
+), subroots AS (
+  SELECT source, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM levels WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, pos, n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 16, n
+), low AS (
+  SELECT level, source, pos,
+    coalesce(string_agg(node, '') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(node, '') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM levels WHERE n > 1 WINDOW b AS (PARTITION BY level, source, pos // 16 ORDER BY pos)
+), high AS (
+  SELECT level, pos,
+    coalesce(string_agg(node, '') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(node, '') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM tops WHERE n > 1 WINDOW b AS (PARTITION BY level, pos // 16 ORDER BY pos)
+), u AS (
+  SELECT t.uid, 0 AS tree, level, l, r FROM t JOIN low
+    ON t.source IS NOT DISTINCT FROM low.source AND low.pos = t.pos // CAST(pow(16, level) AS BIGINT)
+  UNION ALL
+  SELECT t.uid, 1, level, l, r FROM t JOIN subroots s ON t.source IS NOT DISTINCT FROM s.source
+    JOIN high ON high.pos = s.pos // CAST(pow(16, level) AS BIGINT)
+), path AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY tree, level) AS step FROM u
+), folds AS (
+  SELECT uid, 1 AS step, coalesce(claimed, leaf) AS node FROM t
+  UNION ALL
+  SELECT f.uid, f.step + 1, sha256(p.l || f.node || p.r) FROM folds f JOIN path p ON p.uid = f.uid AND p.step = f.step
+), ends AS (
+  SELECT uid, arg_max(node, step) AS folded_root FROM folds GROUP BY uid
+), proofs AS (
+  SELECT t.uid, sha256(coalesce(string_agg(l || r, '' ORDER BY step), '')) AS proof_sha256
+  FROM t LEFT JOIN path ON t.uid = path.uid GROUP BY t.uid
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM t JOIN subroots s ON t.source IS NOT DISTINCT FROM s.source JOIN proofs USING (uid) JOIN ends USING (uid),
+  (SELECT node AS root FROM tops WHERE n = 1)
+"""
+
+
 ENTRIES = {
+    "op11_merkle": (op11_merkle, OP11_SQL),
     "op2_passages": (op2_passages, None),
     "op8_toxicity": (op8_toxicity, None),
     "op7_class_lm": (op7_class_lm, None),
