@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import brown, exact_dedup, langid, merkle, mixing, passages, pieces, simhash, topk, toxicity, warc
+from hourmart.llm import brown, exact_dedup, langid, merkle, mixing, passages, pieces, repetition, simhash, topk, toxicity, warc
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -272,7 +272,13 @@ FROM t JOIN subroots s ON t.source IS NOT DISTINCT FROM s.source JOIN proofs USI
 """
 
 
+def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repetition.repetition_rules(docs, keep=["doc_id"]).drop("repeats")
+
+
 ENTRIES = {
+    "op12_repetition": (op12_repetition, None),
     "op11_merkle": (op11_merkle, OP11_SQL),
     "op2_passages": (op2_passages, None),
     "op8_toxicity": (op8_toxicity, None),
