@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.llm import brown, exact_dedup, langid, merkle, mixing, passages, pieces, repetition, simhash, topk, toxicity, warc
+from hourmart.llm import (
+    audit,
+    brown,
+    exact_dedup,
+    langid,
+    merkle,
+    mixing,
+    passages,
+    pieces,
+    repetition,
+    simhash,
+    topk,
+    toxicity,
+    warc,
+)
 from hourmart.llm.common import Scratch, hash_remainder, partitions, tuned
 
 SCHEMAS = {
@@ -277,7 +291,59 @@ def op12_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(docs, keep=["doc_id"]).drop("repeats")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return audit.interaction_audit(docs, table(spark, sf_dir, "labels"))
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), f AS (
+  SELECT part, doc_id,
+    CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), p AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, fails
+), c AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c
+), o AS (
+  SELECT concat(a.c, b.c, g.c, h.c, i.c) AS filter_order FROM c a, c b, c g, c h, c i
+  WHERE len(list_distinct([a.c, b.c, g.c, h.c, i.c])) = 5
+), s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+  FROM o, range(1, 6) r(step)
+), m AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, fails = letter AS alone,
+    contains(fails, letter) AS failing, earlier <> '' AND regexp_matches(fails, '[' || earlier || 'x]') AS gone
+  FROM p, s
+), t AS (
+  SELECT part, filter_order, step, letter,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND NOT failing), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (NOT gone AND failing), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (gone AND failing), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (NOT gone AND failing), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (NOT gone AND failing), 0) AS BIGINT) AS toxic_lost
+  FROM m GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM t
+"""
+
+
 ENTRIES = {
+    "op13_filter_audit": (op13_filter_audit, OP13_SQL),
     "op12_repetition": (op12_repetition, None),
     "op11_merkle": (op11_merkle, OP11_SQL),
     "op2_passages": (op2_passages, None),
