@@ -106,12 +106,13 @@ def json_points(parsed: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def hours_from_points(points: DataFrame, keys: Sequence[str]) -> DataFrame:
+def hours_from_points(points: DataFrame, keys: Sequence[str], reach_hours: int | None = None) -> DataFrame:
     """Hourly mean of complete hours.
 
     An hour is complete with exactly the four quarter marks, or with a single
-    point when neither neighbouring published hour has more than one.  Minutes
-    are collected as a bit mask, which keeps the aggregate in fixed-width buffers.
+    point when neither neighbouring published hour has more than one.  With
+    ``reach_hours`` a published hour further away is no neighbour.  Minutes are
+    collected as a bit mask, which keeps the aggregate in fixed-width buffers.
     """
     quarter_mask = sum(1 << m for m in QUARTER_MINUTES)
     per_hour = points.groupBy(*keys, "hour_utc").agg(
@@ -119,9 +120,19 @@ def hours_from_points(points: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.bit_or(F.expr("shiftleft(1L, minute)")).alias("mask"),
         exact_mean("price_eur_mwh").alias("price_eur_mwh"),
     )
-    linked = with_neighbours(per_hour, "hour_utc", ["n"], keys)
+    linked = with_neighbours(per_hour, "hour_utc", ["hour_utc", "n"], keys)
     quarters = (F.col("n") == 4) & (F.col("mask") == F.lit(quarter_mask))
-    busy = (F.coalesce("prev_n", F.lit(1)) >= 2) | (F.coalesce("next_n", F.lit(1)) >= 2)
-    return linked.where(quarters | ((F.col("n") == 1) & ~busy)).select(
+
+    def several(side: str) -> Column:
+        found = F.coalesce(f"{side}_n", F.lit(1)) >= 2
+        if reach_hours is None:
+            return found
+        apart = F.unix_seconds(F.col("hour_utc").cast("timestamp")) - F.unix_seconds(
+            F.col(f"{side}_hour_utc").cast("timestamp")
+        )
+        return found & (F.abs(apart) <= reach_hours * 3600)
+
+    lone = (F.col("n") == 1) & ~(several("prev") | several("next"))
+    return linked.where(quarters | lone).select(
         *keys, "hour_utc", "price_eur_mwh"
     )

@@ -7,7 +7,8 @@ a restarted job resumes where it stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,28 @@ LATE_BY = "7 days"
 ONCE = {"availableNow": True}
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside can hold arbitrary state per key and set timers.
+
+    A query copies the session's settings when it starts, so the store of other
+    queries stays as it is.
+    """
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
 def _start(
     stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], trigger: dict
 ) -> StreamingQuery:
@@ -64,8 +87,8 @@ def hourly_rollup(
 ) -> DataFrame:
     """Hourly mean of points, for hours with exactly the four quarter marks.
 
-    Points without a price do not count, and hours of lone points are not emitted:
-    they need their neighbours, so route them to the batch form.
+    Points without a price do not count.  Hours of lone points are not emitted: they
+    need their neighbours, see ``eras.hours_of_eras``.
     An hour is final once the watermark has passed it, ``late_by`` after the
     newest event.  Event times must be instants: watermarks reject naive ones.
     """
