@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +27,7 @@ SHARD_BYTES = 16 << 20
 #: Words of a shard are numbered below this; a word's code is its first place, shard times this plus number.
 CODES = 1 << 31
 
-_DOCUMENT = pa.struct(
-    [("id", pa.int64()), ("part", pa.string()), ("capitals", pa.bool_()), ("symbols", pa.bool_()), ("digest", pa.binary())]
-)
-_INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
+DOCUMENT = ("id", "part", "capitals", "symbols", "digest")
 
 
 class _Shard:
@@ -57,127 +55,139 @@ class _Shard:
         self.documents.append((key, part, *flags, hashlib.sha256(data).digest()))
         self.size += len(data)
 
-    def batch(self) -> pa.RecordBatch:
-        names = [f.name for f in _DOCUMENT]
-        documents = [dict(zip(names, d, strict=True)) for d in self.documents]
-        columns = [
-            pa.array([documents], pa.list_(_DOCUMENT)),
-            pa.array([self.pointers], _INTS),
-            pa.array([np.concatenate(self.steps)], _INTS),
-            pa.array([np.concatenate(self.counts)], _INTS),
-            pa.array([list(self.codes)], pa.list_(pa.binary())),
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["documents", "pointers", "steps", "counts", "words"])
+    def packed(self) -> bytes:
+        """The documents as a compressed Arrow stream; list offsets are the row pointers."""
+        types = (pa.int64(), pa.string(), pa.bool_(), pa.bool_(), pa.binary())
+        columns = [pa.array(c, t) for c, t in zip(zip(*self.documents, strict=True), types, strict=True)]
+        for values in (self.steps, self.counts):
+            flat = pa.array(np.concatenate(values), pa.int32())
+            columns.append(pa.ListArray.from_arrays(pa.array(self.pointers, pa.int32()), flat))
+        batch = pa.RecordBatch.from_arrays(columns, [*DOCUMENT, "steps", "counts"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_batch(batch)
+        return sink.getvalue().to_pybytes()
 
 
 def _shards(docs: DataFrame) -> DataFrame:
-    """Shards of (id, part, text) with words numbered inside the shard."""
+    """Shards of (id, part, text): a row with the packed documents, and one for each different word."""
+    schema = pa.schema([("nth", pa.int64()), ("packed", pa.binary()), ("place", pa.int64()), ("word", pa.binary())])
+
+    def rows_of(nth: int, shard: _Shard) -> Iterator[pa.RecordBatch]:
+        one = [pa.array([nth]), pa.array([shard.packed()], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())]
+        yield pa.RecordBatch.from_arrays(one, schema=schema)
+        words, step = list(shard.codes), 1 << 15
+        for start in range(0, len(words), step):
+            own = words[start : start + step]
+            places = pa.array(np.arange(start, start + len(own)))
+            columns = [pa.array(np.full(len(own), nth)), pa.nulls(len(own), pa.binary()), places, pa.array(own, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = _Shard()
+        shard, nth = _Shard(), 0
         for batch in batches:
             columns = [batch.column(name) for name in ("id", "part", "text")]
             for key, part, text in zip(*columns, strict=True):
                 shard.add(key.as_py(), part.as_py(), text.as_py())
                 if shard.size >= SHARD_BYTES:
-                    yield shard.batch()
-                    shard = _Shard()
+                    yield from rows_of(nth, shard)
+                    shard, nth = _Shard(), nth + 1
         if shard.documents:
-            yield shard.batch()
+            yield from rows_of(nth, shard)
 
-    document = "struct<id:long,part:string,capitals:boolean,symbols:boolean,digest:binary>"
-    arrays = "pointers array<int>, steps array<int>, counts array<int>, words array<binary>"
-    return map_arrow(docs, run, f"documents array<{document}>, {arrays}")
+    return map_arrow(docs, run, "nth long, packed binary, place long, word binary")
 
 
 class Csr(NamedTuple):
     """A shard: row r has the counts and word codes between pointers r and r + 1."""
 
-    documents: pa.Array
+    documents: pa.Table
     pointers: np.ndarray
     columns: np.ndarray
     counts: np.ndarray
 
 
-def _numbers(array: pa.ListScalar) -> np.ndarray:
-    return array.values.to_numpy(zero_copy_only=False)
+def _csr(packed: bytes, codes: pa.Table) -> Csr:
+    """A shard with its words in the numbers of the whole corpus."""
+    [batch] = pa.ipc.open_stream(packed)
+    places = codes.column("place").to_numpy()
+    table = np.zeros(len(places), np.int64)
+    table[places] = codes.column("code").to_numpy()
+    steps, counts = batch.column("steps"), batch.column("counts")
+    pointers = steps.offsets.to_numpy()
+    # Sums of steps over all rows, less what earlier rows add.
+    sums = np.cumsum(steps.values.to_numpy(), dtype=np.int64)
+    before = np.concatenate(([0], sums))[pointers[:-1]]
+    columns = table[sums - np.repeat(before, np.diff(pointers))]
+    return Csr(pa.Table.from_batches([batch.select(list(DOCUMENT))]), pointers, columns, counts.values.to_numpy())
 
 
-def _csr(batch: pa.RecordBatch) -> Iterator[Csr]:
-    """The shards of a batch, their words in the numbers of the whole corpus."""
-    for k in range(batch.num_rows):
-        documents, pointers, steps, counts, codes = (
-            batch.column(name)[k] for name in ("documents", "pointers", "steps", "counts", "codes")
-        )
-        at, table = _numbers(pointers), np.zeros(0, np.int64)
-        if codes.is_valid:
-            places, found = (codes.values.field(f).to_numpy(zero_copy_only=False) for f in ("place", "code"))
-            table = np.zeros(len(places), np.int64)
-            table[places] = found
-        # Sums of steps over all rows, less what earlier rows add.
-        sums = np.cumsum(_numbers(steps), dtype=np.int64)
-        before = np.concatenate(([0], sums))[at[:-1]]
-        columns = table[sums - np.repeat(before, np.diff(at))]
-        yield Csr(documents.values, at, columns, _numbers(counts))
+class Shards(NamedTuple):
+    """The matrix in parts: packed documents by shard, and the codes of their words."""
 
+    packed: DataFrame
+    codes: DataFrame
+    #: (code, word)
+    dictionary: DataFrame
 
-def document_term_shards(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Shards of the document-term matrix of (id, part, text), and its dictionary (code, word).
+    def each(self, function: Callable[[Csr], pa.Table], schema: str) -> DataFrame:
+        """The rows that a function gives for each shard; a task holds one shard at a time."""
+
+        def run(packed: pa.Table, codes: pa.Table) -> pa.Table:
+            [data] = packed.column("packed").to_pylist()
+            return function(_csr(data, codes))
+
+        return self.packed.groupBy("shard").cogroup(self.codes.groupBy("shard")).applyInArrow(run, schema)
+
+
+def document_term_shards(docs: DataFrame, scratch: Scratch) -> Shards:
+    """Shards of the document-term matrix of (id, part, text).
 
     Texts are read once, into shards of bounded size with words in numbers of their own,
     which are stored.  Only a shard's different words are shuffled: of all places of a
     word the first is its code, and goes back to the shards.  Codes are unique, not
     dense.  A word that every shard has meets itself as often as there are shards.
     """
-    local = scratch.store(
-        _shards(docs).select("*", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")),
-        "local",
-    )
+    local = scratch.store(_shards(docs).withColumn("task", F.spark_partition_id()), "local")
     # One row a task: where its shards' numbers start.
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    tasks = local.groupBy("task").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
-    starts = tasks.select("task", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("start"))
-    local = local.join(F.broadcast(starts), "task").withColumn("shard", F.col("start") + F.col("at"))
+    tasks = local.where("packed is not null").groupBy("task").agg(F.count(F.lit(1)).alias("n"))
+    starts = scratch.store(tasks.select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "starts")
+    numbered = local.join(F.broadcast(starts), "task").withColumn("shard", F.col("start") + F.col("nth"))
 
-    words = local.select("shard", F.posexplode("words").alias("place", "word"))
-    placed = words.select("shard", "place", "word", (F.col("shard") * CODES + F.col("place")).alias("seen"))
+    seen = F.col("shard") * CODES + F.col("place")
+    placed = numbered.where("word is not null").select("word", seen.alias("seen"))
     coded = placed.withColumn("code", F.min("seen").over(Window.partitionBy("word")))
+    codes = coded.select(
+        F.floor(F.col("seen") / CODES).alias("shard"), F.pmod("seen", F.lit(CODES)).alias("place"), "code"
+    )
     dictionary = coded.where("seen = code").select("code", "word")
-    codes = coded.groupBy("shard").agg(F.collect_list(F.struct("place", "code")).alias("codes"))
-    rows = local.select("shard", "documents", "pointers", "steps", "counts")
-    return rows.join(codes, "shard", "left").drop("shard"), dictionary
+    return Shards(numbered.where("packed is not null").select("shard", "packed"), codes, dictionary)
 
 
-def document_term_matrix(shards: DataFrame) -> DataFrame:
+def document_term_matrix(shards: Shards) -> DataFrame:
     """The shards as compressed sparse rows: (ids, pointers, columns, counts)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for csr in _csr(batch):
-                values = (csr.documents.field("id"), csr.pointers, csr.columns, csr.counts)
-                types = (_LONGS, _INTS, _LONGS, _INTS)
-                arrays = [pa.array([v.tolist()], t) for v, t in zip(values, types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["ids", "pointers", "columns", "counts"])
+    def run(csr: Csr) -> pa.Table:
+        values = [csr.documents.column("id").to_pylist(), *(v.tolist() for v in csr[1:])]
+        return pa.table([pa.array([v], pa.list_(pa.int64())) for v in values], names)
 
-    return map_arrow(shards, run, "ids array<long>, pointers array<int>, columns array<long>, counts array<int>")
+    names = ["ids", "pointers", "columns", "counts"]
+    return shards.each(run, ", ".join(f"{n} array<long>" for n in names))
 
 
-def _row_figures(shards: DataFrame) -> DataFrame:
+def _row_figures(shards: Shards) -> DataFrame:
     """(id, part, capitals, symbols, digest, n_words, n_distinct): sums and nonzero counts of the rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for csr in _csr(batch):
-                sums = np.concatenate(([0], np.cumsum(csr.counts, dtype=np.int64)))[csr.pointers]
-                row = np.repeat(np.arange(len(csr.pointers) - 1), np.diff(csr.pointers))
-                nonzero = np.bincount(row[csr.counts > 0], minlength=len(csr.pointers) - 1)
-                fields = [csr.documents.field(f.name) for f in _DOCUMENT]
-                arrays = [*fields, pa.array(np.diff(sums)), pa.array(nonzero.astype(np.int64))]
-                names = [*(f.name for f in _DOCUMENT), "n_words", "n_distinct"]
-                yield pa.RecordBatch.from_arrays(arrays, names)
+    def run(csr: Csr) -> pa.Table:
+        sums = np.concatenate(([0], np.cumsum(csr.counts, dtype=np.int64)))[csr.pointers]
+        row = np.repeat(np.arange(len(csr.pointers) - 1), np.diff(csr.pointers))
+        nonzero = np.bincount(row[csr.counts > 0], minlength=len(csr.pointers) - 1)
+        found = csr.documents.append_column("n_words", pa.array(np.diff(sums)))
+        return found.append_column("n_distinct", pa.array(nonzero.astype(np.int64)))
 
     schema = "id long, part string, capitals boolean, symbols boolean, digest binary, n_words long, n_distinct long"
-    return map_arrow(shards, run, schema)
+    return shards.each(run, schema)
 
 
 def filter_patterns(figures: DataFrame, labels: DataFrame) -> DataFrame:
@@ -280,8 +290,7 @@ def interaction_audit(
         F.coalesce(docs[f"`{part_col}`"].cast("string"), F.lit("")).alias("part"),
         docs[f"`{text_col}`"].alias("text"),
     )
-    shards, _ = document_term_shards(named, scratch)
-    figures = scratch.store(_row_figures(shards), "figures")
+    figures = scratch.store(_row_figures(document_term_shards(named, scratch)), "figures")
     scratch.drop("local")
     marks = labels.groupBy(labels[f"`{id_col}`"].cast("long").alias("label_id")).agg(
         F.max(F.coalesce(labels[f"`{good}`"] == 1, F.lit(False))).alias("good"),

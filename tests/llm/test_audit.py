@@ -78,8 +78,8 @@ def test_matrix_holds_the_words_of_every_text(spark, monkeypatch):
     monkeypatch.setattr(audit, "SHARD_BYTES", 2000)
     rows = [(i, *r[1:]) for i, r in enumerate(varied_rows())]
     docs = frame_of(spark, rows).select(F.col("doc_id").alias("id"), F.lit("").alias("part"), "text")
-    shards, dictionary = audit.document_term_shards(docs, Scratch(spark, "test"))
-    words = {r["code"]: bytes(r["word"]).decode() for r in dictionary.collect()}
+    shards = audit.document_term_shards(docs, Scratch(spark, "test"))
+    words = {r["code"]: bytes(r["word"]).decode() for r in shards.dictionary.collect()}
     assert len(set(words.values())) == len(words) == len({w for r in rows for w in words_of(r[1])})
     texts = {r[0]: Counter(words_of(r[1])) for r in rows}
     seen = {}
