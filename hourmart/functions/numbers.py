@@ -1,10 +1,4 @@
-"""Rounding, exact means and guarded statistics.
-
-Floating sums depend on the order of addition, so they change with the
-partitioning.  Means here are exact: values are scaled to whole numbers,
-summed as 64-bit integers (which stay in whole-stage codegen and raise on
-overflow under ANSI) and scaled back once.
-"""
+"""Rounding and guarded statistics.  Sums and means are in ``exact``."""
 
 from __future__ import annotations
 
@@ -28,17 +22,6 @@ def round_half_even(x: Column | str, places: int = 2) -> Column:
     return F.rint(_col(x) * scale) / scale
 
 
-def exact_sum(x: Column | str, places: int = 4) -> Column:
-    """Order-independent sum of values with at most ``places`` decimals."""
-    scale = 10.0**places
-    return F.sum(F.rint(_col(x) * F.lit(scale)).cast("bigint")).cast("double") / F.lit(scale)
-
-
-def exact_mean(x: Column | str, places: int = 4) -> Column:
-    """Order-independent mean of the non-null values; NULL without any."""
-    return F.try_divide(exact_sum(x, places), F.count(_col(x)))
-
-
 def guarded_corr(x: Column | str, y: Column | str) -> Column:
     """Pearson correlation over rows with both values; NULL if one is constant."""
     x, y = _col(x), _col(y)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart.functions import dates
-from hourmart.functions.numbers import count_if, exact_mean, exact_sum, round_scaled
+from hourmart.functions.exact import exact_mean, exact_sum
+from hourmart.functions.numbers import count_if, round_scaled
 from hourmart.functions.zones import MARKET_ZONE, day_length_hours, local_date
 
 
@@ -24,7 +25,7 @@ def daily_summary(fact: DataFrame, series: Sequence[str] = ()) -> DataFrame:
         round_scaled(exact_mean("temp_c"), 1).alias("avg_temp_c"),
         round_scaled(F.max("wind_ms"), 1).alias("max_wind_ms"),
         round_scaled(
-            F.coalesce(exact_sum("radiation_jm2", 1), F.lit(0.0)) / F.lit(1e6), 1
+            F.coalesce(exact_sum("radiation_jm2"), F.lit(0.0)) / F.lit(1e6), 1
         ).alias("total_radiation_mj_m2"),
     )
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourmart.functions.dates import hour_of_day
-from hourmart.functions.numbers import exact_mean, guarded_corr, round_scaled
+from hourmart.functions.exact import exact_mean
+from hourmart.functions.numbers import guarded_corr, round_scaled
 
 
 def headline(fact: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.numbers import count_if, exact_mean, exact_sum, share
+from hourmart.functions.exact import exact_mean, exact_sum
+from hourmart.functions.numbers import count_if, share
 from hourmart.functions.zones import local_date
 from hourmart.operators.reconcile import SECONDARY
 
@@ -19,7 +20,7 @@ def measures(secondary: str = SECONDARY) -> dict[str, Column]:
     return {
         "avg_day_ahead_price": exact_mean("price_eur_mwh"),
         "negative_price_hours": negative,
-        "total_radiation": exact_sum("radiation_jm2", 1),
+        "total_radiation": exact_sum("radiation_jm2"),
         "avg_price": exact_mean("price_eur_mwh"),
         "min_price": F.min("price_eur_mwh"),
         "max_price": F.max("price_eur_mwh"),
@@ -30,7 +31,7 @@ def measures(secondary: str = SECONDARY) -> dict[str, Column]:
         "fallback_share": share(count_if(F.col("price_source") == secondary), rows),
         "avg_temp_c": exact_mean("temp_c"),
         "max_wind_ms": F.max("wind_ms"),
-        "radiation_mj_m2": exact_sum("radiation_jm2", 1) / F.lit(1e6),
+        "radiation_mj_m2": exact_sum("radiation_jm2") / F.lit(1e6),
     }
 
 

@@ -9,14 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourmart.functions.dates import hour_of_day, is_weekend, iso_weekday, month_label, spine_over
-from hourmart.functions.numbers import (
-    count_if,
-    exact_mean,
-    guarded_corr,
-    round_half_even,
-    round_scaled,
-    share,
-)
+from hourmart.functions.exact import exact_mean
+from hourmart.functions.numbers import count_if, guarded_corr, round_half_even, round_scaled, share
 from hourmart.functions.zones import days, instant, local_date, midnight, utc_to_local
 from hourmart.operators.gaps import gap_runs, hour_gaps, leading_runs, missing_due_hours
 from hourmart.operators.quantile import exact_quantile
@@ -65,9 +59,10 @@ def week_metrics(daily: DataFrame, fact: DataFrame, last: dt.date | None = None)
     last = newest(daily, column="local_date") if last is None else last
     avg, negative = F.col("avg_price_eur_mwh"), F.col("negative_price_hours")
     this, prev = _in_week(last, 6), _in_week(last, 13)
-    per_day = day_frame(daily, "local_date", last, 13, 14).agg(
-        exact_mean(F.when(this, avg)).alias("avg_this"),
-        exact_mean(F.when(prev, avg)).alias("avg_prev"),
+    weeks = {"__this": F.when(this, avg), "__prev": F.when(prev, avg)}
+    per_day = day_frame(daily, "local_date", last, 13, 14).withColumns(weeks).agg(
+        exact_mean("__this").alias("avg_this"),
+        exact_mean("__prev").alias("avg_prev"),
         F.coalesce(F.sum(F.when(this, negative)), F.lit(0)).alias("neg_hours_this"),
         F.coalesce(F.sum(F.when(prev, negative)), F.lit(0)).alias("neg_hours_prev"),
         count_if(this).alias("days_covered"),
@@ -434,9 +429,9 @@ def wind_regimes(fact: DataFrame, threshold: float = WINDY_FROM) -> DataFrame:
     """Calm and windy hours: number, mean price, negative share, price against calm."""
     price, wind = F.col("price_eur_mwh"), F.col("wind_ms")
     regimes = {"calm": wind < threshold, "windy": wind >= threshold}
-    totals = fact.agg(
+    totals = fact.withColumns({f"__{r}": F.when(c, price) for r, c in regimes.items()}).agg(
         *[count_if(c).alias(f"n_{r}") for r, c in regimes.items()],
-        *[exact_mean(F.when(c, price)).alias(f"p_{r}") for r, c in regimes.items()],
+        *[exact_mean(f"__{r}").alias(f"p_{r}") for r in regimes],
         *[count_if(c & (price < 0)).alias(f"neg_{r}") for r, c in regimes.items()],
     )
     rows = F.array(

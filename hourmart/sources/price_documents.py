@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.functions.numbers import exact_mean
+from hourmart.functions.exact import exact_mean
 from hourmart.functions.zones import hour_floor
 from hourmart.operators.ordered import with_neighbours
 from hourmart.sources.documents import with_payload

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from hourmart.functions.numbers import exact_mean
+from hourmart.functions.exact import exact_mean
 from hourmart.sources.price_documents import QUARTER_MINUTES
 from hourmart.streaming.jobs import LATE_BY
 

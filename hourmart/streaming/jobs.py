@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from hourmart.functions.numbers import exact_mean
+from hourmart.functions.exact import exact_mean
 from hourmart.functions.zones import local_date
 from hourmart.plans.daily import daily_summary
 from hourmart.sinks.tables import only_partitions, read_table, upsert_table

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hourmart.functions.numbers import exact_mean, guarded_corr, round_half_even, round_scaled, share
+from hourmart.functions.numbers import guarded_corr, round_half_even, round_scaled, share
 from hourmart.operators.quantile import exact_quantile
 
 
@@ -15,19 +15,6 @@ def test_rounding_rules(frame):
     assert df.select(round_scaled("x", 2), round_half_even("x", 2)).first() == (0.13, 0.12)
 
 
-def test_exact_mean_does_not_depend_on_order(spark):
-    values = [0.1, 0.2, 0.3, 1e9, -1e9, 0.7] * 50
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    means = {df.repartition(n).agg(exact_mean("x")).first()[0] for n in (1, 3, 7)}
-    assert len(means) == 1
-    assert means.pop() == pytest.approx(sum([0.1, 0.2, 0.3, 0.7]) / 6, abs=1e-12)
-
-
-def test_exact_mean_of_nothing_is_null(frame):
-    df = frame("x double", (None,))
-    assert df.agg(exact_mean("x")).first()[0] is None
-
-
 def test_correlation_guards(frame):
     df = frame("x double, y double, c double", (1.0, 2.0, 5.0), (2.0, 4.0, 5.0), (3.0, None, 5.0), (None, 9.0, 5.0))
     r, constant = df.agg(guarded_corr("x", "y"), guarded_corr("x", "c")).first()

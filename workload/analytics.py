@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hourmart.functions.dates import hour_of_day
-from hourmart.functions.numbers import exact_mean, round_scaled
+from hourmart.functions.exact import exact_mean, exact_sum
+from hourmart.functions.numbers import round_scaled
 from hourmart.operators.quantile import exact_quantile
 from hourmart.plans import dashboard, metrics, report
 from workload import bindings as b
@@ -136,7 +137,26 @@ def _corr(y: str, n: int, where: str = "true") -> str:
     return sql.rnd(f"corr(price_eur_mwh, {y}) filter ({where})", n)
 
 
+def charges(spark, d):
+    """Products of prices and shares, with up to twelve decimals and more."""
+    paid = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = b.table(spark, d, "lineitem").withColumns({"paid": paid, "charge": paid * (1 + F.col("l_tax"))})
+    tiny = lines.withColumn("tiny", F.col("charge") / 1e9 - F.col("paid") / 1e6)
+    sums = [exact_sum(c).alias(f"{c}_sum") for c in ("paid", "charge", "tiny")]
+    return tiny.groupBy("l_returnflag", "l_linestatus").agg(*sums, exact_mean("tiny").alias("tiny_mean"))
+
+
 ENTRIES = {
+    "ag28_exact_charges": (
+        charges,
+        f"""select l_returnflag, l_linestatus, {sql.exact_sum("paid")} as paid_sum,
+                   {sql.exact_sum("charge")} as charge_sum, {sql.exact_sum("tiny")} as tiny_sum,
+                   {sql.mean("tiny")} as tiny_mean
+            from (select *, charge / 1e9 - paid / 1e6 as tiny
+                  from (select *, paid * (1 + l_tax) as charge
+                        from (select *, l_extendedprice * (1 - l_discount) as paid from lineitem)))
+            group by 1, 2""",
+    ),
     "ag02_headline": (
         on_fact(dashboard.headline),
         f"""select {_corr("temp_c", 3)} as price_temp_corr, {_corr("wind_ms", 3)} as price_wind_corr,
@@ -304,7 +324,7 @@ ENTRIES = {
                    {sql.mean("price_diff_eur")} as mean_cross_source_diff, count(*) as hours_covered,
                    count(*) filter (price_source = 'secondary') / count(*) as fallback_share,
                    {sql.mean("temp_c")} as avg_temp_c, max(wind_ms) as max_wind_ms,
-                   {sql.exact_sum("radiation_jm2", 1)} / 1e6 as radiation_mj_m2 from fact group by 1""",
+                   {sql.exact_sum("radiation_jm2")} / 1e6 as radiation_mj_m2 from fact group by 1""",
     ),
     "ag31_prior_year": (
         rounded_yoy,
@@ -323,13 +343,13 @@ ENTRIES = {
     "ag32_metrics_by_local_hour": (
         metric_by_hour,
         f"""select extract(hour from hour_local) as local_hour, {sql.mean("price_eur_mwh")} as avg_day_ahead_price,
-                   {NEG} as negative_price_hours, {sql.exact_sum("radiation_jm2", 1)} as total_radiation
+                   {NEG} as negative_price_hours, {sql.exact_sum("radiation_jm2")} as total_radiation
             from fact group by 1""",
     ),
     "ag32_metrics_by_local_date": (
         metric_by_date,
         f"""select cast(hour_local as date) as local_date, {sql.mean("price_eur_mwh")} as avg_day_ahead_price,
-                   {NEG} as negative_price_hours, {sql.exact_sum("radiation_jm2", 1)} as total_radiation
+                   {NEG} as negative_price_hours, {sql.exact_sum("radiation_jm2")} as total_radiation
             from fact group by 1""",
     ),
     "sl07_cheapest_hours": (

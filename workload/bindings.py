@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourmart.functions.numbers import count_if, exact_mean, round_scaled
+from hourmart.functions.exact import exact_mean
+from hourmart.functions.numbers import count_if, round_scaled
 from hourmart.functions.zones import hour_floor, hours
 from hourmart.operators.revisions import latest_revision
 from hourmart.plans.hourly import hourly_fact

@@ -16,6 +16,7 @@ from hourmart.schemas import DAILY_SUMMARY
 from hourmart.session import work_folder
 from hourmart.sinks import history, runlog, tables
 from hourmart.streaming import jobs
+from hourmart.streaming.eras import hours_of_eras
 from workload import bindings as b
 from workload import models, sql
 from workload.documents import classified
@@ -86,6 +87,30 @@ def incremental_daily(spark, d):
     return spark.read.parquet(path).select(*DAILY_SUMMARY.fieldNames())
 
 
+def _series_rounds(spark, d):
+    """Per user: two thirds of the users up to ten days back, then everything."""
+    raw = b.raw_tables(spark, d, "user_id")
+    split = instant(newest(raw[0], column="fetched_at") - dt.timedelta(days=10))
+    return [r.where((F.col("fetched_at") < split) & (F.col("user_id") % 3 != 0)) for r in raw], raw
+
+
+def fact_by_series(spark, d):
+    """Users of the first round go back seven days from their own newest hour; users new
+    in the second enter with their whole history."""
+    path = work_folder(spark, "fact")
+    for inputs in _series_rounds(spark, d):
+        refresh.refresh_hourly_fact(spark, path, *inputs, series=["user_id"], ties=b.TIES)
+    return spark.read.parquet(path).drop("day")
+
+
+def daily_by_series(spark, d):
+    hours, path = work_folder(spark, "fact"), work_folder(spark, "daily")
+    for inputs in _series_rounds(spark, d):
+        refresh.refresh_hourly_fact(spark, hours, *inputs, series=["user_id"], ties=b.TIES)
+        refresh.refresh_daily_summary(spark, path, spark.read.parquet(hours), series=["user_id"])
+    return spark.read.parquet(path).select("user_id", *DAILY_SUMMARY.fieldNames())
+
+
 def evolved_table(spark, d):
     """A second batch brings a new column; older rows show NULL in it."""
     path = work_folder(spark, "evolved")
@@ -219,6 +244,33 @@ def streamed_rollup(spark, d):
     return spark.read.schema(rollup.schema).parquet(path)
 
 
+def streamed_eras(spark, d):
+    """Points per event type in files of five days of arrival, up to two days late each.
+
+    An hour has one point or several by chance: quarter hours, lone hours and partial
+    ones lie side by side.
+    """
+    source, path, progress = (work_folder(spark, f"eras-{x}") for x in ("source", "hours", "progress"))
+    events = b.table(spark, d, "events")
+    arrival = F.col("ts") + F.make_dt_interval((F.col("event_id") % 3).cast("int"))
+    arrived = events.withColumn("arrival", arrival)
+    first, last = arrived.agg(F.min("arrival"), F.max("arrival")).first()
+    while first is not None and first <= last:
+        until = first + dt.timedelta(days=5)
+        arrived.where((F.col("arrival") >= instant(first)) & (F.col("arrival") < instant(until))).write.mode(
+            "append"
+        ).parquet(source)
+        first = until
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    quarter = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900) * 900)
+    points = stream.select("event_type", quarter.alias("at"), F.col("value").alias("price"))
+    found = hours_of_eras(points, "at", "price", ["event_type"])
+    with jobs.keyed_state(spark):
+        query = jobs.append_to(found, path, progress)
+    query.awaitTermination()
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def streamed_distinct(spark, d):
     """One event per (user, type, day) within the lookback."""
     path, progress = work_folder(spark, "stream-distinct"), work_folder(spark, "progress")
@@ -284,6 +336,11 @@ ENTRIES = {
     ),
     "snk02_incremental_fact": (incremental_fact, f"select {models.FACT} from fact"),
     "snk03_incremental_daily": (incremental_daily, "select * from daily"),
+    "snk02_refresh_by_series": (fact_by_series, f"select user_id, {models.FACT} from u_fact"),
+    "snk03_refresh_by_series": (
+        daily_by_series,
+        "select * from (" + sql.daily("u_fact", "user_id, ") + ")",
+    ),
     "snk04_evolved_table": (
         evolved_table,
         f"""select hour_utc, price_eur_mwh, fetched_at, event_id,
@@ -321,6 +378,23 @@ ENTRIES = {
             where date_trunc('hour', ts) + interval 1 hour <= mark
             group by 1, 2 having count(*) = 4 and count(distinct floor(extract(minute from ts) / 15)) = 4""",
     ),
+    "ss02_streamed_eras": (
+        streamed_eras,
+        f"""select * from (with pts as (select event_type, time_bucket(interval 15 minute, ts) as t, value as price from events),
+            mark as (select max(t) - interval 7 day as mark from pts),
+            hours as (select event_type, date_trunc('hour', t) as hour_utc, count(*) as n,
+                             count(distinct t) as quarters, {sql.mean("price")} as price_eur_mwh
+                      from pts group by 1, 2),
+            final as (select *, lag(n) over w as n0, lag(hour_utc) over w as h0,
+                             lead(n) over w as n1, lead(hour_utc) over w as h1
+                      from hours, mark where hour_utc + interval 1 hour <= mark
+                      window w as (partition by event_type order by hour_utc))
+            select event_type, hour_utc, price_eur_mwh from final
+            where (n = 4 and quarters = 4)
+               or (n = 1 and not (coalesce(n0, 1) > 1 and hour_utc - h0 <= interval 168 hour)
+                   and not (coalesce(n1, 1) > 1 and h1 - hour_utc <= interval 168 hour)
+                   and (h1 is not null or hour_utc + interval 169 hour <= mark)))""",
+    ),
     "ss03_streamed_distinct": (
         streamed_distinct,
         "select distinct user_id, event_type, cast(ts as date) as day from events",

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from hourmart.functions import dates
-from hourmart.functions.numbers import count_if, exact_mean, round_scaled
+from hourmart.functions.exact import exact_mean
+from hourmart.functions.numbers import count_if, round_scaled
 from hourmart.functions.zones import day_length_hours, due_hours, hour_floor, hours, instant, local_to_utc, utc_to_local
 from hourmart.operators import gaps, reconcile, revisions, trailing
 from hourmart.operators.groups import with_group_stats

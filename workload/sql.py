@@ -15,12 +15,15 @@ def utc(x: str) -> str:
     return f"timezone('UTC', timezone('{ZONE}', {x}))"
 
 
-def exact_sum(x: str, places: int = 4) -> str:
-    return f"(cast(sum(cast(round(({x}) * 1e{places}) as bigint)) as double) / 1e{places})"
+def exact_sum(x: str) -> str:
+    """The doubles as multiples of 2**-72, summed as 128-bit integers; a text of digits
+    is read as the nearest double."""
+    unit = 2**72
+    return f"(cast(cast(sum(cast(({x}) * {unit}e0 as hugeint)) as varchar) as double) / {unit}e0)"
 
 
-def mean(x: str, places: int = 4) -> str:
-    return f"({exact_sum(x, places)} / nullif(count({x}), 0))"
+def mean(x: str) -> str:
+    return f"({exact_sum(x)} / nullif(count({x}), 0))"
 
 
 def rnd(x: str, n: int = 2) -> str:
@@ -102,7 +105,7 @@ def daily(source: str, keys: str = "") -> str:
                {rnd("max(price_eur_mwh)")} as max_price_eur_mwh,
                count(*) filter (is_negative_price) as negative_price_hours,
                {rnd(mean("temp_c"), 1)} as avg_temp_c, {rnd("max(wind_ms)", 1)} as max_wind_ms,
-               {rnd(f'coalesce({exact_sum("radiation_jm2", 1)}, 0) / 1e6', 1)} as total_radiation_mj_m2
+               {rnd(f'coalesce({exact_sum("radiation_jm2")}, 0) / 1e6', 1)} as total_radiation_mj_m2
         from {source} group by {group}"""
 
 
