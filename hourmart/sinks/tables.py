@@ -154,29 +154,39 @@ def upsert_table(
         staged = spark.read.schema(batch.schema).parquet(folder)
         rows = staged.count()
         if rows:
-            _merge_into(spark, path, staged, keys, partition, updated_at, ties, schema, newest_wins)
+            merge_staged(spark, path, staged, keys, partition, updated_at, ties, schema, newest_wins)
         return rows
     finally:
         remove_folder(spark, folder)
 
 
-def _merge_into(
+def merge_staged(
     spark: SparkSession,
     path: str,
     staged: DataFrame,
     keys: Sequence[str],
     partition: str,
-    updated_at: str | None,
-    ties: Sequence[str],
-    schema: T.StructType | None,
-    newest_wins: bool,
+    updated_at: str | None = None,
+    ties: Sequence[str] = (),
+    schema: T.StructType | None = None,
+    newest_wins: bool = False,
+    changed_only: bool = False,
 ) -> None:
+    """Upsert a stored batch.  With ``changed_only`` rows that the table already has in
+    all columns count for nothing: their partitions are read, but not written again."""
     target = read_table(spark, path, schema, staged.schema[partition])
     if target is None:
         merged = latest_revision(staged, keys, updated_at, ties) if updated_at else staged
-    else:
-        [target] = only_partitions(staged.select(partition).distinct(), partition, target)
-        merged = upsert_frame(target, staged, keys, updated_at, ties, newest_wins)
+        write_partitions(merged, path, partition, keys)
+        return
+    if changed_only and set(staged.columns) <= set(target.columns):
+        [stored] = only_partitions(staged.select(partition).distinct(), partition, target)
+        equal = reduce(and_, [staged[c].eqNullSafe(stored[c]) for c in staged.columns])
+        staged = stage(spark, staged.join(stored, equal, "left_anti"), "changed")
+        if staged.isEmpty():
+            return
+    [target] = only_partitions(staged.select(partition).distinct(), partition, target)
+    merged = upsert_frame(target, staged, keys, updated_at, ties, newest_wins)
     write_partitions(merged, path, partition, keys)
 
 
@@ -196,6 +206,7 @@ def incremental_refresh(
 
     With several series the bound follows the one that lags most, so that no
     series loses rows; a series new to the mart enters from that bound on.
+    ``marks.refresh_by_series`` bounds each by itself.
 
     ``build(since)`` returns the mart from that bound on, so the bound reaches
     the scans as a literal.  Keys that vanished upstream stay in the mart until
