@@ -4,7 +4,7 @@ A double is cut at fixed powers of two into whole numbers of 32 bits.  Their sum
 64-bit integers, which any partial aggregation adds in any order; a group's sums are
 put together to the double nearest to the exact total.  An integer sum holds 2**31
 rows of a group at least and raises beyond its range.  Totals whose sums lie near one
-take a few additions; the others carry from sum to sum.
+are a whole number of 38 digits; the others carry from sum to sum.
 
 The expressions are SQL text: one call builds what would be hundreds of columns.
 """
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Powers of two that cut ordinary values: below 2**63, in steps of 2**-128.
+#: Powers of two that cut ordinary values: below 2**63, and all bits of those from 2**-75 on.
 ORDINARY = (-128, -96, -64, -32, 0, 32)
 #: Powers that cut any double; the smallest double is 2**-1074.
 EVERY = (-1074, *range(-1056, 1024, 32))
@@ -50,28 +50,18 @@ def _slice_sums(x: str, span: Sequence[int]) -> list[str]:
         if span[-1] - low > 900:
             # A double has 53 bits: greater ones have none here, and their multiples are no doubles.
             own = f"case when abs({x}) < {_power(high + 53)} then {own} end"
-        sums.append(f"coalesce(sum(cast({own} as bigint)), 0L)")
+        # What is no number, or none of this span, is seen to by the bounds.
+        sums.append(f"coalesce(sum(try_cast({own} as bigint)), 0L)")
     return sums
 
 
-def _two_sum(a: str, b: str) -> tuple[str, str]:
-    total = f"({a} + {b})"
-    part = f"({total} - {a})"
-    return total, f"(({a} - ({total} - {part})) + ({b} - {part}))"
-
-
 def _plain(sums: list[str], span: Sequence[int]) -> tuple[str, str]:
-    """The total of three cuts around one, and whether it is all and rounded once.
-
-    The sum of the upper two and its error, to which the lowest adds without one.
-    """
+    """The total of the three cuts around one as a whole number, and whether it is all."""
     at = list(span).index(0)
-    first, second, third = (f"cast({sums[k]} as double) * {_power(span[k])}" for k in (at, at - 1, at - 2))
-    high, error = _two_sum(f"({first})", f"({second})")
-    low, lost = _two_sum(error, f"({third})")
+    digits = [f"cast({sums[at - k]} as decimal(20,0)) * {2 ** (64 - 32 * k)}BD" for k in (0, 1)]
+    whole = " + ".join([*digits, sums[at - 2]])
     others = [f"{s} = 0" for k, s in enumerate(sums) if not at - 2 <= k <= at]
-    narrow = [f"abs({sums[k]}) < {1 << 53}" for k in (at, at - 1, at - 2)]
-    return f"{high} + {low}", " and ".join([*others, *narrow, f"{lost} = 0"])
+    return f"cast({whole} as double) * {_power(-64)}", " and ".join([*others, f"abs({sums[at]}) < {1 << 60}"])
 
 
 def _over(total: str, size: str) -> str:
@@ -115,21 +105,18 @@ def _nearest(sums: list[str], span: Sequence[int]) -> str:
 
 def _total(x: str, span: Sequence[int]) -> str:
     x = f"cast({x} as double)"
-    size, every = f"abs({x})", tuple(span) == EVERY
-    # No comparison holds for NaN but that it is greater than all.
-    bound = _power(span[-1] + _WIDTH - 1) if not every else "double('infinity')"
-    fitting = f"case when {size} < {bound} then {x} end"
-    sums = _slice_sums(f"({fitting})", span)
+    sums = _slice_sums(x, span)
     plain, whole = _plain(sums, span)
-    total = f"case when count({fitting}) = 0 then null when {whole} then {plain} else {_nearest(sums, span)} end"
-    special = f"sum(case when {size} >= double('infinity') then {x} end)"
-    if every:
-        return f"coalesce({special}, {total})"
-    low = span[0]
-    fine = f"{size} < {_power(low + 53)} and rint({x} * {_power(-low)}) <> {x} * {_power(-low)}"
-    outside = f"count_if(({size} >= {bound} and {size} < double('infinity')) or ({fine})) > 0"
-    message = f"values outside 2**{low} to 2**{span[-1] + _WIDTH - 1}: sum them with span=EVERY"
-    return f"coalesce({special}, case when {outside} then cast(raise_error('{message}') as double) else {total} end)"
+    total = f"case when {whole} then {plain} else {_nearest(sums, span)} end"
+    greatest, infinite = f"max(abs({x}))", "double('infinity')"
+    # NaN is greater than all.  Sums of special values are the same in any order.
+    special = f"when {greatest} >= {infinite} then sum(case when abs({x}) >= {infinite} then {x} end)"
+    if tuple(span) != EVERY:
+        least, low, high = f"min(nullif(abs({x}), 0D))", span[0] + 53, span[-1] + _WIDTH - 1
+        message = f"values outside 2**{low} to 2**{high}: sum them with span=EVERY"
+        outside = f"{greatest} >= {_power(high)} or coalesce({least} < {_power(low)}, false)"
+        special += f" when {outside} then cast(raise_error('{message}') as double)"
+    return f"case when {greatest} is null then null {special} else {total} end"
 
 
 def _sql(x: str) -> str:
@@ -143,8 +130,8 @@ def exact_sum(x: str, span: Sequence[int] = ORDINARY) -> Column:
 
     ``x`` is the name of a column or SQL.  NaN, or infinities of both signs, give NaN,
     and one infinity itself.  A value that ``span`` does not hold raises an error: by
-    default of 2**63 or more, or with bits below 2**-128, which only values under 3e-23
-    have.  ``EVERY`` holds all doubles, for 66 sums instead of six.
+    default one of 2**63 or more in size, or of less than 2**-75 (3e-23) and not zero.
+    ``EVERY`` holds all doubles, for 66 sums instead of six.
     """
     return F.expr(_total(_sql(x), span))
 

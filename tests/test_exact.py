@@ -22,7 +22,7 @@ SETS = {
     "below a tie": [1.0, 2.0**-53, -(2.0**-60)],
     "negative tie": [-1.0, -(2.0**-53), -(2.0**-60)],
     "zero": [0.0, -0.0, 5.0, -5.0],
-    "large": [2.0**62, 2.0**62, -1.0, 2.0**-120],
+    "large": [2.0**62, 2.0**62, -1.0, 2.0**-75],
     "long": [0.1] * 10_000,
 }
 WIDE = {
