@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hourmart.operators import gaps, quality
+from hourmart.operators import gaps, quality, suite
 from hourmart.schemas import DAILY_SUMMARY, DATE_DIMENSION, HOURLY_FACT
+from hourmart.session import work_folder
 from hourmart.sinks import history, runlog
 from workload import bindings as b
-from workload import models
+from workload import models, sql
 
 NOW = dt.datetime(2024, 2, 1, 12, 0)
 # Accepted values of the checked columns.
@@ -94,7 +95,59 @@ U_BREAKS = """
 DEGRADED = """
     select max(run_at) filter (source = 'purchase') as p, max(run_at) filter (source = 'view') as s from run_log"""
 
+def fact_suite(spark, d):
+    """Every check of the fact in one pass."""
+    return suite.check_fact(b.fact(spark, d), models.newest_hour(spark, d), warnings=[suite.CONTINUOUS])
+
+
+def user_suite(spark, d):
+    return suite.check_fact(models.u_fact(spark, d), models.newest_hour(spark, d), series=["user_id"])
+
+
+def written_suite(spark, d):
+    """The row checks of a mart, counted while it is written."""
+    anchor = models.newest_hour(spark, d)
+    frame, observation = suite.observed(b.fact(spark, d), suite.row_checks(anchor))
+    frame.write.parquet(work_folder(spark, "checked-fact"))
+    return suite.observed_results(frame, observation)
+
+
+def _suite(fact: str, key: str, warnings: tuple[str, ...] = (), rows_only: bool = False) -> str:
+    """Each check counted by itself."""
+    newest = f"(select max(hour_utc) from {fact})"
+    part = f"partition by {key}" if key else ""
+    counts = {f"not_null_{f.name}": f"select count(*) from {fact} where {f.name} is null" for f in HOURLY_FACT.fields if not f.nullable}
+    counts |= {
+        "accepted_price_source": f"select count(*) from {fact} where price_source not in ('primary', 'secondary')",
+        "price_within_limits": f"select count(*) from {fact} where price_eur_mwh < -500 or price_eur_mwh > 4000",
+        "fallback_not_reconciled": f"select count(*) from {fact} where price_source = 'secondary' and price_diff_eur is not null",
+        "prices_aligned": f"select count(*) from {fact} where price_diff_eur > 2 and hour_utc >= {newest} - interval 30 day",
+    }
+    keys = f"{key}, " if key else ""
+    if not rows_only:
+        counts |= {
+            "unique_hours": f"select count(*) from (select 1 from {fact} group by {keys}hour_utc having count(*) > 1)",
+            "days_not_overfull": f"""select count(*) from (select cast(hour_local as date) as day, count(*) as n
+                from {fact} group by {keys}1) where n > date_diff('hour', {sql.utc("cast(day as timestamp)")},
+                {sql.utc("cast(day + 1 as timestamp)")})""",
+            "hours_continuous": f"""select count(*) from (select count(*) over ({part}) as n
+                from (select {keys}hour_utc - lag(hour_utc) over ({part} order by hour_utc) as apart
+                      from {fact} where hour_utc >= {newest} - interval 14 day) where apart > interval 1 hour)
+                where n > 2""",
+        }
+    rows = [
+        f"""select '{check}' as node, failures, '{"warn" if check in warnings else "error"}' as severity,
+            if(failures = 0, 'pass', '{"warn" if check in warnings else "fail"}') as status
+            from ({count}) as c(failures)"""
+        for check, count in counts.items()
+    ]
+    return " union all ".join(rows)
+
+
 ENTRIES = {
+    "dq16_fact_suite": (fact_suite, _suite("fact", "", ("hours_continuous",))),
+    "dq16_fact_suite_per_user": (user_suite, _suite("u_fact", "user_id")),
+    "dq16_suite_on_write": (written_suite, _suite("fact", "", rows_only=True)),
     "dq01_duplicate_keys": (
         lambda s, d: quality.duplicates(b.prices(s, d, "primary"), ["hour_utc"]),
         "select hour_utc, count(*) as n_rows from primary_raw group by 1 having count(*) > 1",
