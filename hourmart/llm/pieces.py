@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -521,18 +522,35 @@ def encode(
     return unpacked(short.union(pieced), names, "ids")
 
 
+def _joined(ids: pa.ListArray, surfaces: pa.BinaryArray) -> pa.StringArray:
+    """The texts of lists of ids: their surfaces taken and joined as whole arrays."""
+    start, end = ids.offsets[0].as_py(), ids.offsets[-1].as_py()
+    taken = surfaces.take(ids.values.slice(start, end - start))
+    offsets = pc.subtract(ids.offsets, pa.scalar(start, pa.int32()))
+    lists = pa.ListArray.from_arrays(offsets, taken, mask=ids.is_null())
+    texts = pc.binary_join(lists, b"")
+    spaced = pa.array([t is not None and t[:1] == b" " for t in texts.to_pylist()])
+    texts = pc.if_else(spaced, pc.binary_replace_slice(texts, 0, 1, b""), texts)
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:  # ids that some other program chose
+        return pa.array([None if t is None else t.decode("utf-8", "replace") for t in texts.to_pylist()], pa.string())
+
+
 def decode(encoded: DataFrame, pieces: Pieces, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
-    """Add the text of the ids in ``ids_col`` as ``into``; null ids give null."""
+    """Add the text of the ids in ``ids_col`` as ``into``; null ids give null.
+
+    Tasks get the pieces' surfaces alone, and no id becomes an object of its own.
+    """
     spark = tuned(encoded.sparkSession)
-    shared = _shared(spark, pieces)
+    shared = spark.sparkContext.broadcast(pieces.surfaces)
     rows = packed(encoded)
     schema = f"row {rows.schema['row'].dataType.simpleString()}, `{into}` string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Pieces(*shared.value)
+        surfaces = pa.array(shared.value, pa.binary())
         for batch in batches:
-            ids = batch.column("row").field(ids_col).to_pylist()
-            texts = pa.array([None if x is None else own.decode(x) for x in ids], pa.string())
+            texts = _joined(batch.column("row").field(ids_col), surfaces)
             yield pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", into])
 
     return unpacked(map_arrow(rows, run, schema), encoded.columns, F.col(f"`{into}`"))
