@@ -141,14 +141,17 @@ def daily_rollup_stream(
     """Upsert fact rows, then recompute the local dates they touch.
 
     The hourly table is partitioned by local date, so only the touched days are
-    read again.  Without ``updated_at`` a micro-batch holds an hour once.
+    read again.  With ``updated_at`` the newest revision of an hour stays, stored or
+    arriving, however the input is cut.  Without it a micro-batch holds an hour once,
+    and the last to arrive stays.
     """
     day, keys = local_date("hour_local"), [*series, "hour_utc"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if not upsert_table(spark, fact_path, batch, keys, "day", day, updated_at):
+            newest_wins = updated_at is not None
+            if not upsert_table(spark, fact_path, batch, keys, "day", day, updated_at, newest_wins=newest_wins):
                 return
             touched = batch.select(*series, day.alias("day")).distinct()
             [fact] = only_partitions(

@@ -87,3 +87,25 @@ def test_daily_stream_equals_batch(spark, source, tmp_path):
     jobs.daily_rollup_stream(spark, shaped(stream), fact, daily, str(tmp_path / "c")).awaitTermination()
     final = spark.createDataFrame(revised + data[1:], schema)
     assert rows(spark.read.parquet(daily).drop("month")) == rows(daily_summary(shaped(final)))
+
+
+def test_daily_stream_keeps_newer_hours_from_late_revisions(spark, source, tmp_path):
+    schema = (
+        "hour_utc timestamp_ntz, price_eur_mwh double, temp_c double, wind_ms double, radiation_jm2 double, "
+        "fetched_at timestamp_ntz"
+    )
+    hours = [ts("2026-01-01") + dt.timedelta(hours=i) for i in range(24)]
+    older, newer = ts("2026-01-03"), ts("2026-01-05")
+    source(schema, *[(h, 2.0, 1.0, 2.0, 3.0, newer) for h in hours[:20]])
+    source(schema, *[(h, 3.0, 1.0, 2.0, 3.0, newer) for h in hours[20:]])
+    stream = source(schema, *[(h, 1.0, 1.0, 2.0, 3.0, older) for h in hours])  # late
+
+    def shaped(df):
+        return with_negative_flag(df.withColumn("hour_local", utc_to_local("hour_utc")))
+
+    fact, daily = str(tmp_path / "fact"), str(tmp_path / "daily")
+    jobs.daily_rollup_stream(
+        spark, shaped(stream), fact, daily, str(tmp_path / "c"), updated_at="fetched_at"
+    ).awaitTermination()
+    final = spark.createDataFrame([(h, 2.0 if i < 20 else 3.0, 1.0, 2.0, 3.0, newer) for i, h in enumerate(hours)], schema)
+    assert rows(spark.read.parquet(daily).drop("month")) == rows(daily_summary(shaped(final)))
