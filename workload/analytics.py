@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hourmart.functions.dates import hour_of_day
 from hourmart.functions.exact import exact_mean, exact_sum
 from hourmart.functions.numbers import round_scaled
-from hourmart.operators.quantile import exact_quantile
+from hourmart.operators.quantile import exact_quantile, group_quantiles
 from hourmart.plans import dashboard, metrics, report
 from workload import bindings as b
 from workload import sql
@@ -146,7 +146,36 @@ def charges(spark, d):
     return tiny.groupBy("l_returnflag", "l_linestatus").agg(*sums, exact_mean("tiny").alias("tiny_mean"))
 
 
+QUANTILES = {"p02": 0.02, "p50": 0.5, "p98": 0.98}
+
+
+def supplier_quantiles(spark, d):
+    """Price quantiles of every supplier, and of the table as a whole."""
+    lines = b.table(spark, d, "lineitem").select("l_suppkey", "l_extendedprice")
+    own = group_quantiles(lines, "l_extendedprice", QUANTILES, ["l_suppkey"])
+    whole = group_quantiles(lines, "l_extendedprice", QUANTILES)
+    return own.unionByName(whole.withColumn("l_suppkey", F.lit(None).cast("long"))).select(
+        "l_suppkey", *[round_scaled(c, 4).alias(c) for c in QUANTILES]
+    )
+
+
+def user_price_quantiles(spark, d):
+    return group_quantiles(b.table(spark, d, "events"), "value", QUANTILES, ["user_id"]).select(
+        "user_id", *[round_scaled(c, 6).alias(c) for c in QUANTILES]
+    )
+
+
 ENTRIES = {
+    "ag17_group_quantiles": (
+        supplier_quantiles,
+        f"""select l_suppkey, {", ".join(sql.rnd(f"quantile_cont(l_extendedprice, {p})", 4) + f" as {c}" for c, p in QUANTILES.items())}
+            from lineitem group by grouping sets ((l_suppkey), ())""",
+    ),
+    "ag17_quantiles_per_user": (
+        user_price_quantiles,
+        f"""select user_id, {", ".join(sql.rnd(f"quantile_cont(value, {p})", 6) + f" as {c}" for c, p in QUANTILES.items())}
+            from events group by 1""",
+    ),
     "ag28_exact_charges": (
         charges,
         f"""select l_returnflag, l_linestatus, {sql.exact_sum("paid")} as paid_sum,
