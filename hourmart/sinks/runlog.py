@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,12 +34,23 @@ def watermarks(log: DataFrame) -> DataFrame:
 
 
 def load_windows(
-    sources: DataFrame, log: DataFrame, now: dt.datetime, lookback_days: int = 7, first_days: int = 30
+    sources: DataFrame,
+    log: DataFrame,
+    now: dt.datetime,
+    lookback_days: int = 7,
+    first_days: int = 30,
+    fixed_days: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Next load window per source: from the watermark less the lookback, or the
-    last ``first_days`` days when the source never loaded."""
+    last ``first_days`` days when the source never loaded.
+
+    Sources in ``fixed_days`` load so many days whatever was loaded before: their
+    publishers revise that much, or serve whole files.
+    """
     end = instant(now)
     start = F.coalesce(F.col("watermark") - days(lookback_days), end - days(first_days))
+    for source, fixed in (fixed_days or {}).items():
+        start = F.when(F.col("source") == source, end - days(fixed)).otherwise(start)
     return (
         sources.select("source")
         .join(watermarks(log), "source", "left")

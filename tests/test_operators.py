@@ -130,6 +130,8 @@ def test_watermarks_and_windows(spark, frame):
         ("n", ts("2026-09-10"), ts("2026-10-10")),
         ("p", ts("2026-09-26"), ts("2026-10-10")),
     ]
+    fixed = runlog.load_windows(sources, log, ts("2026-10-10"), fixed_days={"p": 400})
+    assert dict(rows(fixed, "source", "window_start")) == {"n": ts("2026-09-10"), "p": ts("2025-09-05")}
     assert rows(runlog.live_flag(log, ["x"])) == [(False,)]
     assert rows(runlog.source_health(log), "source", "rows_total", "runs") == [("n", 10, 1), ("p", 20, 2)]
 

@@ -326,6 +326,20 @@ ENTRIES = {
                    max(ts) - interval 7 day) as window_start, timestamp '{NOW}' as window_end
             from events group by 1""",
     ),
+    "src11_fixed_windows": (
+        lambda s, d: runlog.load_windows(
+            b.table(s, d, "events").select(F.col("event_type").alias("source")).distinct(),
+            b.run_log(s, d).where(F.col("source") != "signup"),
+            NOW,
+            fixed_days={"click": 30, "view": 400},
+        ),
+        f"""select event_type as source, timestamp '{NOW}' as window_end,
+                   case event_type when 'click' then timestamp '{NOW}' - interval 30 day
+                                   when 'view' then timestamp '{NOW}' - interval 400 day
+                                   when 'signup' then timestamp '{NOW}' - interval 30 day
+                                   else max(ts) - interval 7 day end as window_start
+            from events group by 1""",
+    ),
     "snk08_live_flag": (
         lambda s, d: runlog.live_flag(b.run_log(s, d), ["purchase", "view"]),
         "select count(*) filter (source in ('purchase', 'view')) > 0 as is_live from run_log",
