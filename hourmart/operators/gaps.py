@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourmart.functions.zones import MARKET_ZONE, due_hours, hours, instant
@@ -49,8 +51,15 @@ def gap_runs(gaps: DataFrame, series: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def leading_runs(runs: DataFrame, limit: int = 5) -> DataFrame:
-    """The earliest runs, each with the number of runs left out."""
+def leading_runs(runs: DataFrame, limit: int = 5, series: Sequence[str] = ()) -> DataFrame:
+    """The earliest runs (of each series), each with the number of runs left out."""
+    if series:
+        place = F.row_number().over(Window.partitionBy(*series).orderBy("first_missing"))
+        shown = runs.withColumn("__place", place).where(F.col("__place") <= limit).drop("__place")
+        totals = runs.groupBy(*[F.col(s).alias(f"__{s}") for s in series]).agg(F.count(F.lit(1)).alias("__n"))
+        same = reduce(and_, [F.col(s).eqNullSafe(F.col(f"__{s}")) for s in series])
+        more = F.greatest(F.col("__n") - limit, F.lit(0)).cast("bigint")
+        return shown.join(totals, same).withColumn("more_runs", more).drop("__n", *[f"__{s}" for s in series])
     total = runs.agg(F.count(F.lit(1))).scalar()
     shown = runs.orderBy("first_missing").limit(limit)
     return shown.withColumn("more_runs", F.greatest(total - limit, F.lit(0)).cast("bigint"))

@@ -22,6 +22,21 @@ def newest(*frames: DataFrame, column: str = "hour_utc") -> dt.datetime | dt.dat
     return reduce(DataFrame.unionByName, values).agg(F.max("v")).first()[0]
 
 
+def within_days(df: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """The partitions of a table with a date column ``day`` that dates from first to last can lie in.
+
+    ``day`` is the UTC date of a row; a wall-clock date lies within a day of it.  The
+    bounds reach the scan as partition filters.  Other frames stay as they are.
+    """
+    if ("day", "date") not in df.dtypes:
+        return df
+    if first is not None:
+        df = df.where(F.col("day") >= F.date_sub(first.cast("date"), 1))
+    if last is not None:
+        df = df.where(F.col("day") <= F.date_add(last.cast("date"), 1))
+    return df
+
+
 def trailing(
     df: DataFrame,
     column: str,
@@ -32,7 +47,7 @@ def trailing(
     """Rows of the last ``days`` days before the anchor (default: the newest row)."""
     anchor = newest(df, column=column) if anchor is None else anchor
     bound = instant(None if anchor is None else anchor - dt.timedelta(days=days))
-    return df.where(F.col(column) >= bound if inclusive else F.col(column) > bound)
+    return within_days(df, bound).where(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
 def date_range(
@@ -50,13 +65,13 @@ def through_date(df: DataFrame, column: str, through: dt.date | None = None) ->
     """Rows up to the end of a local date; all rows when none is given."""
     if through is None:
         return df
-    return df.where(F.col(column) < midnight(F.date_add(F.lit(through), 1)))
+    return within_days(df, last=F.lit(through)).where(F.col(column) < midnight(F.date_add(F.lit(through), 1)))
 
 
 def on_date(df: DataFrame, column: str, date: dt.date | Column) -> DataFrame:
     """Rows of one date as a half-open range, which a file scan can prune."""
     day = date if isinstance(date, Column) else F.lit(date)
-    return df.where(
+    return within_days(df, day, day).where(
         (F.col(column) >= midnight(day)) & (F.col(column) < midnight(F.date_add(day, 1)))
     )
 
@@ -68,4 +83,4 @@ def day_frame(
     last date.  ``date`` is a date or a timestamp column."""
     start = F.date_sub(F.lit(last_date).cast("date"), offset_days)
     end = F.date_add(start, length)
-    return df.where((F.col(date) >= midnight(start)) & (F.col(date) < midnight(end)))
+    return within_days(df, start, end).where((F.col(date) >= midnight(start)) & (F.col(date) < midnight(end)))
