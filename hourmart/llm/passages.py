@@ -28,6 +28,9 @@ PIECE_WORDS, OVERLAP_WORDS = 200_000, 128
 #: Different paragraphs of a bucket that are compared in one block.
 BLOCK = 2_000
 PARAGRAPH, PASSAGE = 0, 1
+#: Words of texts whose units are found together; one text may have more.
+GROUP_WORDS = 40_000
+_UNIT = ("doc_id", "kind", "start", "words", "h1", "h2", "bands")
 
 _POWERS: dict[int, np.ndarray] = {}
 _SEEDS: dict[int, list] = {}
@@ -67,6 +70,24 @@ def _runs(words: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
     return _mix(out)
 
 
+def _windows(words: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
+    """The same as ``_runs`` from sums of all words before: the base is odd, so it has an inverse."""
+    n = len(words) - width + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(words * _powers(base, len(words)), dtype=np.uint64)])
+    inverse = np.uint64(pow(int(base), -1, 1 << 64))
+    return _mix((sums[width:] - sums[:n]) * _powers(inverse, n))
+
+
+def _runs_at(words: np.ndarray, at: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
+    """``_runs`` at some places."""
+    out = np.zeros(len(at), np.uint64)
+    for k, power in enumerate(_powers(base, width)):
+        out += words[at + k] * power
+    return _mix(out)
+
+
 def _whole(words: np.ndarray, starts: np.ndarray, base: np.uint64) -> np.ndarray:
     """Hash of the stretches of words that begin at ``starts`` and fill the array."""
     lengths = np.diff(np.append(starts, len(words)))
@@ -76,49 +97,104 @@ def _whole(words: np.ndarray, starts: np.ndarray, base: np.uint64) -> np.ndarray
     return _mix(sums + lengths.astype(np.uint64))
 
 
-def _chosen(values: np.ndarray, span: int) -> np.ndarray:
-    """Positions that hold the smallest value of some ``span`` neighbouring ones."""
-    if len(values) <= span:
-        return np.flatnonzero(values == values.min()) if len(values) else np.zeros(0, np.int64)
-
-    def sliding(x: np.ndarray, pick: np.ufunc) -> np.ndarray:
-        width = 1
-        while width < span:
-            step = min(width, span - width)
-            x = pick(x[: len(x) - step], x[step:])
-            width += step
-        return x
+def _sliding(x: np.ndarray, pick: np.ufunc, span: int) -> np.ndarray:
+    width = 1
+    while width < span:
+        step = min(width, span - width)
+        x = pick(x[: len(x) - step], x[step:])
+        width += step
+    return x
 
-    least = sliding(values, np.minimum)
-    edge = np.zeros(span - 1, np.uint64)
-    return np.flatnonzero(sliding(np.concatenate([edge, least, edge]), np.maximum) == values)
 
+def _chosen(values: np.ndarray, span: int, firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions that hold the smallest value of some ``span`` neighbouring ones.
 
-def _units(text: str, bands: int) -> Iterator[tuple[int, int, int, int, int, list[int] | None]]:
-    """(kind, first word, words, two content hashes, bands or None) of a text.
-
-    Texts of very many words come in overlapping pieces; a paragraph ends with its piece.
+    The values of several texts lie side by side: ``counts`` of them from ``firsts`` on.
+    A text of fewer values than ``span`` counts as one stretch.
+    """
+    mark = np.zeros(len(values), bool)
+    full = counts > span
+    if full.any():
+        least = _sliding(values, np.minimum, span)
+        inside = np.zeros(len(least) + 1, np.int64)
+        np.add.at(inside, firsts[full], 1)
+        np.add.at(inside, firsts[full] + counts[full] - span + 1, -1)
+        # Stretches that run over a text's end count for nothing.
+        least = np.where(np.cumsum(inside[:-1]) > 0, least, np.uint64(0))
+        edge = np.zeros(span - 1, np.uint64)
+        mark |= _sliding(np.concatenate([edge, least, edge]), np.maximum, span) == values
+    some = ~full & (counts > 0)
+    if some.any():
+        sizes = counts[some]
+        heads = np.cumsum(sizes) - sizes
+        places = np.arange(sizes.sum()) - np.repeat(heads, sizes) + np.repeat(firsts[some], sizes)
+        own = values[places]
+        mark[places[own == np.repeat(np.minimum.reduceat(own, heads), sizes)]] = True
+    return np.flatnonzero(mark)
+
+
+def _pieces(text: str) -> Iterator[tuple[int, list[bytes], list[int]]]:
+    """(first word, words, starts of lines) of a text; very many words come in overlapping pieces.
+
+    A paragraph ends with its piece.
     """
-    words, lines, position = [], [], 0
+    words, lines = [], []
     for line in text.encode().lower().split(b"\n"):
         own = line.split()
         if own:
-            lines.append(position)
+            lines.append(len(words))
             words.extend(own)
-            position += len(own)
-    step = PIECE_WORDS - OVERLAP_WORDS
-    for begin in range(0, max(1, len(words) - OVERLAP_WORDS), step):
+    if len(words) <= PIECE_WORDS:
+        if len(words) >= LEAST_WORDS:
+            yield 0, words, lines
+        return
+    for begin in range(0, len(words) - OVERLAP_WORDS, PIECE_WORDS - OVERLAP_WORDS):
         part = words[begin : begin + PIECE_WORDS]
-        if len(part) < LEAST_WORDS:
-            continue
-        hashed = np.fromiter(map(xxhash.xxh64_intdigest, part), np.uint64, len(part))
-        starts = np.array(sorted({max(s - begin, 0) for s in lines if s - begin < len(part)}))
-        yield from _paragraphs(hashed, starts, begin, bands)
-        runs = _runs(hashed, LEAST_WORDS, _BASES[0])
-        at = _chosen(runs, SPAN)
-        second = _runs(hashed, LEAST_WORDS, _BASES[1])[at]
-        for a, one, two in zip(at.tolist(), runs[at].view(np.int64).tolist(), second.view(np.int64).tolist(), strict=True):
-            yield PASSAGE, begin + a, LEAST_WORDS, one, two, None
+        if len(part) >= LEAST_WORDS:
+            yield begin, part, sorted({max(s - begin, 0) for s in lines if s - begin < len(part)})
+
+
+class _Group:
+    """Pieces of texts whose units are found together, in arrays."""
+
+    def __init__(self) -> None:
+        self.words: list[bytes] = []
+        self.lines: list[int] = []
+        #: (text, doc_id, first word in the text, first word here, words)
+        self.pieces: list[tuple[int, int, int, int, int]] = []
+
+    def add(self, text: int, doc: int, begin: int, words: list[bytes], lines: list[int]) -> None:
+        here = len(self.words)
+        self.pieces.append((text, doc, begin, here, len(words)))
+        self.words.extend(words)
+        self.lines.extend(here + s for s in lines)
+
+    def units(self, bands: int) -> pa.RecordBatch:
+        """(doc_id, kind, start, words, h1, h2, bands): each different unit of a text once."""
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        text, doc, begin, here, size = (np.array(c, np.int64) for c in zip(*self.pieces, strict=True))
+        start, length, first, second, keys = _paragraphs(hashed, np.array(self.lines), bands)
+        runs = _windows(hashed, LEAST_WORDS, _BASES[0])
+        at = _chosen(runs, SPAN, here, size - LEAST_WORDS + 1)
+        # Paragraphs first, then passages.
+        places = np.concatenate([start, at])
+        kinds = np.repeat(np.array([PARAGRAPH, PASSAGE], np.int32), [len(start), len(at)])
+        lengths = np.concatenate([length, np.full(len(at), LEAST_WORDS)])
+        one = np.concatenate([first, runs[at]]).view(np.int64)
+        two = np.concatenate([second, _runs_at(hashed, at, LEAST_WORDS, _BASES[1])]).view(np.int64)
+        piece = np.searchsorted(here, places, side="right") - 1
+        order = np.lexsort((two, one, kinds, text[piece]))
+        same = np.ones(max(len(order) - 1, 0), bool)
+        for column in (text[piece], kinds, one, two):
+            same &= column[order][1:] == column[order][:-1]
+        kept = np.sort(order[np.concatenate([[True], ~same])]) if len(order) else order
+        # A paragraph's keys are the rows of a matrix; passages have none.
+        own = keys[kept[kept < len(start)]].astype(np.uint64).view(np.int64)
+        offsets = np.concatenate([np.arange(len(own) + 1), np.full(len(kept) - len(own), len(own))]) * bands
+        missing = pa.array(kept >= len(start))
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(own.ravel()), mask=missing)
+        columns = (doc[piece], kinds, places - here[piece] + begin[piece], lengths, one, two)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[kept]) for c in columns), lists], _UNIT)
 
 
 def _seeds(count: int) -> list[tuple[np.uint64, np.uint64]]:
@@ -129,60 +205,48 @@ def _seeds(count: int) -> list[tuple[np.uint64, np.uint64]]:
     return _SEEDS[count]
 
 
-def _paragraphs(hashed: np.ndarray, starts: np.ndarray, begin: int, bands: int) -> Iterator[tuple]:
+def _paragraphs(hashed: np.ndarray, starts: np.ndarray, bands: int) -> tuple[np.ndarray, ...]:
+    """Starts, lengths, two content hashes and band keys of the paragraphs that are long enough."""
     ends = np.append(starts[1:], len(hashed))
-    first, second = (_whole(hashed, starts, base).view(np.int64) for base in _BASES)
     long = np.flatnonzero(ends - starts >= LEAST_WORDS)
     if not len(long):
-        return
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64), none.astype(np.uint64), np.zeros((0, bands), np.uint64)
+    first, second = (_whole(hashed, starts, base)[long] for base in _BASES)
     shingles = _runs(hashed, SHINGLE, _BASES[0])
     counts = ends[long] - starts[long] - SHINGLE + 1
     cells = np.repeat(starts[long], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
     own, heads = shingles[cells], np.cumsum(counts) - counts
     # The shingles' hashes are mixed already: a mask and an odd factor reorder them.
     least = [np.minimum.reduceat((own ^ b) * a, heads) for a, b in _seeds(bands * BAND_ROWS)]
-    keys = []
+    keys = np.zeros((len(long), bands), np.uint64)
     for band in range(bands):
         key = np.full(len(long), band + 1, np.uint64)
         for value in least[band * BAND_ROWS : (band + 1) * BAND_ROWS]:
             key = _mix(key * _BASES[0] + value)
-        keys.append(key.view(np.int64))
-    for k, line in enumerate(long.tolist()):
-        yield (
-            PARAGRAPH,
-            begin + int(starts[line]),
-            int(ends[line] - starts[line]),
-            int(first[line]),
-            int(second[line]),
-            [int(key[k]) for key in keys],
-        )
+        keys[:, band] = key
+    return starts[long], ends[long] - starts[long], first, second, keys
 
 
 def list_units(docs: DataFrame, id_col: str, text_col: str, bands: int) -> DataFrame:
-    """(doc_id, kind, start, words, h1, h2, bands): each different unit of a text once."""
+    """(doc_id, kind, start, words, h1, h2, bands): each different unit of a text once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        names = ("doc_id", "kind", "start", "words", "h1", "h2", "bands")
-
-        def made(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names
-            )
+    Texts are put together up to ``GROUP_WORDS`` words, so arrays are long enough to pay.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                seen = set()
-                for unit in _units(text, bands):
-                    if (key := (unit[0], unit[3], unit[4])) not in seen:
-                        seen.add(key)
-                        rows.append((doc, *unit))
-                if len(rows) > 20_000:
-                    yield made(rows)
-                    rows = []
-            if rows:
-                yield made(rows)
+            group = _Group()
+            texts = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            for k, (doc, text) in enumerate(texts):
+                found = list(_pieces(text))
+                if group.pieces and len(group.words) + sum(len(w) for _, w, _ in found) > GROUP_WORDS:
+                    yield group.units(bands)
+                    group = _Group()
+                for piece in found:
+                    group.add(k, doc, *piece)
+            if group.pieces:
+                yield group.units(bands)
 
     return map_arrow(
         _texts(docs, id_col, text_col),

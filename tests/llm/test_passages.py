@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from hourmart.llm import passages
@@ -80,11 +81,41 @@ def test_awkward_rows(spark):
     assert passages.repeated_passages(frame_of(spark, [])).collect() == []
 
 
+def units_of(texts, bands=8, doc=False):
+    """(kind, start, words, h1, h2, bands) of texts that are listed together."""
+    group = passages._Group()
+    for k, text in enumerate(texts):
+        for piece in passages._pieces(text):
+            group.add(k, k, *piece)
+    rows = zip(*[c.to_pylist() for c in group.units(bands).columns], strict=True)
+    return [r if doc else r[1:] for r in rows]
+
+
+def test_units_do_not_depend_on_the_texts_beside():
+    rng = random.Random(6)
+    texts = [sentence(rng, n) for n in (24, 25, 26, 49, 50, 51, 52, 300, 25, 1000)]
+    texts += [texts[7] + "\n" + texts[7], "\n".join(texts[3:6]), "a " * 400, texts[9].replace(" ", "\n", 500)]
+    together = units_of(texts, doc=True)
+    apart = [(k, *u) for k, t in enumerate(texts) if list(passages._pieces(t)) for u in units_of([t])]
+    assert together == sorted(together, key=lambda r: r[1] if r[1] == passages.PARAGRAPH else 1)
+    assert sorted(together, key=repr) == sorted(apart, key=repr)
+    assert len({(r[0], r[1], r[4], r[5]) for r in together}) == len(together)
+
+
+def test_windows_by_sums_equal_runs():
+    words = np.random.default_rng(2).integers(0, 1 << 63, 500).astype(np.uint64)
+    for n in (0, 24, 25, 26, 500):
+        runs = passages._runs(words[:n], 25, passages._BASES[0])
+        assert (passages._windows(words[:n], 25, passages._BASES[0]) == runs).all()
+        at = np.arange(0, len(runs), 3)
+        assert (passages._runs_at(words[:n], at, 25, passages._BASES[0]) == runs[at]).all()
+
+
 def test_long_texts_come_in_pieces(monkeypatch):
     text = sentence(random.Random(6), 4000)
-    whole = {u[3] for u in passages._units(text, 8) if u[0] == passages.PASSAGE}
+    whole = {u[3] for u in units_of([text]) if u[0] == passages.PASSAGE}
     monkeypatch.setattr(passages, "PIECE_WORDS", 400)
-    parts = {u[3] for u in passages._units(text, 8) if u[0] == passages.PASSAGE}
+    parts = {u[3] for u in units_of([text]) if u[0] == passages.PASSAGE}
     assert whole <= parts
 
 
@@ -95,11 +126,9 @@ def test_bands_reach_the_recall():
 
 @pytest.mark.parametrize("n", [1, 5, 26, 27, 200])
 def test_chosen_positions_are_the_minima_of_windows(n):
-    import numpy as np
-
     values = np.random.RandomState(n).randint(0, 1 << 40, n).astype(np.uint64)
     want = {int(a + np.argmin(values[a : a + 26])) for a in range(max(1, n - 25))}
-    assert set(passages._chosen(values, 26).tolist()) == want
+    assert set(passages._chosen(values, 26, np.array([0]), np.array([len(values)])).tolist()) == want
 
 
 def test_every_passage_stays_in_one_document(spark):
