@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,23 +46,36 @@ def clean_text(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(unescape_entities(bare), SPACE, " "))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_feed_date(text: Column | str) -> Column:
     """Mail-style date, then ISO 8601; offsets become naive UTC, junk becomes NULL."""
     raw = F.trim(_col(text))
-    # The weekday carries no information and Spark's parser rejects it.
-    mail = F.regexp_replace(raw, r"^[A-Za-z]{3,9},?\s+", "")
-    name = F.regexp_extract(mail, r"\s([A-Za-z]{1,4})$", 1)
     zones = F.create_map(*[F.lit(v) for pair in MAIL_ZONES.items() for v in pair])
-    offset = F.try_element_at(zones, F.upper(name))
-    mail = F.when(offset.isNull(), mail).otherwise(
-        F.concat(F.regexp_replace(mail, r"[A-Za-z]+$", ""), offset)
-    )
-    patterns = (
-        "d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm",
-    )
-    parsed = [F.try_to_timestamp(mail, F.lit(p)) for p in patterns]
+    # Spark's parser raises and catches an error for every text that a pattern does not fit,
+    # so each sees only texts of its own shape; a text has the shape of one pattern at most.
+    day = r"[+-]?\d+ \p{L}+"
+    start = rf"^{day}\.? [+-]?\d+ \d\d:\d\d"
+    patterns = {
+        "d MMM yyyy HH:mm:ss Z": start + r":\d\d \S+$", "d MMM yyyy HH:mm Z": start + r" \S+$",
+        "d MMM yyyy HH:mm:ss": start + r":\d\d$", "d MMM yyyy HH:mm": start + "$",
+    }
+
+    def zoned(bare: Column) -> Column:
+        offset = F.try_element_at(zones, F.upper(F.regexp_extract(bare, r"\s([A-Za-z]{1,4})$", 1)))
+        return F.when(offset.isNull(), bare).otherwise(F.concat(F.regexp_replace(bare, r"[A-Za-z]+$", ""), offset))
+
+    def parsed(mail: Column) -> Column:
+        return F.coalesce(*[F.when(mail.rlike(shape), F.try_to_timestamp(mail, F.lit(p))) for p, shape in patterns.items()])
+
+    # The weekday carries no information and Spark's parser rejects it.
+    weekday = r"^[A-Za-z]{3,9},?\s+"
+    mail = F.when(raw.rlike(rf"^({weekday[1:]})?{day}"), _once(_once(F.regexp_replace(raw, weekday, ""), zoned), parsed))
     iso = F.when(raw.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(raw))
-    return F.coalesce(*parsed, iso).cast("timestamp_ntz")
+    return F.coalesce(mail, iso).cast("timestamp_ntz")
 
 
 def source_name(url: Column | str) -> Column:

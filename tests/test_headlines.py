@@ -73,6 +73,33 @@ def test_dates(frame, text, want):
     assert got == (ts(want) if want else None)
 
 
+DATE_PATTERNS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm")
+
+
+def test_shapes_admit_all_that_the_patterns_parse(frame):
+    """Odd texts give what trying every pattern gives."""
+    days = ("4", "04", "+4", "-4", "31", "004")
+    months = ("May", "may", "MAY", "Sept", "Sep", "May.", "M")
+    years = ("2026", "+2026", "-2026", "12026", "+12026", "26")
+    times = ("10:00", "10:00:00", "9:00", "10:00:60", "24:00", "10:00:00.5")
+    zones = ("", " +0200", " -0330", " +02:00", " +02", " 0200", "  +0200", " +0200 ")
+    texts = [f"{d} {m} {y} {t}{z}" for d in days for m in months for y in years for t in times for z in zones]
+    texts += [f"Mon, {t}\n" for t in texts[:50]] + ["4  May 2026 10:00", "4 May 2026", "5-LOW", "4\tMay 2026 10:00"]
+    df = frame("d string", *[(t,) for t in texts])
+    bare = F.regexp_replace(F.trim("d"), r"^[A-Za-z]{3,9},?\s+", "")
+    every = F.coalesce(*[F.try_to_timestamp(bare, F.lit(p)) for p in DATE_PATTERNS]).cast("timestamp_ntz")
+    found = df.select("d", parse_feed_date("d").cast("string").alias("got"), every.cast("string").alias("want")).collect()
+    assert [r for r in found if r["got"] != r["want"]] == []
+    assert sum(r["got"] is not None for r in found) > 100
+
+
+def test_no_pattern_sees_texts_of_another_shape(frame):
+    """A pattern that does not fit costs an error; nearly all the time went there."""
+    plan = plan_of(frame("d string", ("x",)).select(parse_feed_date("d")))
+    for shape in (r":\d\d \S+$", r"\d\d:\d\d \S+$", r":\d\d:\d\d$", r" \d\d:\d\d$"):
+        assert shape in plan
+
+
 def test_clean_text_and_hosts(frame):
     df = frame("t string", ("  <p>A&nbsp;&amp;\n\t&eacute;</p> ",), (None,), ("a &lt;b&gt; c",))
     assert [r[0] for r in df.select(clean_text("t")).collect()] == ["A & é", "", "a <b> c"]
