@@ -11,6 +11,8 @@ from hourmart.sources.price_documents import hours_from_points
 from hourmart.streaming import jobs
 from hourmart.streaming.eras import hours_of_eras
 from tests.helpers import rows
+from workload import bindings as b
+from workload import maintenance
 
 POINTS = "zone string, at timestamp, price double"
 BASE = dt.datetime(2026, 1, 5)
@@ -94,3 +96,27 @@ def test_the_store_of_other_queries_stays(spark):
     with jobs.keyed_state(spark):
         assert spark.conf.get(jobs.PROVIDER) == jobs.ROCKSDB
     assert spark.conf.get(jobs.PROVIDER, None) == before
+
+
+@pytest.mark.parametrize("file_rows", [20, 1_000_000])
+def test_batches_follow_periods_not_tasks(spark, tmp_path, monkeypatch, file_rows):
+    """Events in many files make no more batches than in one, and every row arrives once."""
+    start = dt.datetime(2024, 1, 1)
+    events = [(i, start + dt.timedelta(hours=2 * i), i % 7, f"k{i % 2}", float(i), "{}") for i in range(240)]
+    events += [(None, start, 1, "k0", 1.0, "{}"), (999, None, 1, "k0", 1.0, "{}")]
+    frame = spark.createDataFrame(events, b.SCHEMAS["events"])
+    monkeypatch.setattr(maintenance, "FILE_ROWS", file_rows)
+    found, batches = [], []
+    for files in (1, 6):
+        base = tmp_path / str(files)
+        frame.repartition(files).write.parquet(f"{base}/events.parquet")
+        monkeypatch.setattr(maintenance, "work_folder", lambda _, purpose, base=base: f"{base}/{purpose}")
+        found.append(rows(maintenance.streamed_eras(spark, str(base)), "event_type", "hour_utc", "price_eur_mwh"))
+        source = spark.read.parquet(f"{base}/eras-source")
+        arrived = sorted(source.select("event_id").toPandas()["event_id"].tolist())
+        assert arrived == list(range(240))
+        assert not (base / "arrivals").exists()
+        batches.append(sum(p.name.isdigit() for p in (base / "eras-progress" / "commits").iterdir()))
+    assert found[0] == found[1] and found[0]
+    # 20 days and up to two days late are five periods; one batch more drains the state.
+    assert batches[0] == batches[1] <= 6

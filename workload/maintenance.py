@@ -13,7 +13,7 @@ from hourmart.operators.trailing import newest
 from hourmart.plans import daily as daily_plans
 from hourmart.plans import hourly, refresh
 from hourmart.schemas import DAILY_SUMMARY
-from hourmart.session import work_folder
+from hourmart.session import remove_folder, work_folder
 from hourmart.sinks import history, runlog, tables
 from hourmart.streaming import jobs
 from hourmart.streaming.eras import hours_of_eras
@@ -23,6 +23,8 @@ from workload.documents import classified
 
 RUN = dt.datetime(2024, 2, 1)
 RELOADED = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 22))
+#: Rows of one streamed file, about.
+FILE_ROWS = 1_000_000
 
 
 def _halves(df: DataFrame, at: str, back: int) -> tuple[DataFrame, DataFrame]:
@@ -244,6 +246,29 @@ def streamed_rollup(spark, d):
     return spark.read.schema(rollup.schema).parquet(path)
 
 
+def store_by_arrival(spark, rows: DataFrame, at: str, period: dt.timedelta, target: str) -> int:
+    """Write rows in files of one period each, the oldest period's first; the most files of a period.
+
+    A batch of that many files holds about a period, however many tasks wrote it.  The
+    rows are read once and cut by period; each period is then read on its own.
+    """
+    staged = work_folder(spark, "arrivals")
+    first = rows.agg(F.min(at)).first()[0]
+    if first is None:
+        return 1
+    passed = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(instant(first).cast("timestamp"))
+    number = F.floor(passed / (period // dt.timedelta(microseconds=1)))
+    cut = rows.where(F.col(at).isNotNull()).withColumn("__period", number)
+    cut.write.partitionBy("__period").parquet(staged)
+    sizes = spark.read.schema(cut.schema).parquet(staged).groupBy("__period").count().orderBy("__period").collect()
+    files = -(-max(r["count"] for r in sizes) // FILE_ROWS)
+    for r in sizes:
+        part = spark.read.schema(rows.schema).parquet(f"{staged}/__period={r['__period']}")
+        part.repartition(files).write.mode("append").parquet(target)
+    remove_folder(spark, staged)
+    return files
+
+
 def streamed_eras(spark, d):
     """Points per event type in files of five days of arrival, up to two days late each.
 
@@ -254,14 +279,8 @@ def streamed_eras(spark, d):
     events = b.table(spark, d, "events")
     arrival = F.col("ts") + F.make_dt_interval((F.col("event_id") % 3).cast("int"))
     arrived = events.withColumn("arrival", arrival)
-    first, last = arrived.agg(F.min("arrival"), F.max("arrival")).first()
-    while first is not None and first <= last:
-        until = first + dt.timedelta(days=5)
-        arrived.where((F.col("arrival") >= instant(first)) & (F.col("arrival") < instant(until))).write.mode(
-            "append"
-        ).parquet(source)
-        first = until
-    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    files = store_by_arrival(spark, arrived, "arrival", dt.timedelta(days=5), source)
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", files).parquet(source)
     quarter = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900) * 900)
     points = stream.select("event_type", quarter.alias("at"), F.col("value").alias("price"))
     found = hours_of_eras(points, "at", "price", ["event_type"])
