@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 from hourmart.llm import mixing
+from tests.helpers import plan_of
 from tests.llm.helpers import CLASHES, frame_of, lowered, with_clashes, words_of
 from tests.llm.test_langid import corpus
 from tests.llm.test_simhash import components
@@ -77,6 +78,12 @@ def test_run_and_names(spark, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_encoding_and_decoding_share_no_step(spark):
+    """Two Python workers on each core took an executor's memory."""
+    coded = corpus_pipeline.pieces_stage(spark, frame_of(spark, rows_of()), "")
+    assert plan_of(coded).count("MapInArrow") == 1
+
+
 def test_empty_table(spark, tmp_path):
     frame_of(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
