@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,16 @@ from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts,
 
 #: Words whose counts are sent to all tasks, at most; all other words are joined by shuffle.
 SENT_WORDS = 262_144
-#: The most frequent words are units of their own in the class model; the others are
-#: units by their last two characters, the most frequent endings at least.
+#: Units whose classes are found first: the most frequent words, and the others by their
+#: last two characters, the most frequent endings at least.  From its unit's class every
+#: other word then moves to a class of its own choice.
 UNIT_WORDS, UNIT_ENDINGS = 2_048, 512
 ENDING_CHARS = 2
 CLASSES = 48
 ROUNDS = 10
-#: Added counts: of a word inside its unit, and of a class after another class.
+#: Shares of the moving words, those that gain most, until the likelihood rises.
+MOVING = (1.0, 0.25, 0.0625)
+#: Added counts: of a word inside its class, and of a class after another class.
 WORD_SHARE = 0.5
 CLASS_SHARE = 5.0
 #: Fixed units.  Their classes are fixed as well, under the same numbers.
@@ -29,6 +34,8 @@ BEGIN, END, OTHER = 0, 1, 2
 FIRST_UNIT = 3
 #: Entries that a task holds before it hands them on.
 HELD = 500_000
+#: Neighbours of words that a task holds before it counts them and hands them on.
+HELD_NEIGHBOURS = 2_000_000
 
 
 # Counting
@@ -74,6 +81,10 @@ class Units:
     tokens: np.ndarray
     types: np.ndarray
 
+    def alone(self) -> int:
+        """How many words, the first of ``words``, are units of their own."""
+        return min(UNIT_WORDS, len(self.words))
+
     def index(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
 
@@ -331,53 +342,340 @@ def exchange_classes(pairs: DataFrame, size: int, scratch: Scratch, classes: int
     return assigned, table
 
 
+# Classes of all other words
+
+
+def move_values(
+    table: np.ndarray, old: np.ndarray, after: np.ndarray, before: np.ndarray, itself: np.ndarray
+) -> np.ndarray:
+    """Change of the likelihood, one row a word, if words that left ``old`` enter each class.
+
+    As ``exchange_gain`` (a row less its value at ``old``), for many words with few neighbours.
+    """
+    each, size = np.arange(len(old)), len(table)
+
+    def side(cells: np.ndarray, own: np.ndarray, other: np.ndarray) -> np.ndarray:
+        """Sum over the neighbours' classes; ``cells`` has the word's class first."""
+        word, to = np.nonzero(own)
+        n, left = own[word, to], old[word]
+        entry, home = np.arange(len(word)), to == left
+        x = cells[:, to].T.copy()
+        x[entry, left] -= n
+        x[home] -= other[word[home]]
+        x[entry[home], left[home]] -= itself[word[home]]
+        out = np.zeros((len(old), size))
+        if len(word):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            out[word[first]] = np.add.reduceat(_g(x + n[:, None]) - _g(x), first)
+        return out
+
+    corner = np.repeat(np.diag(table)[None, :], len(old), axis=0)
+    corner[each, old] -= after[each, old] + before[each, old] + itself
+    value = side(table, after, before) + side(table.T, before, after) + _g(corner)
+    value -= _g(corner + after) + _g(corner + before)
+    value += _g(corner + after + before + itself[:, None])
+    for margin, own in ((table.sum(axis=1), after), (table.sum(axis=0), before)):
+        n = own.sum(axis=1) + itself
+        rest = np.repeat(margin[None, :], len(old), axis=0)
+        rest[each, old] -= n
+        value -= _g(rest + n[:, None]) - _g(rest)
+    return value
+
+
+def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, number: int) -> DataFrame:
+    """(at, word, codes, n): classes of the neighbours of every word that is no unit of its own.
+
+    A sent word has its number ``at`` and no ``word``, any other -1.  Codes below
+    ``number`` are classes behind the word, then those before it; the last is the word itself.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((units.plain(), classes))
+    codes = 2 * number + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, kinds = shared.value
+        own = Units(*plain)
+        index, sent, alone = own.index(), len(own.words), own.alone()
+        others: dict[bytes, int] = {}
+        waiting: list[np.ndarray] = []
+
+        def emit() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            first = np.flatnonzero(np.diff(keys // codes, prepend=-1))
+            at = keys[first] // codes
+            names = list(others)
+            words = pa.array([None if i < sent else names[i - sent] for i in at.tolist()], pa.binary()).cast(pa.string())
+            offsets = pa.array(np.append(first, len(keys)).astype(np.int32))
+            waiting.clear()
+            others.clear()
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.where(at < sent, at, -1).astype(np.int32)),
+                    words,
+                    pa.ListArray.from_arrays(offsets, pa.array((keys % codes).astype(np.int16))),
+                    pa.ListArray.from_arrays(offsets, pa.array(n.astype(np.int64))),
+                ],
+                ["at", "word", "codes", "n"],
+            )
+
+        held = 0
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                line, kind = [np.array([-1])], [np.array([BEGIN])]
+                for at, words in _indexed(text, index):
+                    kind.append(kinds[_units_of(at, words, own)])
+                    for i in np.flatnonzero(at < 0).tolist():
+                        at[i] = others.setdefault(words[i], sent + len(others))
+                    line.append(at)
+                word = np.concatenate([*line, [-1]])
+                of = np.concatenate([*kind, [END]])
+                free = word >= alone
+                same = word[:-1] == word[1:]
+                right = word[:-1] * codes + np.where(same, 2 * number, of[1:])
+                left = word[1:] * codes + number + of[:-1]
+                waiting += [right[free[:-1]], left[free[1:] & ~same]]
+                held += len(waiting[-1]) + len(waiting[-2])
+                if held > HELD_NEIGHBOURS:
+                    yield emit()
+                    held = 0
+        if held:
+            yield emit()
+
+    found = map_arrow(texts.select("text"), run, "at int, word string, codes array<short>, n array<long>")
+    # Lists are joined behind the shuffle alone: before it, they hardly shrink.
+    return found.repartition("at", "word").groupBy("at", "word").agg(
+        F.flatten(F.collect_list("codes")).alias("codes"), F.flatten(F.collect_list("n")).alias("n")
+    )
+
+
+def word_moves(contexts: DataFrame, units: Units, classes: np.ndarray, table: np.ndarray) -> DataFrame:
+    """(at, word, n, old, into, gain): a word's count, its class, and the class to which moving it gains most."""
+    shared = contexts.sparkSession.sparkContext.broadcast((units.plain(), classes, table))
+    number = len(table)
+    codes = 2 * number + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, kinds, pairs = shared.value
+        own = Units(*plain)
+        for batch in batches:
+            size = batch.num_rows
+            at, words = batch.column("at").to_numpy(), batch.column("word").to_pylist()
+            unit = _units_of(at, [(w or "").encode() for w in words], own)
+            old = kinds[unit]
+            place = pc.list_parent_indices(batch.column("codes")).to_numpy() * codes
+            place = place + pc.list_flatten(batch.column("codes")).to_numpy()
+            n = pc.list_flatten(batch.column("n")).to_numpy()
+            found = np.bincount(place, weights=n, minlength=size * codes).reshape(size, codes)
+            after, before, itself = found[:, :number], found[:, number:-1], found[:, -1]
+            value = move_values(pairs, old, after, before, itself)
+            value[:, :OTHER] = -np.inf
+            into = np.argmax(value, axis=1)
+            each = np.arange(size)
+            gain = value[each, into] - value[each, old]
+            into, gain = (np.where(gain > 1e-9, x, y) for x, y in ((into, old), (gain, 0.0)))
+            count = (after.sum(axis=1) + itself).astype(np.int64)
+            columns = [pa.array(x) for x in (count, old.astype(np.int32), into.astype(np.int32), gain)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("at"), batch.column("word"), *columns], ["at", "word", "n", "old", "into", "gain"]
+            )
+
+    return map_arrow(contexts, run, "at int, word string, n long, old int, into int, gain double")
+
+
+def _lines(batch_texts: list[str | None], own: Units, word_class: np.ndarray, index: dict[bytes, int]) -> Iterator[tuple]:
+    """Of each text: sent words' numbers, all classes (-1: word not sent), and the other words with their places."""
+    for text in batch_texts:
+        ats, others, places = [], {}, []
+        for at, words in _indexed(text, index):
+            ats.append(at)
+            places += [others.setdefault(words[i], len(others)) for i in np.flatnonzero(at < 0).tolist()]
+        at = np.concatenate(ats) if ats else np.zeros(0, np.int64)
+        kind = np.full(len(at) + 2, -1, np.int64)
+        kind[0], kind[-1] = BEGIN, END
+        kind[1:-1][at >= 0] = word_class[at[at >= 0]]
+        yield at[at >= 0], kind, list(others), places
+
+
+_TAIL = "words array<struct<word: string, back: int>>, tail array<struct<k: int, left: int, right: int>>"
+
+
+def _tails(lines: list[tuple], own: Units, classes: np.ndarray) -> list[pa.ListArray]:
+    """Columns of the words not sent, with the class of their ending, and of each place of one with its neighbours' classes."""
+
+    def lists(sizes: list[int], *columns: tuple[str, pa.Array]) -> pa.ListArray:
+        offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([c for _, c in columns], [n for n, _ in columns]))
+
+    names = [w for _, _, words, _ in lines for w in words]
+    back = [int(classes[own.unit_of(w)]) for w in names]
+    spots = [np.flatnonzero(kind < 0) for _, kind, _, _ in lines]
+    left, right = (
+        np.concatenate([np.zeros(0, np.int64), *[x[1][at + d] for x, at in zip(lines, spots, strict=True)]]) for d in (-1, 1)
+    )
+    k = [i for x in lines for i in x[3]]
+    numbers = [pa.array(c, pa.int32()) for c in (k, left, right)]
+    return [
+        lists([len(x[2]) for x in lines], ("word", pa.array(names, pa.binary()).cast(pa.string())), ("back", pa.array(back, pa.int32()))),
+        lists([len(x[3]) for x in lines], *zip(("k", "left", "right"), numbers, strict=True)),
+    ]
+
+
+def _with_classes(rows: DataFrame, tail: DataFrame) -> DataFrame:
+    """Rows with ``found`` instead of ``words``: their classes and counts, joined by shuffle."""
+    each = rows.select("uid", F.posexplode("words").alias("k", "each"))
+    joined = each.join(tail, F.col("each.word") == F.col("word"), "left")
+    known = F.struct(
+        "k", F.coalesce("class", "each.back").alias("class"), F.coalesce("n", F.lit(0)).cast("long").alias("n")
+    )
+    found = joined.groupBy("uid").agg(F.sort_array(F.collect_list(known)).alias("found"))
+    return rows.drop("words").join(found, "uid", "left")
+
+
+def _tail_pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Of all places of words not sent: row, class and count; then row, left and right of their class pairs."""
+    tail, found = batch.column("tail"), batch.column("found")
+    row = pc.list_parent_indices(tail).to_numpy()
+    first = np.cumsum([0, *pc.fill_null(pc.list_value_length(found), 0).to_pylist()])
+    k, left, right = (pc.list_flatten(tail).field(c).to_numpy(zero_copy_only=False) for c in ("k", "left", "right"))
+    values = pc.list_flatten(found)
+    kind, n = (values.field(c).to_numpy(zero_copy_only=False)[first[row] + k] for c in ("class", "n"))
+    right = np.where(right < 0, np.append(kind[1:], -1)[: len(kind)], right)
+    known = left >= 0
+    return (
+        row, kind, n,
+        np.concatenate([row, row[known]]), np.concatenate([kind, left[known]]), np.concatenate([right, kind[known]]),
+    )
+
+
+def class_pairs(
+    texts: DataFrame, units: Units, classes: np.ndarray, word_class: np.ndarray, tail: DataFrame, number: int, scratch: Scratch
+) -> np.ndarray:
+    """The table of class pairs over all texts, every word with its own class."""
+    shared = texts.sparkSession.sparkContext.broadcast((units.plain(), classes, word_class))
+
+    def cells(table: np.ndarray) -> list[pa.Array]:
+        at = np.flatnonzero(table)
+        return [pa.array(at), pa.array(table[at].astype(np.int64))]
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, kinds, of = shared.value
+        own = Units(*plain)
+        index = own.index()
+        for batch in batches:
+            lines = list(_lines(batch.column("text").to_pylist(), own, of, index))
+            table = np.zeros(number * number)
+            for _, kind, _, _ in lines:
+                both = (kind[:-1] >= 0) & (kind[1:] >= 0)
+                table += np.bincount(kind[:-1][both] * number + kind[1:][both], minlength=number * number)
+            counts = [pa.array([c.tolist()] + [None] * (len(lines) - 1), pa.list_(pa.int64())) for c in cells(table)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("uid"), *_tails(lines, own, kinds), *counts], ["uid", "words", "tail", "cells", "times"]
+            )
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(number * number)
+        for batch in batches:
+            _, _, _, _, left, right = _tail_pairs(batch)
+            table += np.bincount(left.astype(np.int64) * number + right, minlength=number * number)
+        yield pa.RecordBatch.from_arrays(cells(table), ["cell", "n"])
+
+    rows = texts.select("text").withColumn("uid", F.monotonically_increasing_id())
+    rows = scratch.store(map_arrow(rows, known, f"uid long, {_TAIL}, cells array<long>, times array<long>"), "lines")
+    others = _with_classes(rows.select("uid", "words", "tail").where(F.size("tail") > 0), tail)
+    sure = rows.select(F.explode(F.arrays_zip("cells", "times")).alias("x")).select("x.cells", "x.times")
+    out = np.zeros(number * number)
+    counted = sure.union(map_arrow(others.select("tail", "found"), joined, "cell long, n long")).toDF("cell", "n")
+    for cell, n in counted.groupBy("cell").agg(F.sum("n")).collect():
+        out[cell] = n
+    scratch.drop("lines")
+    return out.reshape(number, number)
+
+
+def place_words(
+    texts: DataFrame, units: Units, classes: np.ndarray, table: np.ndarray, scratch: Scratch
+) -> tuple[np.ndarray, DataFrame, np.ndarray]:
+    """Classes of the sent words, (word, n, class) of all others, and the table of class pairs.
+
+    Every word that is no unit of its own starts in its unit's class, and its gain in each
+    class is computed exactly from all its neighbours.  All that gain move at once; if the
+    likelihood does not rise, only those that gain most do, in the end none.
+    """
+    contexts = word_contexts(texts, units, classes, len(table))
+    moves = scratch.store(word_moves(contexts, units, classes, table), "moves")
+    sent, start = moves.where("at >= 0"), likelihood(table)
+    gains = moves.where("gain > 0")
+    for share in (*MOVING, 0.0):
+        least = math.inf
+        if share:
+            least = gains.agg(F.percentile_approx("gain", 1.0 - share, 10_000)).first()[0] if share < 1 else 0.0
+        if least is None:
+            continue
+        moved = F.when((F.col("gain") > 0) & (F.col("gain") >= F.lit(least)), F.col("into")).otherwise(F.col("old"))
+        word_class = classes[units.word_unit] if len(units.words) else np.zeros(0, np.int64)
+        own = sent.where(moved != F.col("old")).select("at", moved.alias("class")).toArrow()
+        word_class[own["at"].to_numpy()] = own["class"].to_numpy()
+        tail = moves.where("at < 0").select("word", "n", moved.alias("class"))
+        if not share:
+            return word_class, tail, table
+        found = class_pairs(texts, units, classes, word_class, tail, len(table), scratch)
+        if likelihood(found) > start:
+            return word_class, tail, found
+    raise AssertionError("the last share is none")
+
+
 # The model
 
 
 @dataclass
 class BrownModel:
-    """log10 probabilities: class after class, sent words and rare words of each unit."""
+    """log10 probabilities: class after class, sent words in their class; ``mass`` divides others' counts."""
 
     units: Units
     classes: np.ndarray
     after: np.ndarray
+    word_class: np.ndarray
     word: np.ndarray
-    rare: np.ndarray
-    end: float
+    mass: np.ndarray
     known: np.ndarray
-    total: float
 
     def plain(self) -> tuple:
-        return (self.units.plain(), self.classes, self.after, self.word, self.rare, self.end, self.known, self.total)
+        return (self.units.plain(), self.classes, self.after, self.word_class, self.word, self.mass, self.known)
 
 
-def build_model(units: Units, classes: np.ndarray, table: np.ndarray, total: float) -> BrownModel:
-    """Smoothed probabilities.
+def build_model(
+    units: Units,
+    classes: np.ndarray,
+    table: np.ndarray,
+    total: float,
+    word_class: np.ndarray | None = None,
+    others: np.ndarray | None = None,
+) -> BrownModel:
+    """Smoothed probabilities, of classes of the sent words and numbers of other words by class.
 
     A class follows another by its relative count there, mixed with its overall share.
-    A unit has its share of its class, every unit with one count added.  A word that is
-    no unit itself has its share of its unit, where each word, and one unknown word,
-    gets ``WORD_SHARE`` added.
+    A word has its share of its class, where each word, and one unknown word, gets
+    ``WORD_SHARE`` added.  The end is alone in its class.
     """
     share = (table.sum(axis=0) + 1.0) / (table.sum() + len(table))
     after = (table + CLASS_SHARE * share[None, :]) / (table.sum(axis=1, keepdims=True) + CLASS_SHARE)
-    size = np.bincount(classes, minlength=len(table))
-    mass = np.bincount(classes, weights=units.tokens, minlength=len(table))
-    unit = np.log10((units.tokens + 1.0) / (mass + size)[classes])
-    rare = unit - np.log10(units.tokens + WORD_SHARE * (units.types + 1.0))
-    own = units.word_unit < FIRST_UNIT + min(UNIT_WORDS, len(units.words))
-    own &= units.word_unit >= FIRST_UNIT
-    word = np.where(own, unit[units.word_unit], rare[units.word_unit] + np.log10(units.counts + WORD_SHARE))
-    return BrownModel(units, classes, np.log10(after), word, rare, float(unit[END]), np.log10(units.counts + 1.0), total)
-
-
-def learn(texts: DataFrame, counts: DataFrame, scratch: Scratch) -> BrownModel:
-    """Cluster and count over all training texts, given their word counts."""
+    if word_class is None:
+        word_class = classes[units.word_unit]
+    types = np.bincount(word_class, minlength=len(table)) + (0 if others is None else others)
+    mass = np.log10(table.sum(axis=0) + WORD_SHARE * (types + 1.0))
+    word = np.log10(units.counts + WORD_SHARE) - mass[word_class]
+    return BrownModel(units, classes, np.log10(after), word_class, word, mass, np.log10(units.counts + 1.0))
+
+
+def learn(texts: DataFrame, counts: DataFrame, scratch: Scratch) -> tuple[BrownModel, DataFrame]:
+    """Cluster and count over all training texts, given their word counts; also (word, n, class) of words not sent."""
     units = choose_units(counts, scratch)
     pairs = scratch.store(unit_pairs(texts, units), "pairs")
-    classes, table = exchange_classes(pairs, units.size(), scratch)
+    classes, table = exchange_classes(pairs, units.size(), scratch, CLASSES)
     scratch.drop("pairs")
-    return build_model(units, classes, table, float(units.tokens.sum()))
+    word_class, tail, table = place_words(texts, units, classes, table, scratch)
+    others = np.zeros(len(table))
+    for kind, n in tail.groupBy("class").count().collect():
+        others[kind] = n
+    return build_model(units, classes, table, float(units.tokens.sum()), word_class, others), tail
 
 
 def score(
@@ -391,10 +689,12 @@ def score(
 
     Tokens are words after lower-casing A-Z, then an end.  Words are counted over all
     training texts.  The most frequent words, and the endings of the others, are
-    assigned to classes by exchange clustering over all their neighbouring pairs; a text's
-    probability is the product of class transitions and emissions of words.  The
-    counts of a bounded number of frequent words are sent to all tasks; each text's
-    other words are joined with their counts by shuffle and summed per text.
+    assigned to classes by exchange clustering over all their neighbouring pairs; then
+    every other word moves to the class that its own neighbours favour.  A text's
+    probability is the product of class transitions and emissions of words; an unknown
+    word has the class of its ending.  The counts and classes of a bounded number of
+    frequent words are sent to all tasks; each text's other words are joined with theirs
+    by shuffle.
 
     A null or blank text is the end alone.  Without training texts every word is
     unknown.  Repeated rows get equal results; an empty table gives no rows; input
@@ -405,69 +705,55 @@ def score(
     texts = training.select(F.col(f"`{text_col}`").alias("text"))
     counts = scratch.store(count_words(texts), "counts")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    model = learn(texts, counts, scratch)
+    model, tail = learn(texts, counts, scratch)
     shared = spark.sparkContext.broadcast(model.plain())
     rows, texts_in, names = with_texts(docs, text_col, keep)
     rows = rows.withColumn("uid", F.monotonically_increasing_id())
-    rare_type = pa.struct([("word", pa.string()), ("times", pa.int32())])
 
-    def one(text: str | None, own: BrownModel, index: dict[bytes, int]) -> tuple:
-        """Tokens, known ones, sums for counts and model, and the words left to join."""
-        units = own.units
-        n, known, base, total, rare = 0, 0, 0.0, 0.0, Counter()
-        last = own.classes[BEGIN]
-        for at, words in _indexed(text, index):
-            unit = _units_of(at, words, units)
-            line = own.classes[unit]
-            total += own.after[last, line[0]] + own.after[line[:-1], line[1:]].sum() if len(line) else 0.0
-            last = line[-1] if len(line) else last
-            sent = at >= 0
-            total += own.word[at[sent]].sum() + own.rare[unit[~sent]].sum()
-            base += own.known[at[sent]].sum()
-            known += int(sent.sum())
-            n += len(at)
-            rare.update(words[i] for i in np.flatnonzero(~sent).tolist())
-        total += own.after[last, END] + own.end
-        ends = units.tokens[END]
-        return n + 1, known + int(ends > 0), base + np.log10(ends + 1.0), total, rare
+    def opened() -> BrownModel:
+        plain, *rest = shared.value
+        return BrownModel(Units(*plain), *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, *rest = shared.value
-        own = BrownModel(Units(*plain), *rest)
-        index = own.units.index()
+        own = opened()
+        index, ends = own.units.index(), own.units.tokens[END]
         for batch in batches:
-            found = [one(t, own, index) for t in texts_in(batch)]
-            columns = list(zip(*found, strict=True)) or [[]] * 5
-            sizes = np.cumsum([0, *map(len, columns[4])]).astype(np.int32)
-            words = pa.array([w for r in columns[4] for w in r], pa.binary()).cast(pa.string())
-            times = pa.array([k for r in columns[4] for k in r.values()], pa.int32())
-            rare = pa.ListArray.from_arrays(
-                pa.array(sizes), pa.StructArray.from_arrays([words, times], fields=list(rare_type))
-            )
+            lines = list(_lines(texts_in(batch), own.units, own.word_class, index))
+            found = []
+            for at, kind, _, _ in lines:
+                both = (kind[:-1] >= 0) & (kind[1:] >= 0)
+                total = own.after[kind[:-1][both], kind[1:][both]].sum() + own.word[at].sum()
+                base = own.known[at].sum() + np.log10(ends + 1.0)
+                found.append((len(kind) - 1, len(at) + int(ends > 0), base, total))
+            columns = list(zip(*found, strict=True)) or [[]] * 4
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            numbers = [pa.array(c, t) for c, t in zip(columns[:4], kinds, strict=True)]
+            numbers = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("uid"), batch.column("row"), *numbers, *_tails(lines, own.units, own.classes)],
+                ["uid", "row", "n_tokens", "known", "base", "total", "words", "tail"],
+            )
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = opened()
+        for batch in batches:
+            row, kind, n, at, left, right = _tail_pairs(batch)
+            size = batch.num_rows
+            total = np.bincount(row, np.log10(n + WORD_SHARE) - own.mass[kind], size)
+            total += np.bincount(at, own.after[left, right], size)
+            base = np.bincount(row, np.log10(n + 1.0), size)
+            more = [np.bincount(row, n > 0, size).astype(np.int64), base, total]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("row"), *numbers, rare],
-                ["uid", "row", "n_tokens", "known", "base", "total", "rare"],
+                [batch.column("uid"), *map(pa.array, more)], ["uid", "more_known", "more_base", "more_total"]
             )
 
     schema = (
         f"uid long, row {rows.schema['row'].dataType.simpleString()}, n_tokens long, known long, "
-        "base double, total double, rare array<struct<word: string, times: int>>"
-    )
-    scored = map_arrow(rows, run, schema)
-    scored = scratch.store(scored, "scored")
-
-    times = F.col("each.times")
-    joined = scored.select("uid", F.explode("rare").alias("each")).join(
-        counts.withColumnRenamed("n", "count"), F.col("each.word") == F.col("word"), "left"
-    )
-    count = F.coalesce("count", F.lit(0))
-    sums = joined.groupBy("uid").agg(
-        F.sum(F.when(count > 0, times).otherwise(0)).alias("more_known"),
-        F.sum(times * F.log10(count + 1.0)).alias("more_base"),
-        F.sum(times * F.log10(count + WORD_SHARE)).alias("more_total"),
+        f"base double, total double, {_TAIL}"
     )
+    scored = scratch.store(map_arrow(rows, run, schema), "scored")
+    others = _with_classes(scored.select("uid", "words", "tail").where(F.size("tail") > 0), tail)
+    sums = map_arrow(others, added, "uid long, more_known long, more_base double, more_total double")
+    scored = scored.drop("words", "tail")
     zero = F.lit(0.0)
     n_tokens = F.col("n_tokens")
     value = F.col("total") + F.coalesce("more_total", zero)

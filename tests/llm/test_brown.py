@@ -83,6 +83,90 @@ def test_clusters_split_the_kinds_and_probabilities_sum_to_one(spark):
     assert np.allclose((10**model.after).sum(axis=1), 1.0)
 
 
+def test_move_values_are_exchange_gains_of_many_words():
+    rng = np.random.RandomState(5)
+    units, classes = 40, 5
+    pairs = rng.poisson(0.4, size=(units, units)).astype(float)
+    kind = rng.randint(0, classes, size=units)
+    table = np.zeros((classes, classes))
+    np.add.at(table, (kind[:, None].repeat(units, 1), kind[None, :].repeat(units, 0)), pairs)
+    apart = pairs * (1 - np.eye(units))
+    of = np.eye(classes)[kind]
+    after, before, itself = apart @ of, apart.T @ of, np.diag(pairs)
+    value = brown.move_values(table, kind, after, before, itself)
+    for u in range(units):
+        want = brown.exchange_gain(table, kind[u], after[u], before[u], itself[u])
+        assert value[u] - value[u, kind[u]] == pytest.approx(want, abs=1e-8)
+
+
+def rare_rows():
+    """Rare words, all of one ending, of two kinds that only their neighbours tell apart."""
+    rng = random.Random(7)
+    texts = []
+    for i in range(120):
+        line = [rng.choice("red blue green pink".split()) if k % 2 else rng.choice("cat dog owl fox".split()) for k in range(20)]
+        line[2 * (i % 5) + 2], line[2 * (i % 5) + 7] = f"n{i % 30}xx", f"a{i % 30}xx"
+        texts.append((i, " ".join(line), None, "s", 0))
+    return texts
+
+
+@pytest.mark.parametrize("sent", [8, 40, 262_144])
+def test_every_word_gets_the_class_of_its_neighbours(spark, monkeypatch, sent):
+    """Also words that are no units of their own: by ending, all of these would share a class."""
+    monkeypatch.setattr(brown, "SENT_WORDS", sent)
+    monkeypatch.setattr(brown, "UNIT_WORDS", 8)
+    monkeypatch.setattr(brown, "CLASSES", 4)
+    frame = frame_of(spark, rare_rows()).select("text")
+    scratch = Scratch(spark, "test")
+    counts = scratch.store(brown.count_words(frame), "counts")
+    model, tail = brown.learn(frame, counts, scratch)
+    kind = {w.decode(): int(c) for w, c in zip(model.units.words, model.word_class, strict=True)}
+    rest = {r["word"]: r for r in tail.collect()}
+    kind |= {w: r["class"] for w, r in rest.items()}
+    words = Counter(w for r in rare_rows() for w in words_of(r[1]))
+    assert set(kind) == set(words)
+    assert all(r["n"] == words[w] for w, r in rest.items())
+    assert not {kind[f"n{i}xx"] for i in range(30)} & {kind[f"a{i}xx"] for i in range(30)}
+
+
+@pytest.mark.parametrize("sent", [2, 30, 262_144])
+def test_scores_equal_a_plain_walk_over_the_model(spark, monkeypatch, sent):
+    """Runs of words that are joined by shuffle, known or not, beside words that tasks know."""
+    monkeypatch.setattr(brown, "SENT_WORDS", sent)
+    monkeypatch.setattr(brown, "UNIT_WORDS", 10)
+    learned = []
+    learn = brown.learn
+    monkeypatch.setattr(brown, "learn", lambda *a: learned.append(learn(*a)) or learned[-1])
+    rows = [*rare_rows(), *awkward_rows(), (900, "new cat newer newest", None, "s", 0), (901, "only only n1xx", None, "s", 0)]
+    rows.append((99, "n2xx a3xx a3xx n4xx once cat", None, "s", 0))
+    frame = frame_of(spark, rows).repartition(3)
+    training = frame.where("doc_id < 100")
+    found = brown.score(frame, training).collect()
+    model, tail = learned[0]
+    assert len(found) == len(rows)
+    rest = {r["word"]: (r["class"], r["n"]) for r in tail.collect()}
+    number = len(model.after)
+    table = np.zeros((number, number))
+    kind = {w.decode(): int(c) for w, c in zip(model.units.words, model.word_class, strict=True)}
+    kind |= {w: c for w, (c, _) in rest.items()}
+    train = [words_of(lowered(r[1])) for r in rows if r[0] is not None and r[0] < 100]
+    for words in train:
+        line = [brown.BEGIN, *(kind[w] for w in words), brown.END]
+        for a, b in zip(line, line[1:], strict=False):
+            table[a, b] += 1
+    n = Counter(w for words in train for w in words)
+    mass = table.sum(axis=0) + brown.WORD_SHARE * (np.bincount([kind[w] for w in n], minlength=number) + 1)
+    share = (table.sum(axis=0) + 1) / (table.sum() + number)
+    after = (table + brown.CLASS_SHARE * share) / (table.sum(axis=1, keepdims=True) + brown.CLASS_SHARE)
+    for r in found:
+        words = words_of(lowered(r["text"]))
+        of = [kind.get(w, int(model.classes[model.units.unit_of(w.encode())])) for w in words]
+        line = [brown.BEGIN, *of, brown.END]
+        want = sum(math.log10(after[a, b]) for a, b in zip(line, line[1:], strict=False))
+        want += sum(math.log10((n[w] + brown.WORD_SHARE) / mass[c]) for w, c in zip(words, of, strict=True))
+        assert r["score"] == pytest.approx(want, rel=1e-9)
+
+
 def test_empty(spark):
     none = frame_of(spark, [])
     assert brown.score(none, none).collect() == []
