@@ -16,6 +16,9 @@ from hourmart.session import prepare, remove_folder, work_folder
 SPACES = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
 
+#: Bits that mark keys: of each key, about, and at most, as a power of two.
+KEY_BITS, MOST_BITS = 16, 27
+
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -112,6 +115,31 @@ def word_blocks(data: bytes, step: int = 1 << 20) -> Iterator[list[bytes]]:
         start = end
 
 
+def marked_keys(frame: DataFrame, keys: dict[str, str], wanted: DataFrame) -> DataFrame:
+    """Add ``likely`` to all rows: false only where ``wanted``, which is stored, lacks the row's key.
+
+    ``keys`` names the key's columns in ``frame`` and ``wanted``.  One bit for each hash of
+    a key, of bounded size in all, goes to the tasks, so wide rows can be told before
+    they are shuffled; an exact join has to follow.
+    """
+    size = 1 << min(MOST_BITS, max(15, (KEY_BITS * wanted.count()).bit_length()))
+
+    def slot(names: Iterable[str]) -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(size)) + 1
+
+    slots = wanted.select(slot(keys.values()).alias("slot"))
+    bits = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+    joined = frame.withColumn("slot", slot(keys)).join(
+        F.broadcast(bits), F.bitmap_bucket_number("slot") == F.col("bucket"), "left"
+    )
+    place = F.bitmap_bit_position("slot")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(1)
+    return joined.withColumn("likely", F.coalesce(bit == 1, F.lit(False))).drop("slot", "bucket", "bits")
+
+
 def global_rank(frame: DataFrame, order: list[Column], scratch: Scratch, name: str) -> DataFrame:
     """Add ``rank`` (from 0) in a total order, without a window over all rows.
 
