@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts, word_blocks
+from hourmart.llm.common import Scratch, map_arrow, tuned, unpacked, with_texts
 
 #: Words whose counts are sent to all tasks, at most; all other words are joined by shuffle.
 SENT_WORDS = 262_144
@@ -34,33 +33,44 @@ BEGIN, END, OTHER = 0, 1, 2
 FIRST_UNIT = 3
 #: Entries that a task holds before it hands them on.
 HELD = 500_000
-#: Neighbours of words that a task holds before it counts them and hands them on.
-HELD_NEIGHBOURS = 2_000_000
+#: Words that a task holds before it counts them, or their neighbours, and hands these on.
+HELD_WORDS = 2_000_000
+#: Rows of words' neighbours that a task reads at once, about.
+CONTEXT_ROWS = 16_384
 
 
 # Counting
 
 
+def _words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in order, A-Z lower-cased, and the number of each text's words."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    # White space at a text's ends leaves empty strings there.
+    filled = pc.greater(pc.binary_length(words), 0)
+    of = pc.list_parent_indices(lists).filter(filled).to_numpy()
+    return words.filter(filled), np.bincount(of, minlength=len(texts))
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n) of a task's texts; a null word is the end of a text."""
-    found: Counter = Counter()
-    ends = 0
+    held: list[pa.Array] = []
+    size = ends = 0
 
     def emit() -> pa.RecordBatch:
-        words = pa.array([*found, None], pa.binary()).cast(pa.string())
-        counts = pa.array([*found.values(), ends], pa.int64())
+        found = pa.concat_arrays(held).value_counts()
+        held.clear()
+        words = pa.concat_arrays([found.field("values"), pa.nulls(1, pa.string())])
+        counts = pa.concat_arrays([found.field("counts"), pa.array([ends], pa.int64())])
         return pa.RecordBatch.from_arrays([words, counts], ["word", "n"])
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            ends += 1
-            for words in word_blocks((text or "").encode().lower()):
-                found.update(words)
-            if len(found) > HELD:
-                yield emit()
-                found.clear()
-                ends = 0
-    if ends or found:
+        held.append(_words_of(batch.column("text"))[0])
+        size, ends = size + len(held[-1]), ends + batch.num_rows
+        if size > HELD_WORDS:
+            yield emit()
+            size = ends = 0
+    if ends:
         yield emit()
 
 
@@ -85,12 +95,18 @@ class Units:
         """How many words, the first of ``words``, are units of their own."""
         return min(UNIT_WORDS, len(self.words))
 
-    def index(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
+    def index(self) -> pa.Array:
+        return pa.array(self.words, pa.binary()).cast(pa.string())
 
     def unit_of(self, word: bytes) -> int:
         return self.endings.get(word.decode()[-ENDING_CHARS:], OTHER)
 
+    def units_of(self, words: pa.Array) -> np.ndarray:
+        """``unit_of`` of many words."""
+        ends = pc.utf8_slice_codeunits(words, start=-ENDING_CHARS)
+        at = pc.index_in(ends, value_set=pa.array(list(self.endings), pa.string()))
+        return np.array([*self.endings.values(), OTHER], np.int64)[at.fill_null(-1).to_numpy()]
+
     def size(self) -> int:
         return len(self.tokens)
 
@@ -141,18 +157,42 @@ def choose_units(counts: DataFrame, scratch: Scratch) -> Units:
     return out
 
 
-def _indexed(text: str | None, index: dict[bytes, int]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Numbers of a text's words (-1: not sent) and the words themselves, in bounded blocks."""
-    get = index.get
-    for words in word_blocks((text or "").encode().lower()):
-        yield np.fromiter((get(w, -1) for w in words), np.int64, len(words)), words
+@dataclass
+class Lines:
+    """A batch of texts as one line, each with its begin and end.
 
+    ``row`` is the text of every place, ``place`` where the words are, and ``at`` their
+    numbers (-1: not sent); ``others`` are the words not sent.
+    """
 
-def _units_of(at: np.ndarray, words: list[bytes], units: Units) -> np.ndarray:
-    out = units.word_unit[at] if len(units.word_unit) else np.zeros(len(at), np.int64)
-    for i in np.flatnonzero(at < 0).tolist():
-        out[i] = units.unit_of(words[i])
-    return out
+    rows: int
+    row: np.ndarray
+    place: np.ndarray
+    at: np.ndarray
+    others: pa.Array
+
+    def filled(self, known: np.ndarray, others: np.ndarray | int, begin: int = BEGIN, end: int = END) -> np.ndarray:
+        """Numbers of all places: ``known`` of the sent words, ``others`` of those not sent."""
+        out = np.full(len(self.row), end, np.int64)
+        out[np.flatnonzero(np.diff(self.row, prepend=-1))] = begin
+        of = np.empty(len(self.at), np.int64)
+        sent = self.at >= 0
+        of[sent], of[~sent] = known[self.at[sent]], others
+        out[self.place] = of
+        return out
+
+
+def _lines_of(texts: pa.Array, index: pa.Array) -> Lines:
+    words, sizes = _words_of(texts)
+    at = pc.index_in(words, value_set=index).fill_null(-1).to_numpy()
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    return Lines(
+        len(sizes),
+        np.repeat(np.arange(len(sizes)), sizes + 2),
+        np.arange(len(at)) + 2 * text + 1,
+        at,
+        words.filter(pa.array(at < 0)),
+    )
 
 
 def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
@@ -185,18 +225,14 @@ def unit_pairs(texts: DataFrame, units: Units) -> DataFrame:
             )
 
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                last = BEGIN
-                for at, words in _indexed(text, index):
-                    line = np.concatenate([[last], _units_of(at, words, own)])
-                    waiting.append(line[:-1] * size + line[1:])
-                    held += len(at)
-                    last = int(line[-1])
-                waiting.append(np.array([last * size + END]))
-                held += 1
-                if held > HELD:
-                    gathered()
-                    held = 0
+            lines = _lines_of(batch.column("text"), index)
+            line = lines.filled(own.word_unit, own.units_of(lines.others))
+            inner = line[:-1] != END
+            waiting.append(line[:-1][inner] * size + line[1:][inner])
+            held += len(waiting[-1])
+            if held > HELD:
+                gathered()
+                held = 0
             if sum(len(k) for k, _ in parts) > 8 * HELD:
                 yield emit()
         if waiting:
@@ -387,6 +423,7 @@ def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, number: i
 
     A sent word has its number ``at`` and no ``word``, any other -1.  Codes below
     ``number`` are classes behind the word, then those before it; the last is the word itself.
+    A word has one or more rows, which follow each other in one partition.
     """
     shared = texts.sparkSession.sparkContext.broadcast((units.plain(), classes))
     codes = 2 * number + 1
@@ -395,18 +432,29 @@ def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, number: i
         plain, kinds = shared.value
         own = Units(*plain)
         index, sent, alone = own.index(), len(own.words), own.alone()
-        others: dict[bytes, int] = {}
-        waiting: list[np.ndarray] = []
+        known = kinds[own.word_unit]
+        held: list[Lines] = []
 
         def emit() -> pa.RecordBatch:
+            names = pa.concat_arrays([x.others for x in held]).dictionary_encode()
+            others = sent + names.indices.to_numpy().astype(np.int64)
+            waiting, first = [], 0
+            for x in held:
+                mine = others[first : first + len(x.others)]
+                first += len(x.others)
+                word = x.filled(np.arange(sent), mine, -1, -1)
+                of = x.filled(known, kinds[own.units_of(x.others)])
+                free = word >= alone
+                same = (word[:-1] == word[1:]) & free[1:]
+                right = word[:-1] * codes + np.where(same, 2 * number, of[1:])
+                left = word[1:] * codes + number + of[:-1]
+                waiting += [right[free[:-1]], left[free[1:] & ~same]]
+            held.clear()
             keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             first = np.flatnonzero(np.diff(keys // codes, prepend=-1))
             at = keys[first] // codes
-            names = list(others)
-            words = pa.array([None if i < sent else names[i - sent] for i in at.tolist()], pa.binary()).cast(pa.string())
+            words = names.dictionary.take(pa.array(np.where(at < sent, 0, at - sent), mask=at < sent))
             offsets = pa.array(np.append(first, len(keys)).astype(np.int32))
-            waiting.clear()
-            others.clear()
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(at < sent, at, -1).astype(np.int32)),
@@ -417,34 +465,45 @@ def word_contexts(texts: DataFrame, units: Units, classes: np.ndarray, number: i
                 ["at", "word", "codes", "n"],
             )
 
-        held = 0
+        size = 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                line, kind = [np.array([-1])], [np.array([BEGIN])]
-                for at, words in _indexed(text, index):
-                    kind.append(kinds[_units_of(at, words, own)])
-                    for i in np.flatnonzero(at < 0).tolist():
-                        at[i] = others.setdefault(words[i], sent + len(others))
-                    line.append(at)
-                word = np.concatenate([*line, [-1]])
-                of = np.concatenate([*kind, [END]])
-                free = word >= alone
-                same = word[:-1] == word[1:]
-                right = word[:-1] * codes + np.where(same, 2 * number, of[1:])
-                left = word[1:] * codes + number + of[:-1]
-                waiting += [right[free[:-1]], left[free[1:] & ~same]]
-                held += len(waiting[-1]) + len(waiting[-2])
-                if held > HELD_NEIGHBOURS:
-                    yield emit()
-                    held = 0
+            held.append(_lines_of(batch.column("text"), index))
+            size += len(held[-1].at)
+            if size > HELD_WORDS:
+                yield emit()
+                size = 0
         if held:
             yield emit()
 
     found = map_arrow(texts.select("text"), run, "at int, word string, codes array<short>, n array<long>")
-    # Lists are joined behind the shuffle alone: before it, they hardly shrink.
-    return found.repartition("at", "word").groupBy("at", "word").agg(
-        F.flatten(F.collect_list("codes")).alias("codes"), F.flatten(F.collect_list("n")).alias("n")
-    )
+    return found.repartition("at", "word").sortWithinPartitions("at", "word")
+
+
+def _whole_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows of whole words, and where each word's rows begin."""
+
+    def begins(rows: pa.Table) -> np.ndarray:
+        at, word = rows["at"].to_numpy(), rows["word"].combine_chunks()
+        other = pc.not_equal(word.slice(1), word.slice(0, max(0, len(word) - 1))).fill_null(False)
+        return np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | other.to_numpy(zero_copy_only=False)))
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size > CONTEXT_ROWS:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            first = begins(rows)
+            # The last word may go on.
+            if len(first) > 1:
+                yield rows.slice(0, first[-1]), first[:-1]
+            held = rows.slice(first[-1]).to_batches()
+            size = len(rows) - first[-1] if len(first) > 1 else 0
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, begins(rows)
 
 
 def word_moves(contexts: DataFrame, units: Units, classes: np.ndarray, table: np.ndarray) -> DataFrame:
@@ -456,67 +515,62 @@ def word_moves(contexts: DataFrame, units: Units, classes: np.ndarray, table: np
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plain, kinds, pairs = shared.value
         own = Units(*plain)
-        for batch in batches:
-            size = batch.num_rows
-            at, words = batch.column("at").to_numpy(), batch.column("word").to_pylist()
-            unit = _units_of(at, [(w or "").encode() for w in words], own)
-            old = kinds[unit]
-            place = pc.list_parent_indices(batch.column("codes")).to_numpy() * codes
-            place = place + pc.list_flatten(batch.column("codes")).to_numpy()
-            n = pc.list_flatten(batch.column("n")).to_numpy()
+        once, once_gain = np.full(number**3, -1, np.int64), np.zeros(number**3)
+        for rows, first in _whole_words(batches):
+            size = len(first)
+            at, words = (rows[c].combine_chunks().take(pa.array(first)) for c in ("at", "word"))
+            sent = at.to_numpy()
+            ending = own.units_of(words.fill_null(""))
+            old = kinds[np.where(sent >= 0, own.word_unit[sent], ending) if len(own.word_unit) else ending]
+            word = np.repeat(np.arange(size), np.diff(np.append(first, len(rows))))
+            lists = rows["codes"].combine_chunks()
+            place = word[pc.list_parent_indices(lists).to_numpy()] * codes + pc.list_flatten(lists).to_numpy()
+            n = pc.list_flatten(rows["n"].combine_chunks()).to_numpy()
             found = np.bincount(place, weights=n, minlength=size * codes).reshape(size, codes)
             after, before, itself = found[:, :number], found[:, number:-1], found[:, -1]
-            value = move_values(pairs, old, after, before, itself)
-            value[:, :OTHER] = -np.inf
-            into = np.argmax(value, axis=1)
-            each = np.arange(size)
-            gain = value[each, into] - value[each, old]
-            into, gain = (np.where(gain > 1e-9, x, y) for x, y in ((into, old), (gain, 0.0)))
             count = (after.sum(axis=1) + itself).astype(np.int64)
-            columns = [pa.array(x) for x in (count, old.astype(np.int32), into.astype(np.int32), gain)]
+            # Of words that occur once with the same three classes, one is computed.
+            key = (old * number + after.argmax(axis=1)) * number + before.argmax(axis=1)
+            single = np.flatnonzero(count == 1)
+            new = single[np.unique(key[single], return_index=True)[1]]
+            new = new[once[key[new]] < 0]
+            some = np.append(np.flatnonzero(count != 1), new)
+            value = move_values(pairs, old[some], after[some], before[some], itself[some])
+            value[:, :OTHER] = -np.inf
+            into, gain = old.copy(), np.zeros(size)
+            best, each = np.argmax(value, axis=1), np.arange(len(some))
+            more = value[each, best] - value[each, old[some]]
+            into[some], gain[some] = (np.where(more > 1e-9, x, y) for x, y in ((best, old[some]), (more, 0.0)))
+            once[key[new]], once_gain[key[new]] = into[new], gain[new]
+            into[single], gain[single] = once[key[single]], once_gain[key[single]]
+            into = into.astype(np.int32)
+            columns = [pa.array(x) for x in (count, old.astype(np.int32), into, gain)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("at"), batch.column("word"), *columns], ["at", "word", "n", "old", "into", "gain"]
+                [at, words, *columns], ["at", "word", "n", "old", "into", "gain"]
             )
 
     return map_arrow(contexts, run, "at int, word string, n long, old int, into int, gain double")
 
 
-def _lines(batch_texts: list[str | None], own: Units, word_class: np.ndarray, index: dict[bytes, int]) -> Iterator[tuple]:
-    """Of each text: sent words' numbers, all classes (-1: word not sent), and the other words with their places."""
-    for text in batch_texts:
-        ats, others, places = [], {}, []
-        for at, words in _indexed(text, index):
-            ats.append(at)
-            places += [others.setdefault(words[i], len(others)) for i in np.flatnonzero(at < 0).tolist()]
-        at = np.concatenate(ats) if ats else np.zeros(0, np.int64)
-        kind = np.full(len(at) + 2, -1, np.int64)
-        kind[0], kind[-1] = BEGIN, END
-        kind[1:-1][at >= 0] = word_class[at[at >= 0]]
-        yield at[at >= 0], kind, list(others), places
-
-
 _TAIL = "words array<struct<word: string, back: int>>, tail array<struct<k: int, left: int, right: int>>"
 
 
-def _tails(lines: list[tuple], own: Units, classes: np.ndarray) -> list[pa.ListArray]:
+def _tails(lines: Lines, kind: np.ndarray, own: Units, classes: np.ndarray) -> list[pa.ListArray]:
     """Columns of the words not sent, with the class of their ending, and of each place of one with its neighbours' classes."""
 
-    def lists(sizes: list[int], *columns: tuple[str, pa.Array]) -> pa.ListArray:
-        offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([c for _, c in columns], [n for n, _ in columns]))
+    def lists(of: np.ndarray, **columns: pa.Array) -> pa.ListArray:
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(of, minlength=lines.rows))).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(list(columns.values()), list(columns)))
 
-    names = [w for _, _, words, _ in lines for w in words]
-    back = [int(classes[own.unit_of(w)]) for w in names]
-    spots = [np.flatnonzero(kind < 0) for _, kind, _, _ in lines]
-    left, right = (
-        np.concatenate([np.zeros(0, np.int64), *[x[1][at + d] for x, at in zip(lines, spots, strict=True)]]) for d in (-1, 1)
-    )
-    k = [i for x in lines for i in x[3]]
-    numbers = [pa.array(c, pa.int32()) for c in (k, left, right)]
-    return [
-        lists([len(x[2]) for x in lines], ("word", pa.array(names, pa.binary()).cast(pa.string())), ("back", pa.array(back, pa.int32()))),
-        lists([len(x[3]) for x in lines], *zip(("k", "left", "right"), numbers, strict=True)),
-    ]
+    spots = lines.place[lines.at < 0]
+    of, names = lines.row[spots], lines.others.dictionary_encode()
+    number = max(1, len(names.dictionary))
+    each, k = np.unique(of * number + names.indices.to_numpy(), return_inverse=True)
+    text, name = each // number, each % number
+    back = classes[own.units_of(names.dictionary)][name]
+    words = lists(text, word=names.dictionary.take(pa.array(name)), back=pa.array(back, pa.int32()))
+    numbers = {"k": k - np.searchsorted(text, of), "left": kind[spots - 1], "right": kind[spots + 1]}
+    return [words, lists(of, **{c: pa.array(x, pa.int32()) for c, x in numbers.items()})]
 
 
 def _with_classes(rows: DataFrame, tail: DataFrame) -> DataFrame:
@@ -561,14 +615,15 @@ def class_pairs(
         own = Units(*plain)
         index = own.index()
         for batch in batches:
-            lines = list(_lines(batch.column("text").to_pylist(), own, of, index))
-            table = np.zeros(number * number)
-            for _, kind, _, _ in lines:
-                both = (kind[:-1] >= 0) & (kind[1:] >= 0)
-                table += np.bincount(kind[:-1][both] * number + kind[1:][both], minlength=number * number)
-            counts = [pa.array([c.tolist()] + [None] * (len(lines) - 1), pa.list_(pa.int64())) for c in cells(table)]
+            lines = _lines_of(batch.column("text"), index)
+            kind = lines.filled(of, -1)
+            both = (kind[:-1] >= 0) & (kind[1:] >= 0) & (kind[:-1] != END)
+            table = np.bincount(kind[:-1][both] * number + kind[1:][both], minlength=number * number)
+            counts = [
+                pa.array([c.tolist()] + [None] * (lines.rows - 1), pa.list_(pa.int64()))[: lines.rows] for c in cells(table)
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), *_tails(lines, own, kinds), *counts], ["uid", "words", "tail", "cells", "times"]
+                [batch.column("uid"), *_tails(lines, kind, own, kinds), *counts], ["uid", "words", "tail", "cells", "times"]
             )
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -707,7 +762,7 @@ def score(
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     model, tail = learn(texts, counts, scratch)
     shared = spark.sparkContext.broadcast(model.plain())
-    rows, texts_in, names = with_texts(docs, text_col, keep)
+    rows, _, names = with_texts(docs, text_col, keep)
     rows = rows.withColumn("uid", F.monotonically_increasing_id())
 
     def opened() -> BrownModel:
@@ -718,18 +773,22 @@ def score(
         own = opened()
         index, ends = own.units.index(), own.units.tokens[END]
         for batch in batches:
-            lines = list(_lines(texts_in(batch), own.units, own.word_class, index))
-            found = []
-            for at, kind, _, _ in lines:
-                both = (kind[:-1] >= 0) & (kind[1:] >= 0)
-                total = own.after[kind[:-1][both], kind[1:][both]].sum() + own.word[at].sum()
-                base = own.known[at].sum() + np.log10(ends + 1.0)
-                found.append((len(kind) - 1, len(at) + int(ends > 0), base, total))
-            columns = list(zip(*found, strict=True)) or [[]] * 4
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            numbers = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+            texts = batch.column("row").field(text_col) if text_col in names else batch.column("text")
+            lines = _lines_of(texts, index)
+            kind = lines.filled(own.word_class, -1)
+            both = (kind[:-1] >= 0) & (kind[1:] >= 0) & (kind[:-1] != END)
+            sent = lines.at >= 0
+            at, of = lines.at[sent], lines.row[lines.place[sent]]
+
+            def summed(row: np.ndarray, values: np.ndarray | None = None, size: int = lines.rows) -> np.ndarray:
+                return np.bincount(row, values, size)
+
+            total = summed(lines.row[:-1][both], own.after[kind[:-1][both], kind[1:][both]]) + summed(of, own.word[at])
+            base = summed(of, own.known[at]) + np.log10(ends + 1.0)
+            columns = [summed(lines.row) - 1, summed(of) + int(ends > 0)]
+            numbers = [*(pa.array(c, pa.int64()) for c in columns), *(pa.array(c, pa.float64()) for c in (base, total))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("uid"), batch.column("row"), *numbers, *_tails(lines, own.units, own.classes)],
+                [batch.column("uid"), batch.column("row"), *numbers, *_tails(lines, kind, own.units, own.classes)],
                 ["uid", "row", "n_tokens", "known", "base", "total", "words", "tail"],
             )
 

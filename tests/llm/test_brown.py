@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from hourmart.llm import brown
@@ -174,3 +175,38 @@ def test_empty(spark):
     for r in brown.score(some, none).collect():
         assert r["n_known"] == 0 and r["train_tokens"] == 0 and r["base_score"] == 0.0
         assert math.isfinite(r["score"])
+
+
+def test_words_of_a_batch_are_found_at_once():
+    """Words, numbers and units of whole arrays equal those of a walk over each word."""
+    texts = ["A b\x0bab", None, "", "  \t ", "\x1cx \u00c4bc\u00a0d\x0c\ry ", "zab \u20ac ab A"]
+    words, sizes = brown._words_of(pa.array(texts))
+    want = [words_of(lowered(t)) for t in texts]
+    assert words.to_pylist() == [w for line in want for w in line] and sizes.tolist() == list(map(len, want))
+    units = brown.Units([b"a", b"ab"], np.array([2, 2]), np.array([3, 4]), {"ab": 4, "\u20ac": 5}, np.ones(6), np.ones(6))
+    assert units.units_of(words).tolist() == [units.unit_of(w.encode()) for w in words.to_pylist()]
+    lines = brown._lines_of(pa.array(texts), units.index())
+    flat = [w for line in want for w in [None, *line, None]]
+    assert [flat[k] for k in lines.place.tolist()] == words.to_pylist()
+    assert lines.others.to_pylist() == [w for w in words.to_pylist() if w not in ("a", "ab")]
+    kind = lines.filled(np.array([7, 8]), -1)
+    assert kind.tolist() == [
+        k for line in want for k in [brown.BEGIN, *({"a": 7, "ab": 8}.get(w, -1) for w in line), brown.END]
+    ]
+
+
+@pytest.mark.parametrize("rows_at_once", [1, 3, 1000])
+def test_rows_of_a_word_stay_together(monkeypatch, rows_at_once):
+    monkeypatch.setattr(brown, "CONTEXT_ROWS", rows_at_once)
+    keys = [(-1, w) for w in "aaaaaaabccd"] + [(0, None)] * 5 + [(3, None), (4, None), (4, None)]
+    batches = [
+        pa.RecordBatch.from_pydict({"at": pa.array([a for a, _ in part], pa.int32()), "word": pa.array([w for _, w in part], pa.string())})
+        for part in ([keys[k : k + 2] for k in range(0, len(keys), 2)] + [[]])
+    ]
+    found = []
+    for rows, first in brown._whole_words(iter(batches)):
+        ends = [*first[1:].tolist(), len(rows)]
+        pairs = list(zip(rows["at"].to_pylist(), rows["word"].to_pylist(), strict=True))
+        found += [pairs[a:b] for a, b in zip(first.tolist(), ends, strict=True)]
+    assert [len(set(group)) for group in found] == [1] * len(set(keys))
+    assert [k for group in found for k in group] == keys
